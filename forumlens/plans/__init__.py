@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-AREAS = ["ingest", "texts"]
+AREAS = ["ingest", "texts", "retrieving", "talks"]
 
 
 def load_all() -> None:
