@@ -142,7 +142,7 @@ def centroids(df: DataFrame, keys: Sequence[str], vector: str = "embedding", to:
 
 def _topic_lists(df: DataFrame, category: str, fields: Sequence[str]) -> DataFrame:
     """Topics of a category as one ordered array (one row per category)."""
-    return df.groupBy(category).agg(F.array_sort(F.collect_list(F.struct("topic", *fields))).alias("_topics"))
+    return df.groupBy(category).agg(F.sort_array(F.collect_list(F.struct("topic", *fields))).alias("_topics"))
 
 
 def membership_probs(docs: DataFrame, centres: DataFrame, *, category: str = "category", vector: str = "embedding") -> DataFrame:

@@ -22,7 +22,7 @@ def recent_history(turns: DataFrame, pairs: int = 6, width: int = WIDTH) -> Data
 
 
 def _texts(column: str) -> Column:
-    return F.transform(F.array_sort(column), lambda s: s["t"])
+    return F.transform(F.sort_array(column), lambda s: s["t"])
 
 
 def history_summary(turns: DataFrame, back: int = 4, chars: int = 50, width: int = WIDTH) -> DataFrame:
@@ -73,7 +73,7 @@ def kept_history(
             fits.alias("open"),
         )
 
-    fitting = F.aggregate(F.reverse(F.array_sort("_h")), start, walk)["n"].cast("bigint")
+    fitting = F.aggregate(F.reverse(F.sort_array("_h")), start, walk)["n"].cast("bigint")
     before = F.col("turn")
     # Messages go in pairs from the front, and one or two always stay.
     dropped = F.least(

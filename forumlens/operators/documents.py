@@ -20,7 +20,7 @@ def lemmatise(df: DataFrame, key: str, tokens: str, lemmas: DataFrame) -> DataFr
     exploded = df.select(key, F.posexplode(tokens).alias("_pos", "token"))
     looked_up = exploded.join(lemmas, "token", "left")
     rebuilt = looked_up.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct("_pos", F.coalesce("lemma", "token").alias("t")))).alias("_t")
+        F.sort_array(F.collect_list(F.struct("_pos", F.coalesce("lemma", "token").alias("t")))).alias("_t")
     )
     rebuilt = rebuilt.select(key, F.col("_t.t").alias("_lemmas"))
     empty = F.array().cast("array<string>")
@@ -65,7 +65,7 @@ def covered_spans(df: DataFrame, key: str, names: DataFrame) -> DataFrame:
         .select(key, "category", "g.*")
         .join(sized.select("category", F.col("name").alias("gram"), "precedence"), ["category", "gram"])
         .groupBy(key)
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "precedence", "n"))).alias("hits"))
+        .agg(F.sort_array(F.collect_list(F.struct("pos", "precedence", "n"))).alias("hits"))
     )
     start = F.struct(F.lit(0).alias("next"), F.array().cast("array<struct<pos:int,n:int>>").alias("kept"))
 

@@ -23,7 +23,7 @@ def build_nodes(docs: DataFrame, terms: DataFrame, names: DataFrame, k: int = 10
     """
     sizes = topic_counts(docs.select("category", "topic")).where(F.col("topic") != -1)
     centres = centroids(docs.where(F.col("topic") != -1), ["category", "topic"]).drop("n")
-    ordered = F.array_sort(F.collect_list(F.struct("rank", "term")))
+    ordered = F.sort_array(F.collect_list(F.struct("rank", "term")))
     words = terms.where(F.col("rank") <= k).groupBy("category", "topic").agg(ordered.alias("_t"))
     nodes = sizes.join(centres, ["category", "topic"]).join(words, ["category", "topic"], "left")
     fallback = F.concat_ws("_", "category", F.col("topic").cast("string"))
@@ -180,52 +180,67 @@ def greedy_communities(edges: DataFrame, weight: str, exact: bool = True) -> Dat
     """(id, community) by greedy modularity maximisation, communities numbered by size.
 
     ``exact`` merges the single best pair per round (Clauset, Newman and Moore 2004); otherwise
-    all pairs that are each other's best partner merge at once, which takes few rounds. State is
-    one row per community pair; each round is checkpointed.
+    all pairs that are each other's best partner merge at once, which takes few rounds. The state
+    is one row per pair of communities (a = b holds the inner weight); each round is checkpointed.
     """
     links = cut(
         edges.groupBy(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).agg(F.sum(weight).alias("w"))
     )
-    ends = F.explode(F.array(F.struct(F.col("a").alias("c"), "w"), F.struct(F.col("b").alias("c"), "w"))).alias("e")
-    degree = cut(links.select(ends).groupBy("e.c").agg(F.sum("e.w").alias("k")))
     total = links.agg(F.sum("w").alias("m")).first()["m"]
-    members = degree.select(F.col("c").alias("id"), F.col("c").alias("community"))
+    members = cut(links.select(F.explode(F.array("a", "b")).alias("id")).distinct().withColumn("community", F.col("id")))
+    rounds = 0
     while total:
-        k_a = degree.select(F.col("c").alias("a"), F.col("k").alias("k_a"))
-        k_b = degree.select(F.col("c").alias("b"), F.col("k").alias("k_b"))
-        gain = F.col("w") / total - F.col("k_a") * F.col("k_b") / (2 * total * total)
-        gains = links.where(F.col("a") != F.col("b")).join(k_a, "a").join(k_b, "b")
-        gains = gains.select("a", "b", F.round(gain, 15).alias("gain")).where(F.col("gain") > 1e-12)
+        gains = _merge_gains(links, total)
         if exact:
-            merges = gains.orderBy(F.desc("gain"), "a", "b").limit(1).select("a", "b")
+            best = gains.orderBy(F.desc("gain"), "a", "b").first()
+            if best is None:
+                break
+            into = lambda c, best=best: F.when(F.col(c) == best["b"], F.lit(best["a"])).otherwise(F.col(c))
+            renamed = links.select(into("a").alias("a"), into("b").alias("b"), "w")
+            members = members.withColumn("community", into("community"))
         else:
-            both = gains.select(
-                F.explode(F.array(F.struct("a", "b", "gain"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "gain"))).alias("g")
-            ).select("g.*")
-            best = both.groupBy("a").agg(F.min_by("b", F.struct(-F.col("gain"), F.least("a", "b"), F.greatest("a", "b"))).alias("b"))
-            mutual = best.join(best.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"])
-            merges = mutual.where(F.col("a") < F.col("b"))
-        renamed = cut(merges.select(F.col("b").alias("c"), F.col("a").alias("_to")))
-        if renamed.isEmpty():
-            break
-
-        def moved(df: DataFrame, column: str, renamed: DataFrame = renamed) -> DataFrame:
-            joined = df.join(renamed.withColumnRenamed("c", column), column, "left")
-            return joined.withColumn(column, F.coalesce("_to", column)).drop("_to")
-
+            merges = cut(_mutual_best(gains))
+            if merges.isEmpty():
+                break
+            renamed = _renamed(_renamed(links, "a", merges), "b", merges)
+            members = _renamed(members, "community", merges)
         links = cut(
-            moved(moved(links, "a"), "b")
-            .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-            .agg(F.sum("w").alias("w"))
+            renamed.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("w").alias("w"))
         )
-        degree = cut(moved(degree, "c").groupBy("c").agg(F.sum("k").alias("k")))
-        members = cut(moved(members, "community"))
+        rounds += 1
+        if not exact or rounds % 16 == 0:
+            members = cut(members)
     sizes = members.groupBy("community").agg(F.count("*").alias("n"))
     # One row per community.
     numbered = sizes.select("community", (F.row_number().over(Window.orderBy(F.desc("n"), "community")) - 1).alias("_no"))
     return members.join(numbered, "community").select("id", F.col("_no").alias("community"))
 
 
+def _merge_gains(links: DataFrame, total: float) -> DataFrame:
+    """Modularity gained by merging each linked pair: w/m - k_a k_b / (2 m^2)."""
+    ends = F.explode(F.array(F.struct(F.col("a").alias("c"), "w"), F.struct(F.col("b").alias("c"), "w"))).alias("e")
+    degree = links.select(ends).groupBy("e.c").agg(F.sum("e.w").alias("k"))
+    k_a = degree.select(F.col("c").alias("a"), F.col("k").alias("k_a"))
+    k_b = degree.select(F.col("c").alias("b"), F.col("k").alias("k_b"))
+    gain = F.col("w") / total - F.col("k_a") * F.col("k_b") / (2 * total * total)
+    pairs = links.where(F.col("a") != F.col("b")).join(k_a, "a").join(k_b, "b")
+    return pairs.select("a", "b", F.round(gain, 15).alias("gain")).where(F.col("gain") > 1e-12)
+
+
+def _mutual_best(gains: DataFrame) -> DataFrame:
+    """(a, b), a < b, where each is the other's best partner."""
+    sides = F.array(F.struct("a", "b", "gain"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "gain"))
+    order = F.struct(-F.col("gain"), F.least("a", "b"), F.greatest("a", "b"))
+    best = gains.select(F.explode(sides).alias("g")).select("g.*").groupBy("a").agg(F.min_by("b", order).alias("b"))
+    swapped = best.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    return best.join(swapped, ["a", "b"], "left_semi").where(F.col("a") < F.col("b"))
+
+
+def _renamed(df: DataFrame, column: str, merges: DataFrame) -> DataFrame:
+    to = merges.select(F.col("b").alias(column), F.col("a").alias("_to"))
+    return df.join(to, column, "left").withColumn(column, F.coalesce("_to", column)).drop("_to")
+
+
 def community_crosstab(nodes: DataFrame, communities: DataFrame) -> DataFrame:
     """Predefined label against found community, counted."""
     return nodes.join(communities, "id").groupBy("label", "community").agg(F.count("*").alias("nodes"))

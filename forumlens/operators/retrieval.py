@@ -80,7 +80,7 @@ def rerank_diverse(hits: DataFrame, keep: int = 5, limit: float = 0.85) -> DataF
         "sentiment",
         "embedding",
     )
-    grouped = hits.groupBy("query_id").agg(F.array_sort(F.collect_list(item)).alias("found"))
+    grouped = hits.groupBy("query_id").agg(F.sort_array(F.collect_list(item)).alias("found"))
     none = F.slice("found", 1, 0)
 
     def take(kept: Column, h: Column) -> Column:
@@ -120,7 +120,7 @@ def assemble_context(turns: DataFrame, passages: DataFrame, entities: DataFrame)
     ``turns(query_id, history_summary, repeats)``; ``passages(query_id, rank, content)``;
     ``entities(query_id, rank, name, code, description)``. Both lists are short per question.
     """
-    joined = lambda c: F.transform(F.array_sort(F.collect_list(F.struct("rank", c.alias("t")))), lambda s: s["t"])
+    joined = lambda c: F.transform(F.sort_array(F.collect_list(F.struct("rank", c.alias("t")))), lambda s: s["t"])
     texts = passages.groupBy("query_id").agg(F.array_join(joined(F.col("content")), PASSAGE_SEPARATOR).alias("context"))
     note = F.concat_ws(
         "\n", F.concat(F.lit("Disorder Name: "), "name"), F.concat(F.lit("Disorder Code: "), "code"),

@@ -189,7 +189,7 @@ def approximate_top(
             for i, c in enumerate(centres)
         ]
     )
-    nearest = F.transform(F.slice(F.array_sort(order), 1, probes), lambda s: s["cell"])
+    nearest = F.transform(F.slice(F.sort_array(order), 1, probes), lambda s: s["cell"])
     return top_inner_product(
         queries.withColumn("_cells", nearest), located, k,
         query_keys=query_keys, carry=carry, vector=vector, route="cell", routes="_cells",

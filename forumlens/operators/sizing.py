@@ -1,4 +1,4 @@
-"""Size checks before a table is broadcast."""
+"""Size checks: before a table is broadcast, and before rows are spread over more tasks."""
 
 from __future__ import annotations
 
@@ -17,3 +17,12 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     """
     stored = cut(df)
     return F.broadcast(stored) if stored.count() <= max_rows else stored
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for heavy per-row work when the input has fewer splits than there are cores.
+
+    A large table has more splits than cores and passes through unchanged, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

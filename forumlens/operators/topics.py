@@ -36,7 +36,7 @@ def ngram_counts(
     the neighbour), so document frequency needs no grouping by document and both counts are
     combined before the shuffle.
     """
-    rows = with_ngrams(docs, text, stop, n_max, "_g").select(*keys, F.array_sort("_g").alias("_g"))
+    rows = with_ngrams(docs, text, stop, n_max, "_g").select(*keys, F.sort_array("_g").alias("_g"))
     marked = F.transform(
         "_g", lambda g, i: F.struct(g.alias("term"), ((i == 0) | (F.get("_g", i - 1) != g)).alias("new"))
     )
@@ -138,7 +138,7 @@ def topic_diversity(terms: DataFrame, keys: Sequence[str] = ("category",), k: in
 
 def topic_word_lists(terms: DataFrame, keys: Sequence[str] = ("category",), k: int = 10) -> DataFrame:
     """Top n-grams split into words, repeated words dropped, order kept."""
-    ordered = F.array_sort(F.collect_list(F.struct("rank", "term")))
+    ordered = F.sort_array(F.collect_list(F.struct("rank", "term")))
     lists = terms.where((F.col("topic") != -1) & (F.col("rank") <= k)).groupBy(*keys, "topic").agg(ordered.alias("_t"))
     split = F.flatten(F.transform("_t", lambda s: F.split(s["term"], " ")))
     return lists.select(*keys, "topic", F.array_distinct(split).alias("words"))
@@ -147,7 +147,7 @@ def topic_word_lists(terms: DataFrame, keys: Sequence[str] = ("category",), k: i
 def topic_info(assignments: DataFrame, terms: DataFrame) -> DataFrame:
     """Topic, name made of its first four words, document count and word list."""
     counted = assignments.groupBy("category", "topic").agg(F.count("*").alias("doc_count"))
-    ordered = terms.groupBy("category", "topic").agg(F.array_sort(F.collect_list(F.struct("rank", "term"))).alias("_t"))
+    ordered = terms.groupBy("category", "topic").agg(F.sort_array(F.collect_list(F.struct("rank", "term"))).alias("_t"))
     words = F.transform("_t", lambda s: s["term"])
     name = F.concat_ws("_", F.col("topic").cast("string"), F.slice(words, 1, 4))
     return counted.join(ordered, ["category", "topic"], "left").select(

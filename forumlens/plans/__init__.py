@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-AREAS = ["ingest", "texts", "retrieving", "talks", "topicmodel", "network"]
+AREAS = ["ingest", "texts", "retrieving", "talks", "topicmodel", "network", "streams"]
 
 
 def load_all() -> None:

@@ -341,7 +341,7 @@ def a2(spark: SparkSession, d: str) -> DataFrame:
 def a7(spark: SparkSession, d: str) -> DataFrame:
     """Distinct pairs first, so only distinct values are collected."""
     pairs = posts_of(spark, d).select("category", "title").distinct()
-    return pairs.groupBy("category").agg(F.array_sort(F.collect_list("title")).alias("titles"))
+    return pairs.groupBy("category").agg(F.sort_array(F.collect_list("title")).alias("titles"))
 
 
 @query(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forumlens.operators import clusters, counts, graph, stats, topics
-from forumlens.plans.registry import query, table
+from forumlens.plans.registry import documents, query, table
 from forumlens.plans.texts import SHORT_STOP, sql_list, sql_tokens
 
 # Forty subtopics: the ten labels, each split in four, with the label modulo 4 as category.
@@ -116,7 +116,7 @@ def a9(spark: SparkSession, d: str) -> DataFrame:
 def g1(spark: SparkSession, d: str) -> DataFrame:
     from forumlens.plans.topicmodel import vector_docs
 
-    docs = vector_docs(spark, d).join(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+    docs = vector_docs(spark, d).join(documents(spark, d).select("doc_id", "text"), "doc_id")
     terms = topics.top_terms(topics.class_tfidf(topics.ngram_counts(docs, ["category", "topic"], "text", SHORT_STOP)))
     names = docs.where(F.col("topic") == 4).select("category", "topic", F.lit("Work Stress").alias("name")).distinct()
     out = graph.build_nodes(docs, terms, names)
@@ -144,10 +144,10 @@ coherent AS (SELECT src, dst, avg(CASE WHEN size > 0 THEN vt / size ELSE 0 END)
 def keywords(spark: SparkSession, d: str) -> DataFrame:
     from forumlens.functions.text import tokenize
 
-    words = table(spark, d, "documents").select((F.col("doc_id") % 40).alias("node"), F.explode(tokenize(F.lower("text"), 2)).alias("t"))
+    words = documents(spark, d).select((F.col("doc_id") % 40).alias("node"), F.explode(tokenize(F.lower("text"), 2)).alias("t"))
     freq = words.groupBy("node", "t").agg(F.count("*").alias("n"))
     top = counts.top_k(freq, ["node"], [F.desc("n"), F.asc("t")], 10)
-    ordered = F.array_sort(F.collect_list(F.struct("rank", "t")))
+    ordered = F.sort_array(F.collect_list(F.struct("rank", "t")))
     return top.groupBy("node").agg(F.transform(ordered, lambda s: s["t"]).alias("words"))
 
 

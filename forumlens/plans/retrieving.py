@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import IDF, HashingTF, Normalizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumlens.functions import text as tx
 from forumlens.functions import vectors as vec
-from forumlens.operators import clusters, conversation, counts, evaluation, retrieval, search
-from forumlens.plans.registry import query, table
+from forumlens.operators import clusters, conversation, counts, embedding, evaluation, retrieval, search
+from forumlens.plans.registry import documents, query, table
 from forumlens.plans.texts import sql_words
 
 # Embeddings read as passages and, at the same time, as a batch of queries.
@@ -117,13 +114,24 @@ def v5(spark: SparkSession, d: str) -> DataFrame:
 @query("v1_embed")
 def v1(spark: SparkSession, d: str) -> DataFrame:
     """Hashed TF-IDF of word tokens, unit length."""
-    docs = table(spark, d, "documents").select("doc_id", tx.tokenize(F.lower("text"), 2).alias("tokens"))
-    stages = [
-        HashingTF(inputCol="tokens", outputCol="tf", numFeatures=1 << 12),
-        IDF(inputCol="tf", outputCol="tfidf"),
-        Normalizer(inputCol="tfidf", outputCol="embedding", p=2.0),
-    ]
-    return Pipeline(stages=stages).fit(docs).transform(docs).select("doc_id", F.col("embedding").cast("string").alias("embedding"))
+    docs = documents(spark, d).select("doc_id", "text")
+    return embedding.tfidf_vectors(docs, "text", 256).select("doc_id", "embedding")
+
+
+@query(
+    "f2_model_hook",
+    f"""SELECT conv_id, turn, [CAST(length(text) AS FLOAT), CAST(len({sql_words('text')}) AS FLOAT)] AS embedding FROM conversations""",
+)
+def f2(spark: SparkSession, d: str) -> DataFrame:
+    """The batch hook with a stand-in for a model: text length and word count."""
+
+    def make_model():
+        import numpy as np
+
+        return lambda texts: np.array([[len(t), len(t.split())] for t in texts], dtype="float32")
+
+    talk = table(spark, d, "conversations").select("conv_id", "turn", "text")
+    return embedding.model_vectors(talk, "text", make_model, normalize=False).select("conv_id", "turn", "embedding")
 
 
 @query("v6_reduce_dims")

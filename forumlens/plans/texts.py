@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from forumlens.functions import text as tx
 from forumlens.operators import documents as dm
 from forumlens.plans.ingest import sql_collapse, sql_light, sql_strip, sql_words
-from forumlens.plans.registry import query, table
+from forumlens.plans.registry import documents, query, table
 
 
 def lit(value: str) -> str:
@@ -42,7 +42,7 @@ def with_smileys() -> F.Column:
 
 @query("t2_emoticons_to_text", f"SELECT doc_id, lower({sql_strip(sql_emoticons(WITH_SMILEYS))}) AS text FROM documents")
 def t2(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", tx.emoticons_to_text(with_smileys(), PIECES).alias("text"))
+    return documents(spark, d).select("doc_id", tx.emoticons_to_text(with_smileys(), PIECES).alias("text"))
 
 
 @query(
@@ -53,13 +53,13 @@ def t2(spark: SparkSession, d: str) -> DataFrame:
 )
 def t3(spark: SparkSession, d: str) -> DataFrame:
     out = tx.emoticons_without_aliases(with_smileys(), PIECES)
-    return table(spark, d, "documents").select("doc_id", out.alias("text"))
+    return documents(spark, d).select("doc_id", out.alias("text"))
 
 
 @query("t4_light_clean", f"SELECT doc_id, {sql_light(lit('see http://a.b/c ||| ') + ' || text')} AS text FROM documents")
 def t4(spark: SparkSession, d: str) -> DataFrame:
     raw = F.concat(F.lit("see http://a.b/c ||| "), F.col("text"))
-    return table(spark, d, "documents").select("doc_id", tx.light_clean(raw).alias("text"))
+    return documents(spark, d).select("doc_id", tx.light_clean(raw).alias("text"))
 
 
 def sql_contractions(x: str) -> str:
@@ -87,7 +87,7 @@ HEAVY_PREFIX = "Something r/abc &amp; <b>this</b> @user #tag 42 children https:/
 @query("t5_heavy_clean", f"SELECT doc_id, {sql_heavy(lit(HEAVY_PREFIX) + ' || text')} AS text FROM documents")
 def t5(spark: SparkSession, d: str) -> DataFrame:
     raw = F.concat(F.lit(HEAVY_PREFIX), F.col("text"))
-    return table(spark, d, "documents").select("doc_id", tx.heavy_clean(raw).alias("text"))
+    return documents(spark, d).select("doc_id", tx.heavy_clean(raw).alias("text"))
 
 
 CONTRACTED = "I'm sure they don't, can't and won't; it's what we'd do, they've said. Anna's dog. "
@@ -96,7 +96,7 @@ CONTRACTED = "I'm sure they don't, can't and won't; it's what we'd do, they've s
 @query("t6_expand_contractions", f"SELECT doc_id, {sql_contractions(lit(CONTRACTED) + ' || text')} AS text FROM documents")
 def t6(spark: SparkSession, d: str) -> DataFrame:
     raw = F.concat(F.lit(CONTRACTED), F.col("text"))
-    return table(spark, d, "documents").select("doc_id", tx.expand_contractions(raw).alias("text"))
+    return documents(spark, d).select("doc_id", tx.expand_contractions(raw).alias("text"))
 
 
 def sql_tokens(x: str, least: int = 1) -> str:
@@ -109,7 +109,7 @@ def sql_tokens(x: str, least: int = 1) -> str:
     md5(array_to_string({sql_tokens('text')}, ' ')) AS tokens_md5 FROM documents""",
 )
 def t7(spark: SparkSession, d: str) -> DataFrame:
-    tokens = table(spark, d, "documents").select("doc_id", tx.tokenize(F.col("text")).alias("t"))
+    tokens = documents(spark, d).select("doc_id", tx.tokenize(F.col("text")).alias("t"))
     return tokens.select("doc_id", F.size("t").alias("n_tokens"), F.md5(F.array_join("t", " ")).alias("tokens_md5"))
 
 
@@ -129,13 +129,13 @@ STOP = SHORT_STOP + tx.DOMAIN_STOP_WORDS
 )
 def t8(spark: SparkSession, d: str) -> DataFrame:
     kept = tx.remove_stop_words(tx.tokenize(F.lower("text")), STOP)
-    return table(spark, d, "documents").select("doc_id", F.md5(F.array_join(kept, " ")).alias("tokens_md5"))
+    return documents(spark, d).select("doc_id", F.md5(F.array_join(kept, " ")).alias("tokens_md5"))
 
 
 def lemma_table(spark: SparkSession, d: str) -> DataFrame:
     """Corpus words ending in -ing, mapped to their stem."""
     token = F.explode(tx.tokenize(F.lower("text"))).alias("token")
-    words = table(spark, d, "documents").select(token).where(F.col("token").rlike("^[a-z]{2,}ing$")).distinct()
+    words = documents(spark, d).select(token).where(F.col("token").rlike("^[a-z]{2,}ing$")).distinct()
     return words.select("token", F.regexp_replace("token", "ing$", "").alias("lemma"))
 
 
@@ -148,7 +148,7 @@ SQL_LEMMA = "CASE WHEN regexp_matches(t, '^[a-z]{2,}ing$') THEN regexp_replace(t
     FROM documents""",
 )
 def t9(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select("doc_id", tx.tokenize(F.lower("text")).alias("tokens"))
+    docs = documents(spark, d).select("doc_id", tx.tokenize(F.lower("text")).alias("tokens"))
     out = dm.lemmatise(docs, "doc_id", "tokens", lemma_table(spark, d))
     return out.select("doc_id", F.md5(F.array_join("tokens", " ")).alias("lemmas_md5"))
 
@@ -168,7 +168,7 @@ both_variants AS (
 
 
 def prepared(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select("doc_id", "lang", "source", "text")
+    docs = documents(spark, d).select("doc_id", "lang", "source", "text")
     return dm.topic_documents(docs, "doc_id", "text", STOP, lemma_table(spark, d))
 
 
@@ -194,7 +194,7 @@ def p5(spark: SparkSession, d: str) -> DataFrame:
 @query("t11_join_spaced_letters")
 def t11(spark: SparkSession, d: str) -> DataFrame:
     raw = F.concat(F.lit("p s y c h i a t r y  and\n  "), F.col("text"))
-    return table(spark, d, "documents").select("doc_id", tx.flatten_lines(raw).alias("text"))
+    return documents(spark, d).select("doc_id", tx.flatten_lines(raw).alias("text"))
 
 
 @query("t12_split_cases")
@@ -205,7 +205,7 @@ def t12(spark: SparkSession, d: str) -> DataFrame:
         "Suggested Reading\nA book\nCASE 2.%d\nSecond title\n%s",
         F.col("doc_id"), F.col("text"), F.col("doc_id"), F.col("text"),
     )
-    docs = table(spark, d, "documents").select("doc_id", text.alias("text"))
+    docs = documents(spark, d).select("doc_id", text.alias("text"))
     return dm.split_cases(docs, "doc_id", "text")
 
 
@@ -227,7 +227,7 @@ SQL_NAMES = f"""names AS (SELECT list(DISTINCT lower(({sql_words('text')})[1]))
     FROM documents, names""",
 )
 def j9(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select("doc_id", F.col("lang").alias("category"), "text")
+    docs = documents(spark, d).select("doc_id", F.col("lang").alias("category"), "text")
     return dm.remove_names(docs, "doc_id", "text", benchmark_names(spark, d)).select("doc_id", "text")
 
 
@@ -239,18 +239,18 @@ def sql_mask(x: str) -> str:
 
 @query("t13_mask_identifiers", f"SELECT doc_id, {sql_mask('text')} AS text FROM documents")
 def t13(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", tx.mask_identifiers(F.col("text")).alias("text"))
+    return documents(spark, d).select("doc_id", tx.mask_identifiers(F.col("text")).alias("text"))
 
 
 @query("t13_mask_people")
 def t13_people(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select("doc_id", F.col("lang").alias("category"), "text")
+    docs = documents(spark, d).select("doc_id", F.col("lang").alias("category"), "text")
     return dm.mask_people(docs, "doc_id", "text", benchmark_names(spark, d)).select("doc_id", "text")
 
 
 @query("t14_chunk_chars")
 def t14(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select("doc_id", F.col("source").alias("source_pdf"), "text")
+    docs = documents(spark, d).select("doc_id", F.col("source").alias("source_pdf"), "text")
     return dm.chunk_chars(docs, "doc_id", "text")
 
 
@@ -263,7 +263,7 @@ def t14(spark: SparkSession, d: str) -> DataFrame:
       array_to_string(list_slice(w, chunk_no * 160 + 1, chunk_no * 160 + 200), ' ') AS content FROM c""",
 )
 def t15(spark: SparkSession, d: str) -> DataFrame:
-    return dm.chunk_words(table(spark, d, "documents").select("doc_id", "text"), "doc_id", "text")
+    return dm.chunk_words(documents(spark, d).select("doc_id", "text"), "doc_id", "text")
 
 
 @query(
@@ -321,7 +321,7 @@ def t18(spark: SparkSession, d: str) -> DataFrame:
 )
 def t19(spark: SparkSession, d: str) -> DataFrame:
     variants = tx.query_variants(F.col("source"), F.col("text"))
-    return table(spark, d, "documents").select("doc_id", variants.alias("variants"))
+    return documents(spark, d).select("doc_id", variants.alias("variants"))
 
 
 @query(

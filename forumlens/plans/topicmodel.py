@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forumlens.operators import clusters, coherence, counts, graph, merge, topics
-from forumlens.plans.registry import query, table
+from forumlens.plans.registry import documents, query, table
 from forumlens.plans.texts import SHORT_STOP, sql_list, sql_tokens, sql_words
 
 # Documents with their language as category and their source as topic; source 0 plays the outliers.
@@ -21,7 +21,7 @@ grams AS (SELECT doc_id, category, topic, unnest(list_concat(t, list_concat(
 
 def topic_docs(spark: SparkSession, d: str) -> DataFrame:
     topic = F.substring("source", 4, 9).cast("int") - 1
-    return table(spark, d, "documents").select("doc_id", F.col("lang").alias("category"), topic.alias("topic"), "text")
+    return documents(spark, d).select("doc_id", F.col("lang").alias("category"), topic.alias("topic"), "text")
 
 
 @query(
@@ -52,7 +52,7 @@ def unwanted(spark: SparkSession, d: str) -> DataFrame:
     from forumlens.functions.text import words
 
     first = F.lower(F.get(words(F.col("text")), 0))
-    return table(spark, d, "documents").select(F.col("lang").alias("category"), first.alias("term")).distinct()
+    return documents(spark, d).select(F.col("lang").alias("category"), first.alias("term")).distinct()
 
 
 def vocabulary(spark: SparkSession, d: str) -> DataFrame:
@@ -200,7 +200,7 @@ def vector_docs(spark: SparkSession, d: str) -> DataFrame:
 @query("m7_mmr_terms")
 def m7(spark: SparkSession, d: str) -> DataFrame:
     """Thirty candidates per topic over documents that have a vector, ten chosen."""
-    docs = vector_docs(spark, d).join(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+    docs = vector_docs(spark, d).join(documents(spark, d).select("doc_id", "text"), "doc_id")
     weighted = topics.class_tfidf(topics.ngram_counts(docs, ["category", "topic"], "text", SHORT_STOP))
     candidates = topics.top_terms(weighted, k=30)
     vectors = topics.term_vectors(docs, candidates, "text", SHORT_STOP)
@@ -323,7 +323,7 @@ def m13_tree(spark: SparkSession, d: str) -> DataFrame:
 )
 def j3(spark: SparkSession, d: str) -> DataFrame:
     """Topic information beside the original columns, by id instead of by position."""
-    original = table(spark, d, "documents").select("doc_id", "source", "n_chars")
+    original = documents(spark, d).select("doc_id", "source", "n_chars")
     return vector_docs(spark, d).select("doc_id", "topic").join(original, "doc_id")
 
 

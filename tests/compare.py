@@ -19,7 +19,7 @@ TABLES = (
 TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE",
     "boolean": "BOOLEAN", "float": "FLOAT", "timestamp": "TIMESTAMP",
-    "array<string>": "VARCHAR[]", "array<double>": "DOUBLE[]", "array<int>": "INTEGER[]", "array<bigint>": "BIGINT[]",
+    "array<string>": "VARCHAR[]", "array<float>": "FLOAT[]", "array<double>": "DOUBLE[]", "array<int>": "INTEGER[]", "array<bigint>": "BIGINT[]",
 }
 
 
