@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forumlens.functions.vectors import cosine, dot, l2_normalize, softmax
-from forumlens.operators.sizing import broadcast_if_small
+from forumlens.operators.sizing import broadcast_if_small, hint_for
 from forumlens.session import cut
 
 
@@ -32,18 +32,19 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """
     links = cut(edges.select("src", "dst").where(F.col("src") != F.col("dst")))
     labels = cut(nodes.select("id", F.col("id").alias("component")))
+    small = hint_for(labels.count())
     while True:
         heard = (
-            links.join(labels.withColumnRenamed("id", "dst"), "dst")
+            links.join(small(labels.withColumnRenamed("id", "dst")), "dst")
             .groupBy(F.col("src").alias("id"))
             .agg(F.min("component").alias("_m"))
         )
-        lowered = labels.join(heard, "id", "left").select(
+        lowered = labels.join(small(heard), "id", "left").select(
             "id", F.col("component").alias("_old"), F.least("component", F.coalesce("_m", "component")).alias("component")
         )
         jump = labels.select(F.col("id").alias("component"), F.col("component").alias("_next"))
         new = cut(
-            lowered.join(jump, "component").select("id", "_old", F.least("component", "_next").alias("component"))
+            lowered.join(small(jump), "component").select("id", "_old", F.least("component", "_next").alias("component"))
         )
         moved = new.where(F.col("_old") != F.col("component")).limit(1).count()
         labels = new.drop("_old")

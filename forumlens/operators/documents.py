@@ -9,16 +9,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forumlens.functions import text as tx
+from forumlens.operators.rows import exploded, pos_exploded
+from forumlens.operators.sizing import broadcast_if_small
+
+# A dictionary of this many short rows is a few megabytes.
+DICTIONARY_ROWS = 200_000
 
 
 def lemmatise(df: DataFrame, key: str, tokens: str, lemmas: DataFrame) -> DataFrame:
     """Replace tokens by their lemma from a (token, lemma) table; unlisted tokens stay.
 
-    Whether the table is broadcast is left to its measured size. Tokens of one document leave a
-    partition already regrouped (partial ``collect_list``); the group is bounded by the document.
+    A dictionary within the size bound is broadcast, a larger one joins by shuffle. Tokens of one
+    document leave a partition already regrouped (partial ``collect_list``); the group is bounded
+    by the document.
     """
-    exploded = df.select(key, F.posexplode(tokens).alias("_pos", "token"))
-    looked_up = exploded.join(lemmas, "token", "left")
+    spread = pos_exploded(df, [key], tokens, "_pos", "token")
+    looked_up = spread.join(broadcast_if_small(lemmas.select("token", "lemma"), DICTIONARY_ROWS), "token", "left")
     rebuilt = looked_up.groupBy(key).agg(
         F.sort_array(F.collect_list(F.struct("_pos", F.coalesce("lemma", "token").alias("t")))).alias("_t")
     )
@@ -52,8 +58,9 @@ def covered_spans(df: DataFrame, key: str, names: DataFrame) -> DataFrame:
     Only n-gram lengths that occur among the names are built, and the n-grams meet the names in
     an equi-join on (category, gram): no alternation pattern, no pairing of names with documents.
     """
-    sized = names.withColumn("n", F.size(F.split("name", " ")))
-    lengths = sorted(r["n"] for r in sized.select("n").distinct().collect())
+    sized = names.select("category", F.col("name").alias("gram"), "precedence", F.size(F.split("name", " ")).alias("n"))
+    listed = broadcast_if_small(sized, DICTIONARY_ROWS)
+    lengths = sorted(r["n"] for r in listed.select("n").distinct().collect())
     schema = "array<struct<pos:int,n:int,gram:string>>"
     grams = F.array().cast(schema)
     for n in lengths:
@@ -61,12 +68,15 @@ def covered_spans(df: DataFrame, key: str, names: DataFrame) -> DataFrame:
         at = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
         grams = F.concat(grams, F.transform(at, _gram_of("tokens", n)).cast(schema))
     hits = (
-        df.select(key, "category", F.explode(grams).alias("g"))
+        exploded(df, [key, "category"], grams, "g")
         .select(key, "category", "g.*")
-        .join(sized.select("category", F.col("name").alias("gram"), "precedence"), ["category", "gram"])
+        .join(listed.drop("n"), ["category", "gram"])
         .groupBy(key)
         .agg(F.sort_array(F.collect_list(F.struct("pos", "precedence", "n"))).alias("hits"))
     )
+    if lengths == [1]:
+        # One-word names cannot overlap, and a position matches one name at most.
+        return hits.select(key, F.transform("hits", lambda h: F.struct(h["pos"].alias("pos"), h["n"].alias("n"))).alias("spans"))
     start = F.struct(F.lit(0).alias("next"), F.array().cast("array<struct<pos:int,n:int>>").alias("kept"))
 
     def take(acc: Column, h: Column) -> Column:
@@ -79,17 +89,26 @@ def covered_spans(df: DataFrame, key: str, names: DataFrame) -> DataFrame:
     return hits.select(key, F.aggregate("hits", start, take)["kept"].alias("spans"))
 
 
+def _between_spans(words: str, spans: str, filler: Callable[[Column], Column] | None = None) -> Column:
+    """The words outside the sorted spans, each span replaced by ``filler``; linear in the text."""
+
+    def part(k: Column) -> Column:
+        here, before = F.get(spans, k), F.get(spans, k - 1)
+        start = F.coalesce(before["pos"] + before["n"], F.lit(0))
+        gap = F.slice(words, start + 1, F.coalesce(here["pos"], F.size(words)) - start)
+        if filler is None:
+            return gap
+        return F.when(here.isNull(), gap).otherwise(F.concat(gap, F.array(filler(here))))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.size(spans)), part))
+
+
 def remove_names(df: DataFrame, key: str, text: str, names: DataFrame) -> DataFrame:
     """Delete author names of the same category as whole words or phrases."""
     docs = df.withColumn("tokens", tx.words(F.col(text)))
     spans = covered_spans(docs, key, names)
-    inside = lambda i: F.exists("spans", lambda s: (i >= s["pos"]) & (i < s["pos"] + s["n"]))
-    left = F.filter("tokens", lambda t, i: ~inside(i))
-    return (
-        docs.join(spans, key, "left")
-        .withColumn(text, F.array_join(F.when(F.col("spans").isNull(), F.col("tokens")).otherwise(left), " "))
-        .drop("tokens", "spans")
-    )
+    left = F.when(F.col("spans").isNull(), F.col("tokens")).otherwise(_between_spans("tokens", "spans"))
+    return docs.join(spans, key, "left").withColumn(text, F.array_join(left, " ")).drop("tokens", "spans")
 
 
 def mask_people(df: DataFrame, key: str, text: str, names: DataFrame, mask: str = "[PATIENT]") -> DataFrame:
@@ -101,18 +120,14 @@ def mask_people(df: DataFrame, key: str, text: str, names: DataFrame, mask: str
     bare = F.transform("_words", lambda w: F.regexp_replace(F.lower(w), r"(?U)^\W+|\W+$", ""))
     docs = docs.withColumn("tokens", bare)
     spans = covered_spans(docs, key, names)
-    starts = lambda i: F.exists("spans", lambda s: s["pos"] == i)
-    tail = lambda w: F.regexp_extract(w, r"(?U)(\W*)$", 1)
-    ends = lambda i: F.exists("spans", lambda s: s["pos"] + s["n"] - 1 == i)
-    inside = lambda i: F.exists("spans", lambda s: (i >= s["pos"]) & (i < s["pos"] + s["n"]))
-    shown = F.transform(
-        "_words",
-        lambda w, i: F.when(~inside(i), w).otherwise(
-            F.concat(F.when(starts(i), F.lit(mask)).otherwise(F.lit("")), F.when(ends(i), tail(w)).otherwise(F.lit("")))
-        ),
+
+    def masked(span: Column) -> Column:
+        last = F.get("_words", span["pos"] + span["n"] - 1)
+        return F.concat(F.lit(mask), F.regexp_extract(last, r"(?U)(\W*)$", 1))
+
+    replaced = F.when(F.col("spans").isNull(), F.coalesce(F.col(text), F.lit(""))).otherwise(
+        F.array_join(_between_spans("_words", "spans", masked), " ")
     )
-    masked = F.array_join(F.filter(shown, lambda w: w != ""), " ")
-    replaced = F.when(F.col("spans").isNull(), F.coalesce(F.col(text), F.lit(""))).otherwise(masked)
     out = docs.join(spans, key, "left").withColumn(text, tx.mask_identifiers(replaced, mask))
     return out.drop("_words", "tokens", "spans")
 
@@ -144,11 +159,15 @@ def preprocess(
 
 
 def topic_documents(df: DataFrame, key: str, text: str, stop: Sequence[str], lemmas: DataFrame) -> DataFrame:
-    """Light and lemmatised variants side by side; rows with either one empty are dropped."""
+    """Light and lemmatised variants side by side; rows with either one empty are dropped.
+
+    The lemmatised text is made from the light one, so the patterns run once, and it is empty
+    whenever the light one is, so one filter (which stays above the join) covers both.
+    """
     base = df.where(F.col(text).isNotNull() & (tx.strip(F.col(text)) != ""))
-    both = preprocess(base, key, text, "text_light", regex=True, lower=True)
-    both = preprocess(both, key, text, "text_lemma", regex=True, lower=True, stop=stop, lemmas=lemmas)
-    return both.where((tx.strip(F.col("text_light")) != "") & (tx.strip(F.col("text_lemma")) != ""))
+    light = preprocess(base, key, text, "text_light", regex=True, lower=True)
+    both = preprocess(light, key, "text_light", "text_lemma", stop=stop, lemmas=lemmas)
+    return both.where(F.col("text_lemma") != "")
 
 
 # Layout of the case collection.
@@ -161,7 +180,7 @@ def split_cases(df: DataFrame, key: str, text: str) -> DataFrame:
     """One row per numbered case: title, description, discussion and diagnosis."""
     body = F.regexp_replace(F.col(text), rf"(?is){READING_LIST}.*?(?={CASE_START}|\z)", "")
     parts = F.filter(F.split(body, rf"(?={CASE_START})"), lambda p: p.rlike(rf"^{CASE_START}"))
-    cases = df.select(key, F.posexplode(parts).alias("case_no", "part"))
+    cases = pos_exploded(df, [key], parts, "case_no", "part")
     content = tx.strip(F.regexp_replace("part", rf"^{CASE_START}", ""))
     cases = cases.select(key, "case_no", F.split(content, "\n").alias("lines"))
     is_text = F.transform(
@@ -196,10 +215,8 @@ def chunk_words(df: DataFrame, key: str, text: str, size: int = 200, overlap: in
     last = F.ceil(F.greatest(F.size("_w") - size, F.lit(0)) / step).cast("int")
     starts = F.when(F.size("_w") > 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
     chunks = F.transform(starts, lambda i: F.array_join(F.slice("_w", i * step + 1, size), " "))
-    return (
-        df.withColumn("_w", tx.words(F.col(text)))
-        .select(*[c for c in df.columns if c != text], F.posexplode(chunks).alias("chunk_no", "content"))
-    )
+    cut = df.withColumn("_w", tx.words(F.col(text)))
+    return pos_exploded(cut, [c for c in df.columns if c != text], chunks, "chunk_no", "content")
 
 
 SEPARATORS = ("\n\n", "\n", ". ", " ", "")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from forumlens.operators.clusters import centroids
 from forumlens.operators.coherence import pair_coherence
 from forumlens.operators.counts import topic_counts
 from forumlens.operators.merge import named
+from forumlens.operators.sizing import hint_for
 from forumlens.operators.stats import in_trials, p_verdict, seeded_order
 from forumlens.session import cut
 
@@ -188,9 +189,10 @@ def greedy_communities(edges: DataFrame, weight: str, exact: bool = True) -> Dat
     )
     total = links.agg(F.sum("w").alias("m")).first()["m"]
     members = cut(links.select(F.explode(F.array("a", "b")).alias("id")).distinct().withColumn("community", F.col("id")))
+    small = hint_for(members.count())
     rounds = 0
     while total:
-        gains = _merge_gains(links, total)
+        gains = _merge_gains(links, total, small)
         if exact:
             best = gains.orderBy(F.desc("gain"), "a", "b").first()
             if best is None:
@@ -216,14 +218,14 @@ def greedy_communities(edges: DataFrame, weight: str, exact: bool = True) -> Dat
     return members.join(numbered, "community").select("id", F.col("_no").alias("community"))
 
 
-def _merge_gains(links: DataFrame, total: float) -> DataFrame:
+def _merge_gains(links: DataFrame, total: float, small: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Modularity gained by merging each linked pair: w/m - k_a k_b / (2 m^2)."""
     ends = F.explode(F.array(F.struct(F.col("a").alias("c"), "w"), F.struct(F.col("b").alias("c"), "w"))).alias("e")
     degree = links.select(ends).groupBy("e.c").agg(F.sum("e.w").alias("k"))
     k_a = degree.select(F.col("c").alias("a"), F.col("k").alias("k_a"))
     k_b = degree.select(F.col("c").alias("b"), F.col("k").alias("k_b"))
     gain = F.col("w") / total - F.col("k_a") * F.col("k_b") / (2 * total * total)
-    pairs = links.where(F.col("a") != F.col("b")).join(k_a, "a").join(k_b, "b")
+    pairs = links.where(F.col("a") != F.col("b")).join(small(k_a), "a").join(small(k_b), "b")
     return pairs.select("a", "b", F.round(gain, 15).alias("gain")).where(F.col("gain") > 1e-12)
 
 

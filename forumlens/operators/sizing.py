@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,11 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     return F.broadcast(stored) if stored.count() <= max_rows else stored
 
 
+def hint_for(n_rows: int, max_rows: int = MAX_ROWS) -> Callable[[DataFrame], DataFrame]:
+    """Broadcast hint for tables of at most ``n_rows`` rows, or none when that is over the bound."""
+    return F.broadcast if n_rows <= max_rows else lambda df: df
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores for heavy per-row work when the input has fewer splits than there are cores.
 

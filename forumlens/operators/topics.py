@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from forumlens.functions.text import remove_stop_words, tokenize
 from forumlens.operators.counts import top_k
 from forumlens.operators.evaluation import word_ngrams
+from forumlens.operators.rows import exploded
 from forumlens.operators.sizing import broadcast_if_small
+from forumlens.session import staged
 
 
 def with_ngrams(docs: DataFrame, text: str, stop: Sequence[str], n_max: int, to: str) -> DataFrame:
@@ -41,7 +43,7 @@ def ngram_counts(
         "_g", lambda g, i: F.struct(g.alias("term"), ((i == 0) | (F.get("_g", i - 1) != g)).alias("new"))
     )
     return (
-        rows.select(*keys, F.explode(marked).alias("t"))
+        exploded(rows, keys, marked, "t")
         .groupBy(*keys, "t.term")
         .agg(F.count("*").alias("tf"), F.count_if(F.col("t.new")).alias("df"))
     )
@@ -68,8 +70,9 @@ def class_tfidf(counts: DataFrame, keys: Sequence[str] = ("category",), dampen:
 
     ``counts`` has keys, topic, term, tf; A is the mean number of words per topic, rounded down;
     f is the square root when frequent words are dampened. The windows hold at most one row per
-    topic, since the input is already counted.
+    topic, since the input is already counted. The counts are written once, as they are read twice.
     """
+    counts = staged(counts, "term-counts")
     per_topic = counts.groupBy(*keys, "topic").agg(F.sum("tf").alias("_words"))
     per_topic = per_topic.withColumn("_mean", F.floor(F.avg("_words").over(Window.partitionBy(*keys))))
     total = F.sum("tf").over(Window.partitionBy(*keys, "term"))
@@ -90,10 +93,9 @@ def term_vectors(docs: DataFrame, candidates: DataFrame, text: str, stop: Sequen
     Each document meets the short candidate list of its topic; only matching terms are exploded.
     """
     lists = broadcast_if_small(candidates.groupBy("category", "topic").agg(F.collect_list("term").alias("_terms")))
-    found = with_ngrams(docs.join(lists, ["category", "topic"]), text, stop, n_max, "_g").select(
-        "category", "topic", F.explode(F.array_intersect("_g", "_terms")).alias("term"),
-        array_to_vector(F.col("embedding").cast("array<double>")).alias("_f"),
-    )
+    grams = with_ngrams(docs.join(lists, ["category", "topic"]), text, stop, n_max, "_g")
+    vector = array_to_vector(F.col("embedding").cast("array<double>")).alias("_f")
+    found = exploded(grams, ["category", "topic", vector], F.array_intersect("_g", "_terms"), "term")
     return found.groupBy("category", "topic", "term").agg(vector_to_array(Summarizer.mean(F.col("_f"))).alias("vector"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forumlens.operators import clusters, counts, graph, stats, topics
+from forumlens.operators.rows import exploded
 from forumlens.plans.registry import documents, query, table
 from forumlens.plans.texts import SHORT_STOP, sql_list, sql_tokens
 
@@ -144,7 +145,7 @@ coherent AS (SELECT src, dst, avg(CASE WHEN size > 0 THEN vt / size ELSE 0 END)
 def keywords(spark: SparkSession, d: str) -> DataFrame:
     from forumlens.functions.text import tokenize
 
-    words = documents(spark, d).select((F.col("doc_id") % 40).alias("node"), F.explode(tokenize(F.lower("text"), 2)).alias("t"))
+    words = exploded(documents(spark, d), [(F.col("doc_id") % 40).alias("node")], tokenize(F.lower("text"), 2), "t")
     freq = words.groupBy("node", "t").agg(F.count("*").alias("n"))
     top = counts.top_k(freq, ["node"], [F.desc("n"), F.asc("t")], 10)
     ordered = F.sort_array(F.collect_list(F.struct("rank", "t")))

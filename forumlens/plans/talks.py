@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from forumlens.functions import text as tx
 from forumlens.operators import conversation, counts, evaluation
-from forumlens.plans.registry import query, table
+from forumlens.operators.rows import exploded
+from forumlens.plans.registry import documents, query, table
 from forumlens.plans.texts import sql_list, sql_tokens, sql_words
 
 
@@ -87,7 +88,7 @@ def e3(spark: SparkSession, d: str) -> DataFrame:
     SELECT lang, round(count(DISTINCT t) / count(*), 6)::DOUBLE AS distinct_ratio FROM t GROUP BY lang""",
 )
 def a12(spark: SparkSession, d: str) -> DataFrame:
-    tokens = table(spark, d, "documents").select("lang", F.explode(tx.tokenize(F.lower("text"))).alias("t"))
+    tokens = exploded(documents(spark, d), ["lang"], tx.tokenize(F.lower("text")), "t")
     return counts.distinct_ratio(tokens, ["lang"], "t").withColumn("distinct_ratio", F.round("distinct_ratio", 6))
 
 
@@ -130,7 +131,7 @@ def e5(spark: SparkSession, d: str) -> DataFrame:
 
 @query("e6_toxicity")
 def e6(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select("doc_id", tx.tokenize(F.lower("text"), 2).alias("tokens"))
+    docs = documents(spark, d).select("doc_id", tx.tokenize(F.lower("text"), 2).alias("tokens"))
     labelled = docs.join(table(spark, d, "labels").select("doc_id", F.col("toxic").cast("double").alias("label")), "doc_id")
     model = evaluation.toxicity_model(labelled, "tokens", "label", 1 << 14)
     return evaluation.toxicity(docs, model).select("doc_id", F.round("toxicity", 4).alias("toxicity"))

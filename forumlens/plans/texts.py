@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from forumlens.functions import text as tx
 from forumlens.operators import documents as dm
+from forumlens.operators.rows import exploded
 from forumlens.plans.ingest import sql_collapse, sql_light, sql_strip, sql_words
 from forumlens.plans.registry import documents, query, table
 
@@ -134,8 +135,8 @@ def t8(spark: SparkSession, d: str) -> DataFrame:
 
 def lemma_table(spark: SparkSession, d: str) -> DataFrame:
     """Corpus words ending in -ing, mapped to their stem."""
-    token = F.explode(tx.tokenize(F.lower("text"))).alias("token")
-    words = documents(spark, d).select(token).where(F.col("token").rlike("^[a-z]{2,}ing$")).distinct()
+    tokens = exploded(documents(spark, d), [], tx.tokenize(F.lower("text")), "token")
+    words = tokens.where(F.col("token").rlike("^[a-z]{2,}ing$")).distinct()
     return words.select("token", F.regexp_replace("token", "ing$", "").alias("lemma"))
 
 
