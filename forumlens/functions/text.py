@@ -168,7 +168,10 @@ def remove_stop_words(tokens: Column, stop: Sequence[str]) -> Column:
 
 
 def join_spaced_letters(text: Column) -> Column:
-    """"p s y c h" -> "psych", only when three spaced single letters occur somewhere."""
+    """"p s y c h " -> "psych ", only when three spaced single letters occur somewhere.
+
+    A letter joins the next one if a space follows that one; one pass reaches the end state.
+    """
     joined = F.regexp_replace(text, r"(?U)\b(\w) (?=\w )", "$1")
     return F.when(text.rlike(r"(?U)\b(\w) (\w) (\w)"), joined).otherwise(text)
 

@@ -85,23 +85,23 @@ def v2(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "v3_top_inner_product",
-    f"WITH {TOP_SQL} SELECT query_id, doc_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM top WHERE rank <= 10",
+    f"WITH {TOP_SQL} SELECT query_id, doc_id, score, CAST(rank AS INTEGER) AS rank FROM top WHERE rank <= 10",
 )
 def v3(spark: SparkSession, d: str) -> DataFrame:
     corpus = table(spark, d, "embeddings").withColumnRenamed("vec_id", "doc_id")
-    return search.top_inner_product(queries_of(spark, d), corpus, 10).withColumn("score", F.round("score", 6))
+    return search.top_inner_product(queries_of(spark, d), corpus, 10)
 
 
 @query(
     "j5_score_within_label",
     f"""WITH {TOP_SQL}, own AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS r FROM pairs WHERE label = doc_label)
-    SELECT query_id, doc_id, round(score, 6) AS score, CAST(r AS INTEGER) AS rank FROM own WHERE r <= 5""",
+    SELECT query_id, doc_id, score, CAST(r AS INTEGER) AS rank FROM own WHERE r <= 5""",
 )
 def j5(spark: SparkSession, d: str) -> DataFrame:
     corpus = table(spark, d, "embeddings").withColumnRenamed("vec_id", "doc_id")
     asked = queries_of(spark, d).withColumn("routes", F.array("label"))
     found = search.top_inner_product(asked, corpus, 5, route="label", routes="routes")
-    return found.withColumn("score", F.round("score", 6))
+    return found
 
 
 @query("v5_approximate_top")
@@ -160,7 +160,7 @@ def hits(spark: SparkSession, d: str, key: str = "passage_id", carry=("content",
 
 @query(
     "a8_best_per_passage",
-    f"""WITH {hits_sql()} SELECT query_id, passage_id, round(max(score), 6) AS score, count(*) AS n_variants
+    f"""WITH {hits_sql()} SELECT query_id, passage_id, max(score) AS score, count(*) AS n_variants
     FROM per_variant WHERE rn <= 10 GROUP BY query_id, passage_id""",
 )
 def a8(spark: SparkSession, d: str) -> DataFrame:
@@ -168,34 +168,34 @@ def a8(spark: SparkSession, d: str) -> DataFrame:
     each = search.top_inner_product(
         routed, passages(spark, d), 10, query_keys=("query_id", "variant_no"), carry=("passage_id",), route="category", routes="routes"
     )
-    return each.groupBy("query_id", "passage_id").agg(F.round(F.max("score"), 6).alias("score"), F.count("*").alias("n_variants"))
+    return each.groupBy("query_id", "passage_id").agg(F.max("score").alias("score"), F.count("*").alias("n_variants"))
 
 
 @query(
     "q1_retrieve",
-    f"""WITH {hits_sql()} SELECT query_id, passage_id, content, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM hits WHERE rank <= 10""",
+    f"""WITH {hits_sql()} SELECT query_id, passage_id, content, score, CAST(rank AS INTEGER) AS rank FROM hits WHERE rank <= 10""",
 )
 def q1(spark: SparkSession, d: str) -> DataFrame:
     found = hits(spark, d, carry=("content",))
-    return found.select("query_id", "passage_id", "content", F.round("score", 6).alias("score"), "rank")
+    return found.select("query_id", "passage_id", "content", "score", "rank")
 
 
 @query(
     "q2_retrieve_by_content",
-    f"""WITH {hits_sql(key='content')} SELECT query_id, passage_id, content, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM hits WHERE rank <= 10""",
+    f"""WITH {hits_sql(key='content')} SELECT query_id, passage_id, content, score, CAST(rank AS INTEGER) AS rank FROM hits WHERE rank <= 10""",
 )
 def q2(spark: SparkSession, d: str) -> DataFrame:
     found = hits(spark, d, "content", carry=())
-    return found.select("query_id", "passage_id", "content", F.round("score", 6).alias("score"), "rank")
+    return found.select("query_id", "passage_id", "content", "score", "rank")
 
 
 @query(
     "p9_score_threshold",
-    f"""WITH {hits_sql()} SELECT query_id, passage_id, round(score, 6) AS score FROM hits WHERE rank <= 10 AND score > 0.7""",
+    f"""WITH {hits_sql()} SELECT query_id, passage_id, score FROM hits WHERE rank <= 10 AND score > 0.7""",
 )
 def p9(spark: SparkSession, d: str) -> DataFrame:
     found = hits(spark, d, carry=()).where(F.col("score") > 0.7)
-    return found.select("query_id", "passage_id", F.round("score", 6).alias("score"))
+    return found.select("query_id", "passage_id", "score")
 
 
 MOOD_SQL = "CASE sentiment WHEN 'positive' THEN 0 WHEN 'neutral' THEN 1 WHEN 'negative' THEN 2 ELSE 3 END"
@@ -219,22 +219,22 @@ def o1(spark: SparkSession, d: str) -> DataFrame:
       ORDER BY {MOOD_SQL}, score DESC, passage_id) AS found FROM hits WHERE rank <= 10 GROUP BY query_id),
     kept AS (SELECT query_id, list_reduce(found, lambda acc, h: CASE WHEN len(list_filter(acc,
       lambda o: list_cosine_similarity(o.e, h[1].e) > 0.3)) > 0 THEN acc ELSE list_concat(acc, h) END) AS kept FROM listed)
-    SELECT query_id, CAST(i AS INTEGER) AS rank, kept[i].id AS passage_id, kept[i].s AS sentiment, round(kept[i].score, 6) AS score
+    SELECT query_id, CAST(i AS INTEGER) AS rank, kept[i].id AS passage_id, kept[i].s AS sentiment, kept[i].score AS score
     FROM (SELECT query_id, kept, unnest(range(1, least(len(kept), 5) + 1)) AS i FROM kept)""",
 )
 def q3(spark: SparkSession, d: str) -> DataFrame:
     found = hits(spark, d, carry=("sentiment", "embedding"))
-    return retrieval.rerank_diverse(found, limit=0.3).withColumn("score", F.round("score", 6))
+    return retrieval.rerank_diverse(found, limit=0.3)
 
 
 @query(
     "q4_match_entities",
-    f"""WITH {TOP_SQL} SELECT query_id, doc_id AS entity_id, round(score, 6) AS score FROM top WHERE rank <= 4 AND score > 0.35""",
+    f"""WITH {TOP_SQL} SELECT query_id, doc_id AS entity_id, score FROM top WHERE rank <= 4 AND score > 0.35""",
 )
 def q4(spark: SparkSession, d: str) -> DataFrame:
     entities = table(spark, d, "embeddings").withColumnRenamed("vec_id", "entity_id")
     found = retrieval.match_entities(queries_of(spark, d), entities, 4, 0.35)
-    return found.select("query_id", "entity_id", F.round("score", 6).alias("score"))
+    return found.select("query_id", "entity_id", "score")
 
 
 @query(

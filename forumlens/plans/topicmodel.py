@@ -153,10 +153,13 @@ pw AS (SELECT DISTINCT a.doc_id, a.category, a.topic, a.word AS w1, b.word AS w2
   ON a.doc_id = b.doc_id AND a.topic = b.topic AND a.word <= b.word),
 po AS (SELECT p.*, o.pos, o.lo, o.hi FROM pw p JOIN occ o ON o.doc_id = p.doc_id AND o.topic = p.topic AND o.word IN (p.w1, p.w2)),
 pl AS (SELECT *, lag(hi) OVER (PARTITION BY doc_id, topic, w1, w2 ORDER BY pos) AS before FROM po),
-pc AS (SELECT category, topic, w1, w2, sum(greatest(hi - greatest(lo, coalesce(before, -1) + 1) + 1, 0)) AS n FROM pl GROUP BY ALL),
+pd AS (SELECT doc_id, category, topic, w1, w2, sum(greatest(hi - greatest(lo, coalesce(before, -1) + 1) + 1, 0)) AS n FROM pl GROUP BY ALL),
+pb AS (SELECT e.category, e.topic, e.w1, e.w2, CASE WHEN e.w1 = e.w2 THEN e.n ELSE a.n + b.n - e.n END AS n FROM pd e
+  JOIN pd a ON a.doc_id = e.doc_id AND a.topic = e.topic AND a.w1 = e.w1 AND a.w2 = e.w1 JOIN pd b ON b.doc_id = e.doc_id AND b.topic = e.topic AND b.w1 = e.w2 AND b.w2 = e.w2),
+pc AS (SELECT category, topic, w1, w2, sum(n) AS n FROM pb GROUP BY ALL),
 one AS (SELECT v.category, v.topic, v.word, coalesce(pc.n, 0) AS c FROM vw v LEFT JOIN pc ON pc.category = v.category AND pc.topic = v.topic AND pc.w1 = v.word AND pc.w2 = v.word),
 grid AS (SELECT a.category, a.topic, a.word AS w1, b.word AS w2, a.c / total AS p1, b.c / total AS p2,
-    CASE WHEN a.word = b.word THEN a.c ELSE coalesce(a.c + b.c - pc.n, 0) END / total AS p12
+    CASE WHEN a.word = b.word THEN a.c ELSE coalesce(pc.n, 0) END / total AS p12
   FROM one a JOIN one b ON a.category = b.category AND a.topic = b.topic JOIN total t ON t.category = a.category
   LEFT JOIN pc ON pc.category = a.category AND pc.topic = a.topic AND pc.w1 = least(a.word, b.word) AND pc.w2 = greatest(a.word, b.word)),
 cells AS (SELECT category, topic, w1, w2, CASE WHEN p1 = 0 OR p2 = 0 THEN 0 ELSE ln((p12 + 1e-12::DOUBLE) / (p1 * p2)) / -ln(p12 + 1e-12::DOUBLE) END AS v FROM grid),
