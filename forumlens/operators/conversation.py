@@ -58,15 +58,16 @@ def kept_history(
     at least 100, so only ``budget / 100`` earlier messages can matter.
     """
     back = math.ceil(budget / 100) + 2
-    sized = turns.withColumn("_cost", token_estimate(F.col("text")))
+    sized = turns.withColumns(
+        {"_cost": token_estimate(F.col("text")), "_left": F.lit(float(budget)) - prompt_tokens}
+    )
     made = {"_h": lambda w: F.collect_list(F.struct(F.col("turn").alias("turn"), F.col("_cost").alias("cost"))).over(w)}
     out = lookback(sized, KEYS, "turn", back, made, width).where(F.col("role") == "user")
-    left = F.lit(float(budget)) - prompt_tokens
     # Walk back from the newest message; count how many fit.
     start = F.struct(F.lit(0.0).alias("used"), F.lit(0).alias("n"), F.lit(True).alias("open"))
 
     def walk(acc: Column, h: Column) -> Column:
-        fits = acc["open"] & (acc["used"] + h["cost"] <= left)
+        fits = acc["open"] & (acc["used"] + h["cost"] <= F.col("_left"))
         return F.struct(
             F.when(fits, acc["used"] + h["cost"]).otherwise(acc["used"]).alias("used"),
             (acc["n"] + fits.cast("int")).alias("n"),

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
@@ -21,9 +22,10 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from forumlens.operators.counts import top_k
 
-# Upper bound of one broadcast block: 1024 queries x 768 dimensions x 8 bytes is about 6 MB.
-QUERY_BLOCK = 1024
-ROWS_AT_ONCE = 4096
+# Upper bound of one shipped block: 8192 queries x 768 dimensions x 8 bytes is about 50 MB.
+QUERY_BLOCK = 8192
+# Scores held at a time, 32 MB: the more queries, the fewer corpus rows per step.
+SCORES_AT_ONCE = 1 << 22
 # Scores are compared on this many digits, so equal vectors tie and the id decides.
 DIGITS = 9
 
@@ -73,9 +75,10 @@ def _scan(
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = _Best(len(keys), k)
+        step = max(64, SCORES_AT_ONCE // len(keys))
         for whole in batches:
-            for start in range(0, whole.num_rows, ROWS_AT_ONCE):
-                batch = whole.slice(start, ROWS_AT_ONCE)
+            for start in range(0, whole.num_rows, step):
+                batch = whole.slice(start, step)
                 corpus = _matrix(batch.column(vector))
                 columns = [batch.column(c) for c in carry]
                 if route is None:
@@ -176,21 +179,13 @@ def approximate_top(
     features = array_to_vector(F.col(vector).cast("array<double>"))
     located = model.transform(corpus.withColumn("features", features)).drop("features")
     centres = np.array(model.clusterCenters())
-    order = F.array(
-        *[
-            F.struct(
-                F.aggregate(
-                    F.zip_with(vector, F.array(*[F.lit(float(x)) for x in c]), lambda a, b: (a - b) * (a - b)),
-                    F.lit(0.0).cast("double"),
-                    lambda s, x: s + x,
-                ).alias("d"),
-                F.lit(i).alias("cell"),
-            )
-            for i, c in enumerate(centres)
-        ]
-    )
-    nearest = F.transform(F.slice(F.sort_array(order), 1, probes), lambda s: s["cell"])
+
+    @F.pandas_udf("array<int>")
+    def nearest(batch: pd.Series) -> pd.Series:
+        distance = (centres**2).sum(axis=1) - 2 * np.stack(batch.to_list()) @ centres.T
+        return pd.Series(list(np.argsort(distance, axis=1, kind="stable")[:, :probes].astype("int32")))
+
     return top_inner_product(
-        queries.withColumn("_cells", nearest), located, k,
+        queries.withColumn("_cells", nearest(vector)), located, k,
         query_keys=query_keys, carry=carry, vector=vector, route="cell", routes="_cells",
     )

@@ -129,6 +129,13 @@ def e5(spark: SparkSession, d: str) -> DataFrame:
     return answers_of(spark, d).select("conv_id", "turn", F.round(mood(), 6).alias("empathy"))
 
 
+@query("e5_sentiment_by_table", f"WITH {SENTIMENT_SQL} SELECT conv_id, turn, round(empathy, 6)::DOUBLE AS sentiment FROM moods")
+def e5_table(spark: SparkSession, d: str) -> DataFrame:
+    lexicon = spark.createDataFrame(list(VALENCES.items()), "token string, valence double")
+    out = evaluation.sentiment_by_table(answers_of(spark, d), ["conv_id", "turn"], "text", lexicon, NEGATIONS)
+    return out.withColumn("sentiment", F.round("sentiment", 6))
+
+
 @query("e6_toxicity")
 def e6(spark: SparkSession, d: str) -> DataFrame:
     docs = documents(spark, d).select("doc_id", tx.tokenize(F.lower("text"), 2).alias("tokens"))

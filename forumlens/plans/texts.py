@@ -243,7 +243,16 @@ def t13(spark: SparkSession, d: str) -> DataFrame:
     return documents(spark, d).select("doc_id", tx.mask_identifiers(F.col("text")).alias("text"))
 
 
-@query("t13_mask_people")
+EDGE = r"[^\p{L}\p{N}_]"
+
+
+@query(
+    "t13_mask_people",
+    f"""WITH {SQL_NAMES}, w AS (SELECT doc_id, lang, text, names, {sql_words('text')} AS w FROM documents, names),
+    m AS (SELECT *, list_transform(w, lambda x: CASE WHEN lang = 'en' AND list_contains(names, regexp_replace(lower(x), '^{EDGE}+|{EDGE}+$', '', 'g'))
+      THEN '[PATIENT]' || regexp_extract(x, '({EDGE}*)$', 1) ELSE x END) AS shown FROM w)
+    SELECT doc_id, {sql_mask("CASE WHEN list_count(list_filter(shown, lambda x: starts_with(x, '[PATIENT]'))) > 0 THEN array_to_string(shown, ' ') ELSE text END")} AS text FROM m""",
+)
 def t13_people(spark: SparkSession, d: str) -> DataFrame:
     docs = documents(spark, d).select("doc_id", F.col("lang").alias("category"), "text")
     return dm.mask_people(docs, "doc_id", "text", benchmark_names(spark, d)).select("doc_id", "text")
