@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from forumlens.functions.text import hypothetical_document, query_variants
 from forumlens.functions.vectors import dot, norm
 from forumlens.operators.counts import top_k
+from forumlens.operators.rows import pos_exploded
 from forumlens.operators.search import top_inner_product
 from forumlens.session import cut
 
@@ -33,6 +35,20 @@ def with_fallback_category(queries: DataFrame, corpus: DataFrame, fallback: str
     )
 
 
+def variant_texts(asked: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, variant_no, text) to embed and search, by ``strategy``.
+
+    original: the query; multi: usable lines of the reply without the query (three fixed variants
+    when too few); hyde: the reply as a hypothetical answer.
+    """
+    texts = (
+        F.when(F.col("strategy") == "multi", query_variants(F.col("query"), F.col("reply")))
+        .when(F.col("strategy") == "hyde", F.array(hypothetical_document(F.col("reply"))))
+        .otherwise(F.array("query"))
+    )
+    return pos_exploded(asked, keys, texts, "variant_no", "text")
+
+
 def retrieve(
     variants: DataFrame,
     corpus: DataFrame,

@@ -21,6 +21,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from forumlens.operators.counts import top_k
+from forumlens.session import cut
 
 # Upper bound of one shipped block: 8192 queries x 768 dimensions x 8 bytes is about 50 MB.
 QUERY_BLOCK = 8192
@@ -127,9 +128,11 @@ def top_inner_product(
     More queries than one block are handled block by block; the result is exact either way.
     """
     spark = corpus.sparkSession
+    wanted = [*query_keys, vector] + ([routes] if routes else [])
+    # Written once, then counted and read block by block.
+    queries = cut(queries.select(*wanted))
     n_blocks = max(1, -(-queries.count() // block))
     in_block = F.pmod(F.xxhash64(*query_keys), F.lit(n_blocks))
-    wanted = [*query_keys, vector] + ([routes] if routes else [])
     scanned = corpus.select(*dict.fromkeys([*carry, vector] + ([route] if route else [])))
     out_schema = StructType(
         [queries.schema[c] for c in query_keys]
@@ -138,7 +141,7 @@ def top_inner_product(
     )
     found = None
     for b in range(n_blocks):
-        rows = queries.where(in_block == b).select(*wanted).collect()
+        rows = queries.where(in_block == b).collect()
         if not rows:
             continue
         scan = _scan(

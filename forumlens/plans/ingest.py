@@ -170,13 +170,13 @@ def _sql_plain(x: str) -> str:
       {_sql_plain("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")} AS title,
       {_sql_plain("regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1)")} AS heading,
       {_sql_plain("regexp_extract(html, '(?is)<article[^>]*>(.*?)</article>', 1)")} AS body,
-      regexp_extract_all(html, '(?i)<a\\s[^>]*?href="([^"]*)"', 1) AS links,
+      array_to_string(regexp_extract_all(html, '(?i)<a\\s[^>]*?href="([^"]*)"', 1), ' ') AS links,
       CASE WHEN starts_with(regexp_extract(regexp_extract(html, '(?i)(<a\\s[^>]*?rel="next"[^>]*>)', 1), 'href="([^"]*)"', 1), 'http')
         THEN regexp_extract(regexp_extract(html, '(?i)(<a\\s[^>]*?rel="next"[^>]*>)', 1), 'href="([^"]*)"', 1) END AS next_link
     FROM pages""",
 )
 def s7(spark: SparkSession, d: str) -> DataFrame:
-    return html.page_fields(table(spark, d, "pages"))
+    return html.page_fields(table(spark, d, "pages")).withColumn("links", F.array_join("links", " "))
 
 
 @query(
@@ -336,23 +336,24 @@ def a2(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "a7_distinct_values",
-    f"WITH {POSTS_SQL} SELECT category, list_sort(list(DISTINCT title)) AS titles FROM posts GROUP BY category",
+    f"WITH {POSTS_SQL} SELECT category, array_to_string(list_sort(list(DISTINCT title)), ' ') AS titles FROM posts GROUP BY category",
 )
 def a7(spark: SparkSession, d: str) -> DataFrame:
     """Distinct pairs first, so only distinct values are collected."""
     pairs = posts_of(spark, d).select("category", "title").distinct()
-    return pairs.groupBy("category").agg(F.sort_array(F.collect_list("title")).alias("titles"))
+    return pairs.groupBy("category").agg(F.array_join(F.sort_array(F.collect_list("title")), " ").alias("titles"))
 
 
 @query(
     "u1_union_frames",
-    """SELECT doc_id, lang, 'old' AS batch, CAST(NULL AS INTEGER) AS toxic FROM documents
-    UNION ALL SELECT doc_id, NULL, 'new', toxic FROM labels""",
+    """SELECT doc_id, lang, 'old' AS batch, CAST(-1 AS INTEGER) AS toxic FROM documents
+    UNION ALL SELECT doc_id, '', 'new', CAST(toxic AS INTEGER) FROM labels""",
 )
 def u1(spark: SparkSession, d: str) -> DataFrame:
     old = table(spark, d, "documents").select("doc_id", "lang", F.lit("old").alias("batch"))
     new = table(spark, d, "labels").select("doc_id", "toxic", F.lit("new").alias("batch"))
-    return merge.union_all(old, new.withColumn("toxic", F.col("toxic").cast("int")))
+    both = merge.union_all(old, new.withColumn("toxic", F.col("toxic").cast("int")))
+    return both.na.fill({"lang": "", "toxic": -1})
 
 
 MERGE_SQL = f"""WITH {POSTS_SQL},

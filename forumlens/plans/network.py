@@ -231,16 +231,16 @@ def g9(spark: SparkSession, d: str) -> DataFrame:
     deg AS (SELECT id, count(*) AS deg FROM ends GROUP BY id),
     stubs AS (SELECT id, unnest(range(1, deg + 1)) AS stub FROM deg),
     placed AS (SELECT trial, id, (row_number() OVER (PARTITION BY trial ORDER BY md5('42:' || CAST(trial AS VARCHAR) || ':' || CAST(id AS VARCHAR) || ':' || CAST(stub AS VARCHAR)), id, stub) - 1) // 2 AS pair
-      FROM stubs, (SELECT unnest(range(0, 200)) AS trial)),
+      FROM stubs, (SELECT unnest(range(0, 1000)) AS trial)),
     drawn AS (SELECT DISTINCT trial, src, dst FROM (SELECT trial, pair, min(id) AS src, max(id) AS dst FROM placed GROUP BY trial, pair) WHERE src <> dst),
     lab AS (SELECT trial, u.label AS label_u, v.label AS label_v FROM drawn JOIN nodes u ON u.id = src JOIN nodes v ON v.id = dst),
     q AS (SELECT trial, within / m - squares / (4 * m * m) AS q FROM ({sql_mixing('lab', '1.0::DOUBLE', 'trial')})),
     obs AS (SELECT within / m - squares / (4 * m * m) AS o FROM ({sql_mixing('kept', '1.0::DOUBLE')}))
-    SELECT round(sum(q) / 200, 6) AS null_mean, count(*) FILTER (WHERE round(q, 12) >= round(o, 12)) / 200 AS p, round(any_value(o), 6) AS observed,
-      CASE WHEN count(*) FILTER (WHERE round(q, 12) >= round(o, 12)) / 200 < 0.05 THEN 'Significant' ELSE 'Not significant' END AS verdict FROM q, obs""",
+    SELECT round(sum(q) / 1000, 6) AS null_mean, count(*) FILTER (WHERE round(q, 12) >= round(o, 12)) / 1000 AS p, round(any_value(o), 6) AS observed,
+      CASE WHEN count(*) FILTER (WHERE round(q, 12) >= round(o, 12)) / 1000 < 0.05 THEN 'Significant' ELSE 'Not significant' END AS verdict FROM q, obs""",
 )
 def g7(spark: SparkSession, d: str) -> DataFrame:
-    out = graph.null_model_test(nodes(spark, d).select("id", "label"), kept(spark, d), trials=200)
+    out = graph.null_model_test(nodes(spark, d).select("id", "label"), kept(spark, d), trials=1000)
     return out.select(F.round("null_mean", 6).alias("null_mean"), "p", F.round("observed", 6).alias("observed"), "verdict")
 
 
@@ -325,7 +325,7 @@ def w1(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "g13_permutation_test",
-    f"""WITH {NODES_SQL}, t AS (SELECT unnest(range(0, 200)) AS trial),
+    f"""WITH {NODES_SQL}, t AS (SELECT unnest(range(0, 2000)) AS trial),
     rk AS (SELECT trial, id, label, row_number() OVER (PARTITION BY trial ORDER BY id) AS a,
       row_number() OVER (PARTITION BY trial ORDER BY md5('42:' || CAST(trial AS VARCHAR) || ':' || CAST(id AS VARCHAR)), id) AS b FROM nodes, t),
     sh AS (SELECT x.trial, x.id, y.label FROM rk x JOIN rk y ON y.trial = x.trial AND y.a = x.b),
@@ -337,7 +337,7 @@ def w1(spark: SparkSession, d: str) -> DataFrame:
 )
 def g13(spark: SparkSession, d: str) -> DataFrame:
     edges = sims(spark, d).select("src", "dst", "original_sim")
-    out = stats.permutation_test(nodes(spark, d).select("id", "label"), edges, "original_sim", trials=200)
+    out = stats.permutation_test(nodes(spark, d).select("id", "label"), edges, "original_sim", trials=2000)
     return out.select("p", F.round("mean_shuffled", 6).alias("mean_shuffled"), F.round("observed", 6).alias("observed"), "verdict")
 
 

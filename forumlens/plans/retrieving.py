@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forumlens.functions import text as tx
 from forumlens.functions import vectors as vec
 from forumlens.operators import clusters, conversation, counts, embedding, evaluation, retrieval, search
 from forumlens.plans.registry import documents, query, table
-from forumlens.plans.texts import sql_words
+from forumlens.plans.ingest import sql_strip, sql_words
 
 # Embeddings read as passages and, at the same time, as a batch of queries.
 PASSAGES_SQL = """passages AS (
@@ -120,7 +121,7 @@ def v1(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "f2_model_hook",
-    f"""SELECT conv_id, turn, [CAST(length(text) AS FLOAT), CAST(len({sql_words('text')}) AS FLOAT)] AS embedding FROM conversations""",
+    f"""SELECT conv_id, turn, CAST(length(text) AS DOUBLE) AS chars, CAST(len({sql_words('text')}) AS DOUBLE) AS words FROM conversations""",
 )
 def f2(spark: SparkSession, d: str) -> DataFrame:
     """The batch hook with a stand-in for a model: text length and word count."""
@@ -131,7 +132,8 @@ def f2(spark: SparkSession, d: str) -> DataFrame:
         return lambda texts: np.array([[len(t), len(t.split())] for t in texts], dtype="float32")
 
     talk = table(spark, d, "conversations").select("conv_id", "turn", "text")
-    return embedding.model_vectors(talk, "text", make_model, normalize=False).select("conv_id", "turn", "embedding")
+    out = embedding.model_vectors(talk, "text", make_model, normalize=False)
+    return out.select("conv_id", "turn", *[F.get("embedding", i).cast("double").alias(n) for i, n in enumerate(("chars", "words"))])
 
 
 @query("v6_reduce_dims")
@@ -171,6 +173,28 @@ def a8(spark: SparkSession, d: str) -> DataFrame:
     return each.groupBy("query_id", "passage_id").agg(F.max("score").alias("score"), F.count("*").alias("n_variants"))
 
 
+@query(
+    "q1_variant_texts",
+    f"""WITH s AS (SELECT conv_id, turn, text, 'key ' || CAST(turn AS VARCHAR) AS q,
+        ['original', 'multi', 'hyde'][CAST(turn % 3 AS INTEGER) + 1] AS strategy FROM conversations),
+    g AS (SELECT *, list_filter(list_transform(string_split(text, chr(10)), lambda x: {sql_strip('x')}), lambda x: len({sql_words('x')}) > 2
+        AND NOT regexp_matches(x, '(?i)^({'|'.join(tx.ECHO_OPENINGS)})') AND lower(x) <> lower(q)) AS good FROM s),
+    u AS (SELECT *, list_filter(good, lambda x, i: list_position(good, x) = i)[1:5] AS uniq FROM g),
+    v AS (SELECT conv_id, turn, CASE strategy WHEN 'original' THEN [q]
+        WHEN 'multi' THEN CASE WHEN len(uniq) < 3 THEN [q, q || ' coping strategies', q || ' emotional support'] ELSE uniq END
+        ELSE [{sql_strip("replace(array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda x: " + sql_strip('x') + "), lambda x: x <> ''), ' '), 'Document:', '')")}] END AS v FROM u)
+    SELECT conv_id, turn, CAST(i AS INTEGER) AS variant_no, v[i + 1] AS text FROM (SELECT conv_id, turn, v, unnest(range(0, len(v))) AS i FROM v)""",
+)
+def variant_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Every message as a model reply; the strategy changes with the turn."""
+    strategy = F.get(F.array(*[F.lit(s) for s in ("original", "multi", "hyde")]), (F.col("turn") % 3).cast("int"))
+    asked = table(spark, d, "conversations").select(
+        "conv_id", "turn", F.concat(F.lit("key "), F.col("turn").cast("string")).alias("query"),
+        F.col("text").alias("reply"), strategy.alias("strategy"),
+    )
+    return retrieval.variant_texts(asked, ["conv_id", "turn"])
+
+
 @query(
     "q1_retrieve",
     f"""WITH {hits_sql()} SELECT query_id, passage_id, content, score, CAST(rank AS INTEGER) AS rank FROM hits WHERE rank <= 10""",

@@ -325,13 +325,13 @@ def t18(spark: SparkSession, d: str) -> DataFrame:
     f"""WITH l AS (SELECT doc_id, source AS q, list_transform(string_split(text, chr(10)), lambda x: {sql_strip('x')}) AS lines FROM documents),
     g AS (SELECT doc_id, q, list_filter(lines, lambda x: len({sql_words('x')}) > 2
         AND NOT regexp_matches(x, '(?i)^({'|'.join(tx.ECHO_OPENINGS)})') AND lower(x) <> lower(q)) AS good FROM l),
-    u AS (SELECT doc_id, q, list_filter(good, lambda x, i: list_position(good, x) = i)[1:5] AS good FROM g)
-    SELECT doc_id, CASE WHEN len(good) < 3 THEN [q, q || ' coping strategies', q || ' emotional support'] ELSE good END AS variants
-    FROM u""",
+    u AS (SELECT doc_id, q, list_filter(good, lambda x, i: list_position(good, x) = i)[1:5] AS good FROM g),
+    r AS (SELECT doc_id, CASE WHEN len(good) < 3 THEN [q, q || ' coping strategies', q || ' emotional support'] ELSE good END AS v FROM u)
+    SELECT doc_id, array_to_string(v, ' | ') AS variants FROM r""",
 )
 def t19(spark: SparkSession, d: str) -> DataFrame:
     variants = tx.query_variants(F.col("source"), F.col("text"))
-    return documents(spark, d).select("doc_id", variants.alias("variants"))
+    return documents(spark, d).select("doc_id", F.array_join(variants, " | ").alias("variants"))
 
 
 @query(

@@ -135,9 +135,9 @@ flat AS (SELECT category, topic, flatten(list(string_split(term, ' ') ORDER BY r
 word_lists AS (SELECT category, topic, list_filter(w, lambda x, i: list_position(w, x) = i) AS words FROM flat)"""
 
 
-@query("m9_topic_word_lists", f"WITH {WORD_LISTS_SQL} SELECT category, topic, words FROM word_lists")
+@query("m9_topic_word_lists", f"WITH {WORD_LISTS_SQL} SELECT category, topic, array_to_string(words, ' ') AS words FROM word_lists")
 def m9(spark: SparkSession, d: str) -> DataFrame:
-    return topics.topic_word_lists(terms(spark, d))
+    return topics.topic_word_lists(terms(spark, d)).withColumn("words", F.array_join("words", " "))
 
 
 COHERENCE_SQL = f"""{WORD_LISTS_SQL},
@@ -219,10 +219,11 @@ means AS (SELECT category, topic, i, avg(x) AS x FROM dims GROUP BY category, to
 centres AS (SELECT category, topic, list(x ORDER BY i) AS centroid FROM means GROUP BY category, topic)"""
 
 
-@query("v4_centroids", f"WITH {CENTRES_SQL} SELECT category, topic, list_transform(centroid, lambda x: round(x, 6)) AS centroid FROM centres")
+@query("v4_centroids", f"WITH {CENTRES_SQL} SELECT category, topic, CAST(i AS INTEGER) AS dim, round(x, 6) AS x FROM means")
 def v4(spark: SparkSession, d: str) -> DataFrame:
     out = clusters.centroids(vector_docs(spark, d), ["category", "topic"])
-    return out.select("category", "topic", F.transform("centroid", lambda x: F.round(x, 6) + F.lit(0.0)).alias("centroid"))
+    dims = out.select("category", "topic", F.posexplode("centroid").alias("dim", "x"))
+    return dims.select("category", "topic", (F.col("dim") + 1).alias("dim"), F.round("x", 6).alias("x"))
 
 
 PROBS_SQL = f"""{CENTRES_SQL},
