@@ -1 +1,8 @@
 """forumlens: discussion-text analytics as Spark DataFrame jobs."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# The few Python functions that run in tasks travel with the job, so workers need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -47,6 +47,16 @@ def page_fields(pages: DataFrame, url: str = "url", html: str = "html") -> DataF
     )
 
 
+# Class names of the stored forum pages.
+LIST_BLOCK = "custom-message-list all-discussions"
+BODY = "body-text"
+AUTHOR_INFO = "custom-tile-author-info"
+CATEGORY_INFO = "custom-tile-category-content"
+REPLIES = "custom-tile-replies"
+THREAD = "lia-component-message-list-detail-with-inline-editors"
+MESSAGES = "linear-message-list message-list"
+MESSAGE = "lia-quilt-row lia-quilt-row-message-main"
+
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
 
@@ -105,7 +115,7 @@ def _inner(element: _Element | None, *path: tuple[str, str], default: str = "")
 def _listed(markup: str) -> list[dict]:
     """Posts of one discussion list; entries without a second heading link are skipped."""
     root = _Tree(markup).root
-    block = root.find("div", "custom-message-list all-discussions")
+    block = root.find("div", LIST_BLOCK)
     after = next((e for e in root.walk() if e.tag == "a" and "next" in e.attrs.get("rel", "").split()), None)
     link = after.attrs.get("href", "") if after is not None else ""
     rows = []
@@ -120,10 +130,10 @@ def _listed(markup: str) -> list[dict]:
                 "href": anchors[1].attrs["href"],
                 "post_id": anchors[1].attrs["href"].split("/")[-1],
                 "title": anchors[1].text(),
-                "content": _inner(article, ("p", "body-text")),
-                "author": _inner(side, ("div", "custom-tile-author-info"), ("a", ""), ("span", "")),
-                "raw_date": _inner(side, ("div", "custom-tile-category-content"), ("time", "")),
-                "n_comments": _inner(article, ("li", "custom-tile-replies"), ("b", ""), default="0"),
+                "content": _inner(article, ("p", BODY)),
+                "author": _inner(side, ("div", AUTHOR_INFO), ("a", ""), ("span", "")),
+                "raw_date": _inner(side, ("div", CATEGORY_INFO), ("time", "")),
+                "n_comments": _inner(article, ("li", REPLIES), ("b", ""), default="0"),
                 "next_link": link if link.startswith("http") else None,
             }
         )
@@ -131,12 +141,12 @@ def _listed(markup: str) -> list[dict]:
 
 
 def _commented(markup: str) -> list[dict]:
-    section = _Tree(markup).root.find("div", "lia-component-message-list-detail-with-inline-editors")
-    messages = section.find("div", "linear-message-list message-list") if section is not None else None
+    section = _Tree(markup).root.find("div", THREAD)
+    messages = section.find("div", MESSAGES) if section is not None else None
     found = []
     for child in messages.items if messages is not None else ():
         if isinstance(child, _Element) and child.tag == "div":
-            main = child.find("div", "lia-quilt-row lia-quilt-row-message-main")
+            main = child.find("div", MESSAGE)
             if main is not None:
                 found.append(main.text())
     return [{"comments": found}]
