@@ -146,9 +146,14 @@ def _topic_lists(df: DataFrame, category: str, fields: Sequence[str]) -> DataFra
     return df.groupBy(category).agg(F.sort_array(F.collect_list(F.struct("topic", *fields))).alias("_topics"))
 
 
+def _vector_values(field: str) -> Column:
+    return F.aggregate("_topics", F.lit(0), lambda s, t: s + F.size(t[field]))
+
+
 def membership_probs(docs: DataFrame, centres: DataFrame, *, category: str = "category", vector: str = "embedding") -> DataFrame:
     """``probs``: softmax of the cosine to each topic of the category, ordered by topic."""
-    lists = broadcast_if_small(_topic_lists(centres.where(F.col("topic") != -1), category, ["centroid"]))
+    lists = _topic_lists(centres.where(F.col("topic") != -1), category, ["centroid"])
+    lists = broadcast_if_small(lists, values=_vector_values("centroid"))
     joined = docs.join(lists, category, "left")
     near = F.transform("_topics", lambda t: cosine(F.col(vector), t["centroid"]))
     return (
@@ -175,7 +180,7 @@ def silhouette_cosine(docs: DataFrame, *, category: str = "category", vector: st
     """
     kept = docs.where(F.col("topic") != -1).select(category, "topic", l2_normalize(F.col(vector)).alias("_x"))
     sums = centroids(kept, [category, "topic"], "_x", "_mean")
-    lists = broadcast_if_small(_topic_lists(sums, category, ["n", "_mean"]))
+    lists = broadcast_if_small(_topic_lists(sums, category, ["n", "_mean"]), values=_vector_values("_mean"))
     joined = kept.join(lists, category)
     near = F.transform(
         "_topics",

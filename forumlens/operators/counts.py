@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forumlens.functions.text import strip
+from forumlens.operators.sizing import broadcast_if_small
 
 
 def posts_per_year(df: DataFrame, day: str, category: str) -> DataFrame:
@@ -61,7 +62,7 @@ def histogram(df: DataFrame, groups: Sequence[str], value: str, bins: int = 20)
     width = F.when(flat, F.lit(1.0)).otherwise(F.col("_hi") - F.col("_lo"))
     slot = F.least(F.floor((F.col(value) - lo) / width * bins) + 1, F.lit(bins))
     return (
-        df.join(bounds, list(groups))
+        df.join(broadcast_if_small(bounds), list(groups))
         .groupBy(*groups, slot.cast("int").alias("bin"))
         .agg(F.count("*").alias("n"))
     )

@@ -4,21 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forumlens.session import cut
 
 MAX_ROWS = 20_000
+# Numbers inside array columns, 32 MB as doubles.
+MAX_VALUES = 4_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """Materialise a summary table and broadcast it only when its row count is within the bound.
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_ROWS, values: Column | None = None) -> DataFrame:
+    """Materialise a summary table and broadcast it only when its size is within the bound.
 
-    Beyond the bound it joins like any other table: by shuffle, with adaptive skew handling.
+    ``values`` is the length of a row's array columns, so that a few rows with long vectors are
+    measured too. Beyond the bound the table joins like any other: by shuffle, with adaptive skew
+    handling.
     """
     stored = cut(df)
-    return F.broadcast(stored) if stored.count() <= max_rows else stored
+    size = stored.agg(F.count("*").alias("rows"), F.sum(F.lit(0) if values is None else values).alias("values")).first()
+    small = size["rows"] <= max_rows and (size["values"] or 0) <= MAX_VALUES
+    return F.broadcast(stored) if small else stored
 
 
 def hint_for(n_rows: int, max_rows: int = MAX_ROWS) -> Callable[[DataFrame], DataFrame]:

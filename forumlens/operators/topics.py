@@ -92,7 +92,8 @@ def term_vectors(docs: DataFrame, candidates: DataFrame, text: str, stop: Sequen
 
     Each document meets the short candidate list of its topic; only matching terms are exploded.
     """
-    lists = broadcast_if_small(candidates.groupBy("category", "topic").agg(F.collect_list("term").alias("_terms")))
+    lists = candidates.groupBy("category", "topic").agg(F.collect_list("term").alias("_terms"))
+    lists = broadcast_if_small(lists, values=F.size("_terms"))
     grams = with_ngrams(docs.join(lists, ["category", "topic"]), text, stop, n_max, "_g")
     vector = array_to_vector(F.col("embedding").cast("array<double>")).alias("_f")
     found = exploded(grams, ["category", "topic", vector], F.array_intersect("_g", "_terms"), "term")
@@ -124,7 +125,8 @@ def mmr_terms(candidates: DataFrame, centres: DataFrame, diversity: float = 0.3,
         out["rank"] = np.arange(1, len(out) + 1, dtype="int32")
         return out[["category", "topic", "term", "weight", "rank"]]
 
-    joined = candidates.join(broadcast_if_small(centres.select("category", "topic", "centroid")), ["category", "topic"])
+    centres = broadcast_if_small(centres.select("category", "topic", "centroid"), values=F.size("centroid"))
+    joined = candidates.join(centres, ["category", "topic"])
     kinds = {f.name: f.dataType.simpleString() for f in candidates.schema.fields}
     schema = f"category {kinds['category']}, topic {kinds['topic']}, term string, weight double, rank int"
     return joined.groupBy("category", "topic").applyInPandas(choose, schema)

@@ -315,7 +315,17 @@ def topic_pairs(spark: SparkSession, d: str) -> DataFrame:
     return graph.similarity_edges(nodes)
 
 
-@query("m13_topic_hierarchy")
+# An edge belongs to the tree unless nearer edges already connect its ends.
+@query(
+    "m13_topic_hierarchy",
+    f"""WITH RECURSIVE {CENTRES_SQL}, n AS (SELECT category || '_' || CAST(topic AS VARCHAR) AS id, centroid FROM centres WHERE topic <> -1),
+    e AS (SELECT a.id AS src, b.id AS dst, round(1 - list_cosine_similarity(a.centroid, b.centroid), 9) AS d FROM n a JOIN n b ON a.id < b.id),
+    reach AS (SELECT src AS es, dst AS ed, d AS dd, src AS node FROM e UNION
+      SELECT r.es, r.ed, r.dd, CASE WHEN x.src = r.node THEN x.dst ELSE x.src END FROM reach r
+      JOIN e x ON (x.src = r.node OR x.dst = r.node) AND (x.d < r.dd OR (x.d = r.dd AND (x.src < r.es OR (x.src = r.es AND x.dst < r.ed)))))
+    SELECT CAST(row_number() OVER (ORDER BY d, src, dst) AS INTEGER) AS step, src, dst, d AS distance FROM e
+    WHERE NOT EXISTS (SELECT 1 FROM reach r WHERE r.es = e.src AND r.ed = e.dst AND r.node = e.dst)""",
+)
 def m13_tree(spark: SparkSession, d: str) -> DataFrame:
     edges = topic_pairs(spark, d).withColumn("distance", F.round(1 - F.col("original_sim"), 9))
     return graph.single_linkage(edges, "distance")
