@@ -140,3 +140,36 @@ def test_category_settings_with_defaults(spark):
     settings = spark.createDataFrame(topics.CATEGORY_SETTINGS, topics.SETTINGS_SCHEMA)
     got = {r["category"]: r["max_df"] for r in topics.category_config(found, settings, {"min_df": 1, "max_df": 0.9}).collect()}
     assert got == {"Anxiety": 0.5, "Other": 0.9}
+
+
+def test_sweep_counts_follow_moved_documents(spark):
+    rows = [(1, "k", "x y", 0), (2, "k", "aa bb", 0), (3, "k", "aa cc", 1), (4, "k", "cc", 1), (5, "k", "dd aa", 1)]
+    docs = spark.createDataFrame(rows, "doc_id int, category string, text string, cell int")
+    labels = spark.createDataFrame([(0, "k", 0, 7), (0, "k", 1, -1), (1, "k", 0, -1), (1, "k", 1, 3)], "shape int, category string, cell int, topic int")
+    moved = spark.createDataFrame([(3, 0, 7), (2, 1, 3)], "doc_id int, shape int, new_topic int")
+    per_cell = topics.ngram_counts(docs, ["category", "cell"], "text")
+    got = sweep.topic_term_counts(docs, per_cell, labels, moved, [])
+    direct = (
+        docs.join(labels, ["category", "cell"]).join(moved, ["doc_id", "shape"], "left")
+        .withColumn("topic", F.coalesce("new_topic", "topic"))
+    )
+    direct = topics.ngram_counts(direct, ["shape", "category", "topic"], "text").drop("df")
+    rows_of = lambda df: sorted(map(tuple, df.select("shape", "topic", "term", "tf").collect()))
+    assert rows_of(got) == rows_of(direct)
+
+
+def test_sweep_scores_every_configuration(spark):
+    rng = np.random.default_rng(8)
+    centres = np.eye(6)[:3]
+    rows = []
+    for i in range(150):
+        v = centres[i % 3] + rng.normal(scale=0.05, size=6)
+        rows.append((i, "ab"[i % 2], " ".join(f"w{i % 3}{rng.integers(6)}" for _ in range(12)), [float(x) for x in v]))
+    docs = spark.createDataFrame(rows, "doc_id int, category string, text string, embedding array<double>")
+    configs = sweep.grid(spark, [0.5, 1.0], [10, 40], [5])
+    scores = sweep.parameter_sweep(docs, configs, eps=0.3, dims=2).collect()
+    assert {(r["category"], r["config"]) for r in scores} == {(c, n) for c in "ab" for n in range(4)}
+    by = {(r["category"], r["config"]): r for r in scores}
+    # Three groups of 25 per category: found with clusters of 10, lost with clusters of 40.
+    assert by["a", 0]["silhouette"] > 0.8 and by["a", 1]["silhouette"] == 0.0
+    assert all(r["combined_score"] == pytest.approx((r["coherence"] + r["diversity"] + r["silhouette"]) / 3) for r in scores)
