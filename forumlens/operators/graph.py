@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forumlens.functions.vectors import cosine
-from forumlens.operators.clusters import centroids
+from forumlens.operators.clusters import centroids, connected_components
 from forumlens.operators.coherence import pair_coherence
 from forumlens.operators.counts import topic_counts
 from forumlens.operators.merge import named
@@ -253,8 +253,6 @@ def single_linkage(edges: DataFrame, distance: str) -> DataFrame:
 
     Every round each cluster takes its shortest outgoing edge (Boruvka), so a few rounds suffice.
     """
-    from forumlens.operators.clusters import connected_components
-
     links = cut(edges.select("src", "dst", F.col(distance).alias("d")))
     nodes = cut(links.select(F.explode(F.array("src", "dst")).alias("id")).distinct())
     labels = nodes.select("id", F.col("id").alias("component"))
