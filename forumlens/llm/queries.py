@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from forumlens.llm.fingerprints import edited_fingerprints
 from forumlens.llm.mixture import mix_sources
+from forumlens.llm.pieces import encode_texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,3 +37,13 @@ def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_mix_sources")
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir))[0]
+
+
+@query("op10_pieces")
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_texts(documents(spark, sf_dir)).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+    )
