@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from forumlens.llm.fingerprints import edited_fingerprints
 from forumlens.llm.mixture import mix_sources
 from forumlens.llm.pieces import encode_texts
+from forumlens.llm.shards import shard_by_bytes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,3 +48,11 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
     )
+
+
+@query("op2_shard_by_bytes")
+def op2_shard_by_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_by_bytes(documents(spark, sf_dir)).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
