@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from forumlens.llm.fingerprints import edited_fingerprints
 from forumlens.llm.mixture import mix_sources
+from forumlens.llm.passages import drop_repeated_passages
 from forumlens.llm.pieces import encode_texts
 from forumlens.llm.shards import shard_by_bytes
 
@@ -56,3 +57,10 @@ def op2_shard_by_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query("op6_repeated_passages")
+def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeated_passages(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256")
+    )
