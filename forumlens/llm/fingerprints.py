@@ -116,28 +116,31 @@ def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text"
     read. An empty table gives no rows.
     """
     lowest = F.lit(-(2**63)).cast("long")
-    rows = docs.select(
-        F.coalesce(F.col(key).cast("long"), lowest).alias("k"), F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("t")
-    )
-    sizes = rows.select("k", F.floor(F.length("t") / 2).alias("half"))
+    rows = docs.select(F.coalesce(F.col(key).cast("long"), lowest).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     # What the document before asks for: the longest replacement among rows of its key.
-    asked = sizes.groupBy("k").agg(F.max("half").alias("half"))
+    asked = rows.select("k", F.floor(F.length("t") / 2).alias("half")).groupBy("k").agg(F.max("half").alias("half"))
+    asked = staged(asked, "asked")
     after = next_keys(asked.select("k"))
     asked = after.join(asked, "k").select(F.col("n").alias("k"), F.col("k").alias("to"), "half")
-    # Sketches come from a second scan of words, and only k hashes per text travel.
-    parts = rows.withColumn("w", word_array(F.col("t"))).select("k", "key", "t", shingle_hashes(F.col("w"), size).alias("h"))
-    sketched = parts.select("k", "key", "t", bottom(F.col("h"), k).alias("s"))
-    sent = sketched.join(asked, "k").select("to", F.struct(F.substring("t", F.lit(1), F.col("half")).alias("head"), "s").alias("next"))
+
+    def sketched(df: DataFrame, source: str, name: str) -> DataFrame:
+        held = df.withColumn("w", word_array(F.col(source)))
+        kept = [c for c in df.columns if c != name]
+        held = held.select(*kept, shingle_hashes(F.col("w"), size).alias("h"))
+        return held.select(*kept, bottom(F.col("h"), k).alias(name))
+
+    # Texts are shuffled by key once and read for both joins; sketches are made after it, so that
+    # only the heads sent to the document before carry one.
+    heads = sketched(rows.join(asked, "k"), "t", "s")
+    sent = heads.select("to", F.struct(F.substring("t", F.lit(1), F.col("half")).alias("head"), "s").alias("next"))
     sent = sent.groupBy(F.col("to").alias("k")).agg(F.min("next").alias("next"))
-    met = sketched.join(sent, "k")
     length = F.length("t")
     half = F.floor(length / 2)
     edited = F.concat(F.substring("t", F.lit(1), length - half), F.substring("next.head", F.lit(1), half))
-    made = met.select("key", length.cast("long").alias("n_chars"), "s", F.col("next.s").alias("after"), edited.alias("e"))
-    made = made.withColumn("w", word_array(F.col("e")))
-    made = made.select("key", "n_chars", "s", "after", F.sha2(F.encode("e", "UTF-8"), 256).alias("edited_sha256"),
-                       shingle_hashes(F.col("w"), size).alias("h"))
-    made = made.select("key", "n_chars", "s", "after", "edited_sha256", bottom(F.col("h"), k).alias("es"))
+    met = rows.join(sent, "k").select("k", "t", length.cast("long").alias("n_chars"), F.col("next.s").alias("after"), edited.alias("e"))
+    made = sketched(met, "t", "s")
+    made = sketched(made.withColumn("edited_sha256", F.sha2(F.encode("e", "UTF-8"), 256)), "e", "es")
+    made = made.withColumn("key", F.when(F.col("k") != lowest, F.col("k")))
     return made.select(
         F.col("key").alias(key),
         "n_chars",
