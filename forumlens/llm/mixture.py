@@ -22,6 +22,7 @@ ROUNDS = 12
 # A document's place in its source's stream is found in cells of about this many documents.
 CELL_ROWS = 20_000
 CAP = 3
+MAX_TASKS = 20_000
 
 
 def permuted(x: Column, n: Column, seed: Column, inverse: bool = False) -> Column:
@@ -117,15 +118,16 @@ def mix_slots(plan: DataFrame, source: str, shards: int, block: int, seed: int)
 
     Returns shard, slot, source, block, words. Rows grow with the mix; nothing is gathered.
     """
+    draws_in_all = plan.agg(F.sum(F.col("_passes") * F.col("_blocks") + F.col("_draws"))).first()[0] or 0
     per = plan.select(source, "_blocks", "_passes", "_draws", "_seed", "_cut", "_tail",
                       (F.col("_passes") * F.col("_blocks") + F.col("_draws")).alias("_n"))
     order = Window.orderBy(F.col(source).isNull(), F.col(source).cast("binary"))
     per = per.withColumn("_from", F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n"))
     per = per.withColumn("_all", F.sum("_n").over(Window.partitionBy()))
-    # Two levels of generated rows: no source's draws are made by one task.
-    chunk = 65_536
+    # Two levels of generated rows, dealt to a given number of tasks: no task makes a source's draws.
+    chunk = 16_384
     parts = per.where("_n > 0").withColumn("_part", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / chunk))))
-    parts = parts.repartition(F.col(source), F.col("_part"))
+    parts = parts.repartition(max(1, min(MAX_TASKS, draws_in_all // chunk + 1)), F.col(source), F.col("_part"))
     first = F.col("_part") * chunk
     draws = parts.withColumn("_q", F.explode(F.sequence(first, F.least(first + chunk, F.col("_n")) - 1)))
     turn = F.floor(F.col("_q") / F.col("_blocks"))
@@ -184,7 +186,8 @@ def mix_sources(
     hi = F.least(F.col("_at") + F.col("size") - F.col("_block") * block, F.lit(block))
     pieces = pieces.select("_key", "_source", "size", "_at", "_block", lo.alias("_lo"), hi.alias("_hi"))
     b = last_pass.select(F.col("_source").alias("_s"), F.col("block").alias("_block"), "_times", "_drawn")
-    met = pieces.join(b, F.col("_source").eqNullSafe(F.col("_s")) & (pieces["_block"] == b["_block"]), "left")
+    # Both sides grow with the mix, and their sizes are underestimated after explode: never broadcast.
+    met = pieces.join(b.hint("merge"), F.col("_source").eqNullSafe(F.col("_s")) & (pieces["_block"] == b["_block"]), "left")
     p = plan.select(F.col("_source").alias("_p"), "_blocks", "_tail")
     met = met.join(p, F.col("_source").eqNullSafe(F.col("_p")), "left")
     whole = F.when(pieces["_block"] == F.col("_blocks") - 1, F.col("_tail")).otherwise(F.lit(block))
