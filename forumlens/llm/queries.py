@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from forumlens.llm.fingerprints import edited_fingerprints
 from forumlens.llm.mixture import mix_sources
+from forumlens.llm.near_duplicates import near_duplicates
 from forumlens.llm.passages import drop_repeated_passages
 from forumlens.llm.pieces import encode_texts
 from forumlens.llm.shards import shard_by_bytes
@@ -64,3 +65,8 @@ def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeated_passages(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256")
     )
+
+
+@query("op1_near_duplicates")
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir), shingle=4)
