@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forumlens.llm.fingerprints import edited_fingerprints
+from forumlens.llm.line_labels import label_lines, train_field
 from forumlens.llm.mixture import mix_sources
 from forumlens.llm.near_duplicates import near_duplicates
 from forumlens.llm.passages import drop_repeated_passages
@@ -70,3 +71,10 @@ def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_near_duplicates")
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), shingle=4)
+
+
+@query("op4_quality_rules")
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    field = train_field(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return label_lines(docs, field).drop("states")
