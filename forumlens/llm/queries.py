@@ -14,6 +14,7 @@ from forumlens.llm.near_duplicates import near_duplicates
 from forumlens.llm.passages import drop_repeated_passages
 from forumlens.llm.pieces import encode_texts
 from forumlens.llm.shards import shard_by_bytes
+from forumlens.llm.suffixes import drop_repeated_strings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -78,3 +79,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     field = train_field(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return label_lines(docs, field).drop("states")
+
+
+@query("op3_repeated_strings")
+def op3_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeated_strings(documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
