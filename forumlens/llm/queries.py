@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumlens.llm.fingerprints import edited_fingerprints
+from forumlens.llm.fingerprints import edited_fingerprints, next_keys
 from forumlens.llm.line_labels import label_lines, train_field
+from forumlens.llm.line_spread import drop_spread_lines
 from forumlens.llm.mixture import mix_sources
 from forumlens.llm.near_duplicates import near_duplicates
 from forumlens.llm.passages import drop_repeated_passages
 from forumlens.llm.pieces import encode_texts
+from forumlens.llm.preferences import conversation_pairs, format_preferences
 from forumlens.llm.shards import shard_by_bytes
 from forumlens.llm.suffixes import drop_repeated_strings
 
@@ -86,3 +88,126 @@ def op3_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeated_strings(documents(spark, sf_dir)).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+OP8_SQL = """
+WITH lines AS (
+  SELECT DISTINCT doc_id, source, line FROM (
+    SELECT doc_id, source, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents)
+  WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
+spread AS (SELECT line, min(doc_id) AS first FROM lines GROUP BY line HAVING count(DISTINCT source) >= 10),
+gone AS (SELECT l.doc_id, l.line FROM lines l JOIN spread s USING (line) WHERE l.doc_id > s.first),
+per_doc AS (SELECT doc_id, list(line) AS gone FROM gone GROUP BY doc_id),
+cut AS (
+  SELECT d.doc_id, string_split(coalesce(d.text, ''), chr(10)) AS lines, coalesce(p.gone, []) AS gone
+  FROM documents d LEFT JOIN per_doc p USING (doc_id)),
+kept AS (SELECT doc_id, lines, list_filter(lines, lambda x: NOT list_contains(gone, x)) AS rest FROM cut)
+SELECT doc_id, len(lines)::BIGINT AS n_lines, (len(lines) - len(rest))::BIGINT AS n_removed,
+       sha256(array_to_string(rest, chr(10))) AS kept_sha256
+FROM kept
+"""
+
+
+@query("op8_line_spread", OP8_SQL)
+def op8_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_spread_lines(documents(spark, sf_dir)).select(
+        "doc_id", "n_lines", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256")
+    )
+
+
+OP5_SQL = """
+WITH ids AS (SELECT DISTINCT conv_id FROM conversations),
+after AS (
+  SELECT conv_id, coalesce(lead(conv_id) OVER (ORDER BY conv_id), min(conv_id) OVER ()) AS other_id FROM ids),
+answers AS (
+  SELECT conv_id, max(turn) AS at, max_by(text, turn) AS said FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
+pairs AS (
+  SELECT a.conv_id, a.other_id, 'answer' AS kind, o.at, b.said
+  FROM after a JOIN answers o USING (conv_id) JOIN answers b ON b.conv_id = a.other_id),
+opening AS (SELECT conv_id, min_by(role, turn) AS r, min_by(text, turn) AS t FROM conversations GROUP BY conv_id),
+heads AS (SELECT r, t, min(conv_id) AS head FROM opening GROUP BY r, t),
+stars AS (
+  SELECT h.head AS conv_id, o.conv_id AS other_id, 'first_turn' AS kind
+  FROM opening o JOIN heads h ON o.r = h.r AND o.t = h.t WHERE o.conv_id <> h.head),
+sides AS (
+  SELECT 'chosen' AS side, p.conv_id, p.other_id, p.kind, c.turn, c.role, c.text
+  FROM pairs p JOIN conversations c USING (conv_id) WHERE c.turn <= p.at
+  UNION ALL
+  SELECT 'rejected', p.conv_id, p.other_id, p.kind, c.turn, c.role, CASE WHEN c.turn = p.at THEN p.said ELSE c.text END
+  FROM pairs p JOIN conversations c USING (conv_id) WHERE c.turn <= p.at
+  UNION ALL
+  SELECT 'chosen', s.conv_id, s.other_id, s.kind, c.turn, c.role, c.text FROM stars s JOIN conversations c USING (conv_id)
+  UNION ALL
+  SELECT 'rejected', s.conv_id, s.other_id, s.kind, c.turn, c.role, c.text
+  FROM stars s JOIN conversations c ON c.conv_id = s.other_id),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY side, conv_id, other_id, kind ORDER BY turn) - 1 AS pos,
+         '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS rendered
+  FROM sides),
+summed AS (
+  SELECT *, sum(length(rendered)) OVER (PARTITION BY side, conv_id, other_id, kind ORDER BY pos) AS stop FROM numbered),
+split AS (
+  SELECT coalesce(l.conv_id, r.conv_id) AS conv_id, coalesce(l.other_id, r.other_id) AS other_id,
+         coalesce(l.kind, r.kind) AS kind,
+         coalesce(min(CASE WHEN l.rendered IS DISTINCT FROM r.rendered THEN coalesce(l.pos, r.pos) END),
+                  max(coalesce(l.pos, r.pos)) + 1) AS at
+  FROM (SELECT * FROM numbered WHERE side = 'chosen') l
+  FULL JOIN (SELECT * FROM numbered WHERE side = 'rejected') r
+    ON l.conv_id = r.conv_id AND l.other_id = r.other_id AND l.kind = r.kind AND l.pos = r.pos
+  GROUP BY 1, 2, 3)
+SELECT s.conv_id, s.other_id, s.kind, CASE WHEN s.pos < t.at THEN 'prompt' ELSE s.side END AS part, s.pos, s.rendered,
+       (s.stop - length(s.rendered))::BIGINT AS start, length(s.rendered)::BIGINT AS length,
+       s.pos < t.at OR s.role <> 'assistant' AS masked
+FROM summed s JOIN split t ON s.conv_id = t.conv_id AND s.other_id = t.other_id AND s.kind = t.kind
+WHERE s.side = 'chosen' OR s.pos >= t.at
+"""
+
+
+@query("op5_preferences", OP5_SQL)
+def op5_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    after = next_keys(talks.where("conv_id is not null").select(F.col("conv_id").alias("k"))).toDF("conv_id", "other_id")
+    chosen, rejected = conversation_pairs(talks, after)
+    return format_preferences(chosen, rejected, ["conv_id", "other_id", "kind"])
+
+
+OP1_SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i+3], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE []::VARCHAR[] END) AS s
+  FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * i >= 80 * (x.n + y.n - i)),
+twoway AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, e.b FROM reach r JOIN twoway e ON e.a = r.other),
+component AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id),
+classes AS (SELECT w, min(doc_id) AS class_id FROM words WHERE len(w) > 0 GROUP BY w)
+SELECT c.doc_id, coalesce(z.n, 0)::BIGINT AS n_shingles, c.component_id, c.doc_id = c.component_id AS kept,
+       coalesce(k.class_id, c.doc_id) AS class_id
+FROM component c JOIN words w USING (doc_id) LEFT JOIN sizes z USING (doc_id) LEFT JOIN classes k ON k.w = w.w
+"""
+ORACLES["op1_near_duplicates"] = OP1_SQL
+
+OP6_SQL = """
+WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i+12], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM words)),
+firsts AS (SELECT s, min(doc_id) AS first FROM windows GROUP BY s),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM windows JOIN firsts USING (s) WHERE doc_id > first),
+kept AS (
+  SELECT u.doc_id, string_agg(u.word, ' ' ORDER BY u.p) AS text, count(*) AS n
+  FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM words) u
+  LEFT JOIN gone g ON g.doc_id = u.doc_id AND g.p = u.p WHERE g.p IS NULL GROUP BY u.doc_id)
+SELECT w.doc_id, len(w.w)::BIGINT AS n_words, (len(w.w) - coalesce(k.n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(k.text, '')) AS kept_sha256
+FROM words w LEFT JOIN kept k USING (doc_id)
+"""
+ORACLES["op6_repeated_passages"] = OP6_SQL
