@@ -21,10 +21,11 @@ from forumlens.llm.words import WordHashes, byte_slices, hashed, mixed, window_h
 WINDOW = 13
 GRAM = 3
 # Text that one task packs at a time, and packed text that one bucket should hold.
-CHUNK_BYTES = 8 << 20
-BUCKET_BYTES = 12 << 20
+CHUNK_BYTES = 6 << 20
+BUCKET_BYTES = 6 << 20
 MIN_BUCKETS = 96
 LOWEST = -(2**63)
+LEVEL = 3
 
 
 def ranges_of(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -44,6 +45,24 @@ def runs_of(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.diff(np.r_[first, len(keys)])
 
 
+def packed_numbers(columns: list[np.ndarray]) -> bytes:
+    """Columns of one length, compressed: the first as differences, all by planes of bytes."""
+    first = np.diff(columns[0], prepend=0)
+    table = np.stack([first, *columns[1:]]).astype("<i8")
+    return zstandard.compress(np.ascontiguousarray(table.view(np.uint8).reshape(-1, 8).T).tobytes(), LEVEL)
+
+
+def unpacked_numbers(data: bytes, columns: int) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
+    table = np.ascontiguousarray(planes.T).view("<i8").reshape(columns, -1)
+    return np.concatenate([np.cumsum(table[:1], axis=1), table[1:]])
+
+
+def text_sum(text: bytes) -> int:
+    """Tells apart the texts of rows that share a key."""
+    return xxhash.xxh32_intdigest(text)
+
+
 class Words:
     """Words of some texts back to back: byte borders, hashes, and the text each belongs to."""
 
@@ -105,7 +124,7 @@ def packed_rows(keys: np.ndarray, texts: list[bytes], table: WordHashes, window:
     same = run_hashes(words.hashes, start, n_words)
     owner = words.text[start]
     key = keys[owner]
-    sums = np.array([xxhash.xxh3_64_intdigest(t) for t in texts], np.uint64).view(np.int64)[owner]
+    sums = np.array([text_sum(t) for t in texts], np.int64)[owner]
     place = start - words.first[owner]
     order = np.lexsort((key, same))
     first, size = runs_of(same[order])
@@ -113,8 +132,8 @@ def packed_rows(keys: np.ndarray, texts: list[bytes], table: WordHashes, window:
     smallest[order] = np.repeat(key[order][first], size)
     settled = np.flatnonzero(key > smallest)
     if len(settled):
-        meta = np.stack([key[settled], sums[settled], place[settled], count[settled]]).astype("<i8")
-        yield int(mixed(same[settled[:1]])[0] % np.uint64(buckets)), 1, zstandard.compress(meta.tobytes(), 1), b""
+        meta = packed_numbers([c[settled] for c in (key, sums, place, count)])
+        yield int(mixed(same[settled[:1]])[0] % np.uint64(buckets)), 1, meta, b""
     travel = np.flatnonzero(key == smallest)
     bucket = (mixed(least[travel]) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
@@ -124,8 +143,8 @@ def packed_rows(keys: np.ndarray, texts: list[bytes], table: WordHashes, window:
         own = travel[f : f + s]
         begin, end = words.begin[start[own]], words.end[start[own] + n_words[own] - 1] + 1
         text = words.raw[ranges_of(begin, end - begin)].tobytes()
-        meta = np.stack([key[own], sums[own], place[own], count[own]]).astype("<i8")
-        yield int(bucket[f]), 0, zstandard.compress(meta.tobytes(), 1), zstandard.compress(text, 1)
+        meta = packed_numbers([c[own] for c in (key, sums, place, count)])
+        yield int(bucket[f]), 0, meta, zstandard.compress(text, LEVEL)
 
 
 def equal_windows(ids: np.ndarray, starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -163,7 +182,7 @@ def bucket_marks(table: pa.Table, window: int) -> pa.Table:
     """Runs of windows of one bucket that also start under a smaller key: key, text sum, first word, windows."""
     done, metas, texts = [], [], []
     for kind, meta, text in zip(table["kind"].to_pylist(), table["meta"].to_pylist(), table["text"].to_pylist()):
-        numbers = np.frombuffer(zstandard.decompress(meta), "<i8").reshape(4, -1)
+        numbers = unpacked_numbers(meta, 4)
         if kind:
             done.append(numbers)
         else:
@@ -264,7 +283,7 @@ def drop_repeated_passages(
                 t = raw[offsets[i] : offsets[i + 1]]
                 words = t.split()
                 own = slice(border[i], border[i + 1])
-                mine = sums[own] == np.uint64(xxhash.xxh3_64_intdigest(t)).astype(np.int64) if border[i + 1] > border[i] else None
+                mine = sums[own] == text_sum(t) if border[i + 1] > border[i] else None
                 if mine is not None and mine.any():
                     begin = first[own][mine]
                     step = np.zeros(len(words) + 1, np.int64)
