@@ -201,6 +201,17 @@ def fit_field(features: np.ndarray, n_lines: np.ndarray, label: np.ndarray, step
     return field
 
 
+def _judged(field: Field, texts: list[bytes], table: WordHashes, min_share: float):
+    """Measures, line states, content share, base verdict and verdict of some texts."""
+    m = measure(texts, table)
+    state = viterbi(field, m.features, m.n_lines)
+    n, repeat = m.counts[1], m.counts[4]
+    owner = np.repeat(np.arange(len(texts)), m.n_lines)
+    share = np.bincount(owner, state * m.line_words, minlength=len(texts)) / np.maximum(n, 1)
+    failed = (n < MIN_WORDS) | (100 * repeat > MAX_REPEAT_PERCENT * n)
+    return m, state, owner, share, failed, ~failed & (share >= min_share)
+
+
 def _chunks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     for batch in batches:
         raw, offsets = byte_slices(batch.column(column))
@@ -260,13 +271,8 @@ def label_lines(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = worker_cache("words", WordHashes)
         for part, texts in _chunks(batches, 1):
-            m = measure(texts, table)
-            state = viterbi(field, m.features, m.n_lines)
+            m, state, owner, share, failed, kept = _judged(field, texts, table, min_share)
             chars, n, symbols, dup, repeat = m.counts
-            owner = np.repeat(np.arange(len(texts)), m.n_lines)
-            content = np.bincount(owner, state * m.line_words, minlength=len(texts))
-            share = content / np.maximum(n, 1)
-            failed = (n < MIN_WORDS) | (100 * repeat > MAX_REPEAT_PERCENT * n)
             end = np.cumsum(m.n_lines)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -277,7 +283,7 @@ def label_lines(
                     pa.array(np.bincount(owner, state, minlength=len(texts)).astype(np.int64)),
                     pa.array(share),
                     pa.array([state[e - k : e].tobytes() for e, k in zip(end, m.n_lines)], pa.binary()),
-                    pa.array(~failed & (share >= min_share)),
+                    pa.array(kept),
                 ],
                 names=["k", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                        "n_lines", "n_content_lines", "content_share", "states", "kept"],
@@ -288,3 +294,15 @@ def label_lines(
         "base_failed boolean, n_lines bigint, n_content_lines bigint, content_share double, states binary, kept boolean"
     )
     return rows.mapInArrow(run, schema).withColumnRenamed("k", key)
+
+
+def keep_good(docs: DataFrame, field: Field, text: str = "text", min_share: float = MIN_SHARE) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with all their columns; see :func:`label_lines`."""
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = worker_cache("words", WordHashes)
+        for part, texts in _chunks(batches, at):
+            yield part.filter(pa.array(_judged(field, texts, table, min_share)[-1]))
+
+    return docs.mapInArrow(run, docs.schema)

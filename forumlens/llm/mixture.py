@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forumlens.functions.vectors import let
-from forumlens.llm.words import word_count
+from forumlens.llm.words import word_array, word_count
 from forumlens.session import staged
 
 BLOCK = 128
@@ -68,7 +68,7 @@ def source_targets(sizes: DataFrame, source: str = "source", cap: float = CAP) -
     return leveled.select(source, "source_size", F.coalesce(target, F.lit(0.0)).alias("target"))
 
 
-def placed(rows: DataFrame, source: str, key: str, size: str) -> DataFrame:
+def placed(rows: DataFrame, source: str, key: list[str], size: str) -> DataFrame:
     """Add ``_at``, the position of a row's first word in the stream of its source.
 
     A source may hold a third of all rows: rows are dealt to cells by a hash of the key, sorted and
@@ -76,8 +76,8 @@ def placed(rows: DataFrame, source: str, key: str, size: str) -> DataFrame:
     """
     n = rows.count()
     cells = max(16, -(-n // CELL_ROWS))
-    dealt = rows.withColumn("_cell", F.pmod(F.xxhash64(key), F.lit(cells)).cast("int"))
-    inside = Window.partitionBy(source, "_cell").orderBy(key, size).rowsBetween(Window.unboundedPreceding, -1)
+    dealt = rows.withColumn("_cell", F.pmod(F.xxhash64(*key), F.lit(cells)).cast("int"))
+    inside = Window.partitionBy(source, "_cell").orderBy(*key).rowsBetween(Window.unboundedPreceding, -1)
     local = dealt.withColumn("_in", F.coalesce(F.sum(size).over(inside), F.lit(0)))
     totals = dealt.groupBy(source, "_cell").agg(F.sum(size).alias("_sum"))
     earlier = Window.partitionBy(source).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
@@ -152,52 +152,97 @@ def shard_counts(slots: DataFrame, source: str = "source") -> DataFrame:
     return slots.groupBy("shard", source).agg(F.count("*").alias("n"), F.sum("words").alias("words"))
 
 
-def mix_sources(
-    docs: DataFrame, source: str = "source", key: str = "doc_id", text: str = "text",
-    block: int = BLOCK, shards: int = 16, seed: int = 7, cap: float = CAP,
-) -> tuple[DataFrame, DataFrame]:
-    """Per-document shares of the mix, and the mix as slots of output shards.
-
-    The first frame holds (key, source, size, source_size, target, taken), one row per input row;
-    other columns are not carried, so their names cannot clash. ``taken`` is the number of words the
-    mix takes from the row, repeats counted, at most ``cap`` times its size.
+class Mix:
+    """A mix over documents: its plan per source, its slots, and the share of every row."""
+
+    def __init__(
+        self, docs: DataFrame, source: str = "source", key: str = "doc_id", text: str = "text",
+        block: int = BLOCK, shards: int = 16, seed: int = 7, cap: float = CAP,
+    ) -> None:
+        self.docs, self.source, self.key, self.text = docs, source, key, text
+        rows = docs.select(
+            F.col(key).alias("_key"), F.col(source).alias("_source"), word_count(F.col(text)).alias("size"),
+            F.xxhash64(text).alias("_sum"),
+        )
+        rows = staged(rows, "sizes")
+        sizes = rows.groupBy("_source").agg(F.sum("size").alias("source_size"))
+        targets = source_targets(sizes, "_source", cap)
+        # One row per source: written once, so that every later use sees the same numbers.
+        self.plan = staged(draw_plan(targets, "_source", block, seed), "draws")
+        self.slots = mix_slots(self.plan, "_source", shards, block, seed)
+        self.places = staged(placed(rows, "_source", ["_key", "size", "_sum"], "size"), "places")
+        self.pieces = self._pieces(block)
+
+    def _pieces(self, block: int) -> DataFrame:
+        """Stretches of rows inside blocks, with how often the block is drawn and its words of the last draw."""
+        drawn = self.slots.groupBy("_source", "block").agg(F.count("*").alias("_times"), F.sum("words").alias("_drawn"))
+        first, final = F.floor(F.col("_at") / block), F.floor((F.col("_at") + F.col("size") - 1) / block)
+        pieces = self.places.where("size > 0").select(
+            "_key", "_source", "size", "_sum", "_at", F.explode(F.sequence(first, final)).alias("_block")
+        )
+        lo = F.greatest(F.col("_at") - F.col("_block") * block, F.lit(0))
+        hi = F.least(F.col("_at") + F.col("size") - F.col("_block") * block, F.lit(block))
+        pieces = pieces.withColumn("_lo", lo).withColumn("_hi", hi)
+        b = drawn.select(F.col("_source").alias("_s"), F.col("block").alias("_b"), "_times", "_drawn")
+        # Both sides grow with the mix, and their sizes are underestimated after explode: never broadcast.
+        met = pieces.join(b.hint("merge"), F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_b")), "left")
+        p = self.plan.select(F.col("_source").alias("_p"), "_blocks", "_tail", "_passes")
+        met = met.join(p, F.col("_source").eqNullSafe(F.col("_p")), "left")
+        whole = F.when(F.col("_block") == F.col("_blocks") - 1, F.col("_tail")).otherwise(F.lit(block))
+        # Every block is drawn once per whole pass; a draw of the last pass may stop before the block's end.
+        last = F.col("_times") - F.col("_passes")
+        stop = F.least(F.col("_hi"), whole - (F.col("_times") * whole - F.col("_drawn")))
+        part = F.when(last > 0, F.greatest(stop - F.col("_lo"), F.lit(0))).otherwise(0)
+        return met.select(
+            "_key", "_source", "size", "_sum", "_at", F.coalesce("_passes", F.lit(0)).alias("_passes"),
+            (F.col("_block") * block + F.col("_lo") - F.col("_at")).alias("_from"),
+            F.coalesce(part, F.lit(0)).cast("long").alias("_n"),
+            (F.col("_hi") - F.col("_lo")).alias("_all"),
+        )
+
+    def shares(self) -> DataFrame:
+        """(key, source, size, source_size, target, taken), one row per input row."""
+        taken = self.pieces.groupBy("_key", "_source", "size", "_sum", "_at").agg(
+            F.sum(F.col("_passes") * F.col("_all") + F.col("_n")).cast("long").alias("taken")
+        )
+        none = self.places.where("size = 0").select("_key", "_source", "size", "_sum", "_at", F.lit(0).cast("long").alias("taken"))
+        info = self.plan.select(F.col("_source").alias("_p"), "source_size", "target")
+        out = taken.unionByName(none).join(info, F.col("_source").eqNullSafe(F.col("_p")))
+        return out.select(F.col("_key").alias(self.key), F.col("_source").alias(self.source), "size", "source_size", "target", "taken")
+
+    def documents(self) -> DataFrame:
+        """The mix as rows with the columns of the input: a row for every whole pass over a document,
+        and one more with the words that the last pass takes from it, joined by spaces.
+
+        Equal input rows are pooled: their passes and words come under one of them.
+        """
+        grouped = self.pieces.groupBy("_key", "_source", "size", "_sum").agg(
+            F.countDistinct("_at").alias("_copies"), F.first("_passes").alias("_passes"),
+            F.sort_array(F.collect_list(F.when(F.col("_n") > 0, F.struct("_at", "_from", "_n")))).alias("_ranges"),
+        )
+        grouped = grouped.where((F.col("_passes") > 0) | (F.size("_ranges") > 0)).withColumnsRenamed(
+            {"_source": "_s", "_sum": "_h"}
+        )
+        rows = self.docs.withColumn("_w", F.xxhash64(self.text))
+        same = (
+            F.col(self.key).eqNullSafe(F.col("_key")) & (F.col("_w") == F.col("_h")) & F.col(self.source).eqNullSafe(F.col("_s"))
+        )
+        met = rows.join(grouped, same).dropDuplicates([self.key, "_w", self.source]).drop("_s", "_h", "_w", "_key")
+        met = met.withColumn("_words", word_array(F.col(self.text)))
+        part = F.concat_ws(" ", F.flatten(F.transform("_ranges", lambda r: F.slice("_words", (r["_from"] + 1).cast("int"), r["_n"].cast("int")))))
+        whole = F.array_repeat(F.col(self.text), (F.col("_passes") * F.col("_copies")).cast("int"))
+        texts = F.concat(whole, F.when(F.size("_ranges") > 0, F.array(part)).otherwise(F.array().cast("array<string>")))
+        return met.withColumn(self.text, F.explode(texts)).select(*self.docs.columns)
+
+
+def mix_sources(docs: DataFrame, **options) -> Mix:
+    """Mix sources to target weights; ``options`` are the column names, block, shards, seed and cap of :class:`Mix`.
 
     A null or blank text has size 0 and takes part with 0 words. A null source is a source of its
     own, last in order. Null keys and repeated rows keep their rows; equal rows take interchangeable
-    places in the stream. An empty table gives empty frames. The result depends on the rows and the
-    seed only, not on partitioning.
+    places in the stream. An empty table gives empty frames. Columns other than source, key and text
+    are only read by ``documents``; names starting with an underscore are reserved. The result
+    depends on the rows and the seed only, not on partitioning. No row gives more than ``cap`` times
+    its size.
     """
-    rows = staged(docs.select(F.col(key).alias("_key"), F.col(source).alias("_source"), word_count(F.col(text)).alias("size")), "sizes")
-    sizes = rows.groupBy("_source").agg(F.sum("size").alias("source_size"))
-    targets = source_targets(sizes, "_source", cap)
-    # One row per source: written once, so that every later use sees the same numbers.
-    plan = staged(draw_plan(targets, "_source", block, seed), "draws")
-    slots = mix_slots(plan, "_source", shards, block, seed)
-    drawn = staged(placed(rows, "_source", "_key", "size"), "places")
-    last_pass = slots.where(F.lit(True)).groupBy("_source", "block").agg(
-        F.count("*").alias("_times"), F.sum("words").alias("_drawn")
-    )
-    # A block is drawn whole but for the last draw of its source, which loses words at the block's end.
-    first, final = F.floor(F.col("_at") / block), F.floor((F.col("_at") + F.col("size") - 1) / block)
-    pieces = drawn.where("size > 0").select(
-        "_key", "_source", "size", "_at", F.explode(F.sequence(first, final)).alias("_block")
-    )
-    lo = F.greatest(F.col("_at") - F.col("_block") * block, F.lit(0))
-    hi = F.least(F.col("_at") + F.col("size") - F.col("_block") * block, F.lit(block))
-    pieces = pieces.select("_key", "_source", "size", "_at", "_block", lo.alias("_lo"), hi.alias("_hi"))
-    b = last_pass.select(F.col("_source").alias("_s"), F.col("block").alias("_block"), "_times", "_drawn")
-    # Both sides grow with the mix, and their sizes are underestimated after explode: never broadcast.
-    met = pieces.join(b.hint("merge"), F.col("_source").eqNullSafe(F.col("_s")) & (pieces["_block"] == b["_block"]), "left")
-    p = plan.select(F.col("_source").alias("_p"), "_blocks", "_tail")
-    met = met.join(p, F.col("_source").eqNullSafe(F.col("_p")), "left")
-    whole = F.when(pieces["_block"] == F.col("_blocks") - 1, F.col("_tail")).otherwise(F.lit(block))
-    missing = F.col("_times") * whole - F.col("_drawn")
-    share = F.col("_times") * (F.col("_hi") - F.col("_lo")) - F.greatest(F.lit(0), F.col("_hi") - F.greatest(F.col("_lo"), whole - missing))
-    taken = met.groupBy("_key", "_source", "size", "_at").agg(F.sum(F.coalesce(share, F.lit(0))).alias("taken"))
-    none = drawn.where("size = 0").select("_key", "_source", "size", "_at", F.lit(0).cast("long").alias("taken"))
-    info = plan.select(F.col("_source").alias("_p"), "source_size", "target")
-    out = taken.unionByName(none).join(info, F.col("_source").eqNullSafe(F.col("_p")))
-    shares = out.select(
-        F.col("_key").alias(key), F.col("_source").alias(source), "size", "source_size", "target", F.col("taken").cast("long").alias("taken")
-    )
-    return shares, slots.withColumnRenamed("_source", source)
+    return Mix(docs, **options)

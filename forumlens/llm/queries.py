@@ -43,7 +43,7 @@ def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_mix_sources")
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_sources(documents(spark, sf_dir))[0]
+    return mix_sources(documents(spark, sf_dir)).shares()
 
 
 @query("op10_pieces")
