@@ -1,6 +1,8 @@
 """From raw documents to encoded training text: quality, lines, near-duplicates, mixture, pieces.
 
-Each stage works on all rows its predecessor kept. ``run`` applies them in order, written and read
+Each stage works on all rows its predecessor kept, reads the columns of documents and returns just
+those. Null texts are empty and fall to the base rules; null ids, null sources, ties, repeated rows,
+very long texts and empty tables pass through as each operator states. ``run`` applies them in order, written and read
 again between stages, so a lost executor costs at most one stage.
 """
 
@@ -18,25 +20,30 @@ from forumlens.llm.words import WORD
 from forumlens.session import staged
 
 
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
 def _with_text(docs: DataFrame, text) -> DataFrame:
     return docs.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the base rules and the line labels keep, unchanged."""
+    docs = docs.select(*COLUMNS)
     return keep_good(docs, train_field(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines spread over many sources; rows whose every word went are copies and go too."""
-    cut = drop_spread_lines(docs)
+    cut = drop_spread_lines(docs.select(*COLUMNS))
     left = cut.where((F.col("n_removed") == 0) | F.col("kept_text").rlike(WORD))
     text = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.col("kept_text"))
-    return _with_text(left, text).select(*docs.columns)
+    return _with_text(left, text).select(*COLUMNS)
 
 
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: five words a shingle, similarity of at least 0.8."""
+    docs = docs.select(*COLUMNS)
     kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
     found = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
     # Rows repeated under one id are one document.
@@ -45,8 +52,8 @@ def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often, and as far, as the mix of sources takes their words."""
-    mixed = mix_sources(docs).documents()
-    return _with_text(mixed, F.col("text")).select(*docs.columns)
+    mixed = mix_sources(docs.select(*COLUMNS)).documents()
+    return _with_text(mixed, F.col("text")).select(*COLUMNS)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -66,20 +66,22 @@ def drop_spread_lines(
     sites = staged(line_sites(docs, key, text, site), "lines")
     spread = staged(spread_lines(sites, min_sites, band, lg_k), "spread")
     hits = sites.join(spread, ["h", "g"]).where("k > first").select("k", "h", "g").distinct()
-    per_row = hits.groupBy("k").agg(F.collect_list(F.struct("h", "g")).alias("_gone"))
-    named = docs.drop("kept_text", "n_lines", "n_removed")
-    own = F.coalesce(F.col(key).cast("long"), F.lit(-(2**63)))
-    met = named.withColumn("_k", own).join(per_row.withColumnRenamed("k", "_k"), "_k", "left").drop("_k")
-    lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
-    met = met.withColumn("_lines", lines)
+    per_row = hits.groupBy("k").agg(F.collect_list(F.struct("h", "g")).alias("gone"))
+    kept_columns = [c for c in docs.columns if c not in ("kept_text", "n_lines", "n_removed")]
+    # The input row travels as one value, so its column names cannot clash with those used here.
+    row = F.col("row")
+    own = F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))).alias("k")
+    rows = docs.select(own, F.struct(*[F.col(c) for c in kept_columns]).alias("row"), F.col(text).alias("t"))
+    met = rows.join(per_row, "k", "left").select(
+        "row", "gone", F.split(F.coalesce("t", F.lit("")), "\n").alias("lines")
+    )
     keep = F.filter(
-        F.col("_lines"),
-        lambda x: ~(_has_word(x) & F.array_contains(F.col("_gone"), F.struct(*_hashes(x)))),
+        F.col("lines"), lambda x: ~(_has_word(x) & F.array_contains(F.col("gone"), F.struct(*_hashes(x))))
     )
-    left = met.withColumn("_kept", F.when(F.col("_gone").isNull(), F.col("_lines")).otherwise(keep))
+    left = met.withColumn("kept", F.when(F.col("gone").isNull(), F.col("lines")).otherwise(keep))
     return left.select(
-        *named.columns,
-        F.concat_ws("\n", "_kept").alias("kept_text"),
-        F.size("_lines").cast("long").alias("n_lines"),
-        (F.size("_lines") - F.size("_kept")).cast("long").alias("n_removed"),
+        *[row.getField(c).alias(c) for c in kept_columns],
+        F.concat_ws("\n", "kept").alias("kept_text"),
+        F.size("lines").cast("long").alias("n_lines"),
+        (F.size("lines") - F.size("kept")).cast("long").alias("n_removed"),
     )

@@ -223,16 +223,20 @@ class Mix:
         grouped = grouped.where((F.col("_passes") > 0) | (F.size("_ranges") > 0)).withColumnsRenamed(
             {"_source": "_s", "_sum": "_h"}
         )
-        rows = self.docs.withColumn("_w", F.xxhash64(self.text))
-        same = (
-            F.col(self.key).eqNullSafe(F.col("_key")) & (F.col("_w") == F.col("_h")) & F.col(self.source).eqNullSafe(F.col("_s"))
+        # The input row travels as one value, so its column names cannot clash with those used here.
+        row = F.col("_row")
+        rows = self.docs.select(
+            F.struct(*[F.col(c) for c in self.docs.columns]).alias("_row"), F.col(self.key).alias("_k"),
+            F.col(self.source).alias("_from_source"), F.xxhash64(self.text).alias("_w"),
         )
-        met = rows.join(grouped, same).dropDuplicates([self.key, "_w", self.source]).drop("_s", "_h", "_w", "_key")
-        met = met.withColumn("_words", word_array(F.col(self.text)))
+        same = F.col("_k").eqNullSafe(F.col("_key")) & (F.col("_w") == F.col("_h")) & F.col("_from_source").eqNullSafe(F.col("_s"))
+        met = rows.join(grouped, same).dropDuplicates(["_k", "_w", "_from_source"])
+        met = met.withColumn("_words", word_array(row.getField(self.text)))
         part = F.concat_ws(" ", F.flatten(F.transform("_ranges", lambda r: F.slice("_words", (r["_from"] + 1).cast("int"), r["_n"].cast("int")))))
-        whole = F.array_repeat(F.col(self.text), (F.col("_passes") * F.col("_copies")).cast("int"))
+        whole = F.array_repeat(row.getField(self.text), (F.col("_passes") * F.col("_copies")).cast("int"))
         texts = F.concat(whole, F.when(F.size("_ranges") > 0, F.array(part)).otherwise(F.array().cast("array<string>")))
-        return met.withColumn(self.text, F.explode(texts)).select(*self.docs.columns)
+        out = met.select("_row", F.explode(texts).alias("_text"))
+        return out.select(*[F.col("_text").alias(c) if c == self.text else row.getField(c).alias(c) for c in self.docs.columns])
 
 
 def mix_sources(docs: DataFrame, **options) -> Mix:
@@ -241,8 +245,7 @@ def mix_sources(docs: DataFrame, **options) -> Mix:
     A null or blank text has size 0 and takes part with 0 words. A null source is a source of its
     own, last in order. Null keys and repeated rows keep their rows; equal rows take interchangeable
     places in the stream. An empty table gives empty frames. Columns other than source, key and text
-    are only read by ``documents``; names starting with an underscore are reserved. The result
-    depends on the rows and the seed only, not on partitioning. No row gives more than ``cap`` times
+    are only read by ``documents``, and their names cannot clash. The result depends on the rows and the seed only, not on partitioning. No row gives more than ``cap`` times
     its size.
     """
     return Mix(docs, **options)
