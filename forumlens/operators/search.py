@@ -1,9 +1,9 @@
 """Exact and approximate vector search for batches of queries.
 
-The query side is shipped to the tasks in blocks of a fixed size; the corpus is read where it
-lies. Each task keeps the best k per query while it streams its rows, so neither side is
-shuffled, no (query, row) pair is emitted besides the kept ones, and it does not matter how the
-corpus is distributed over categories or cells.
+Queries are packed into blocks and the corpus into slices, both of bounded size, and blocks travel
+to slices. A meeting of the two is a product of matrices that keeps k rows per query, so no
+(query, row) pair is emitted besides the kept ones, and a category or cell that holds a third of the
+corpus is just more slices.
 """
 
 from __future__ import annotations
@@ -17,15 +17,14 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from forumlens.operators.counts import top_k
-from forumlens.session import cut
 
-# Upper bound of one shipped block: 8192 queries x 768 dimensions x 8 bytes is about 50 MB.
-QUERY_BLOCK = 8192
-# Scores held at a time, 32 MB: the more queries, the fewer corpus rows per step.
+# Rows of a block and of a slice: with 768 dimensions of 4 bytes about 3 MB and 12 MB.
+QUERY_BLOCK = 1024
+SLICE_ROWS = 4096
+# Scores held at a time, 32 MB.
 SCORES_AT_ONCE = 1 << 22
 # Scores are compared on this many digits, so equal vectors tie and the id decides.
 DIGITS = 9
@@ -35,78 +34,46 @@ def _matrix(column: pa.ListArray) -> np.ndarray:
     return np.asarray(column.flatten(), dtype=np.float64).reshape(len(column), -1)
 
 
-class _Best:
-    """The k best carried rows per query, highest score first, then smallest id."""
-
-    def __init__(self, n: int, k: int) -> None:
-        self.k = k
-        self.scores = [np.empty(0) for _ in range(n)]
-        self.rows: list[list[tuple]] = [[] for _ in range(n)]
-        self.floor = np.full(n, -np.inf)
-
-    def offer(self, q: int, scores: np.ndarray, row_of: Callable[[int], tuple]) -> None:
-        picked = np.arange(len(scores))
-        if len(scores) > self.k:
-            kth = np.partition(scores, len(scores) - self.k)[len(scores) - self.k]
-            picked = np.flatnonzero(scores >= max(kth, self.floor[q]))
-        else:
-            picked = picked[scores >= self.floor[q]]
-        new = [(-s, row_of(i)) for s, i in zip(scores[picked], picked)]
-        merged = sorted([*zip(-self.scores[q], self.rows[q]), *new], key=lambda e: (e[0], e[1][0]))[: self.k]
-        self.scores[q] = -np.array([e[0] for e in merged])
-        self.rows[q] = [e[1] for e in merged]
-        if len(merged) == self.k:
-            self.floor[q] = self.scores[q][-1]
-
-
-def _scan(
-    queries: np.ndarray,
-    keys: list[tuple],
-    routes: list[list] | None,
-    k: int,
-    vector: str,
-    carry: Sequence[str],
-    route: str | None,
-    schema: pa.Schema,
-) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    takers: dict = {}
-    for q, accepted in enumerate(routes or []):
-        for value in accepted:
-            takers.setdefault(value, []).append(q)
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = _Best(len(keys), k)
-        step = max(64, SCORES_AT_ONCE // len(keys))
-        for whole in batches:
-            for start in range(0, whole.num_rows, step):
-                batch = whole.slice(start, step)
-                corpus = _matrix(batch.column(vector))
-                columns = [batch.column(c) for c in carry]
-                if route is None:
-                    parts = [(np.arange(len(keys)), np.arange(len(corpus)))]
-                else:
-                    where = np.array(batch.column(route).to_pylist(), dtype=object)
-                    parts = [
-                        (np.array(takers[v]), np.flatnonzero(where == v)) for v in set(where) if v in takers
-                    ]
-                for asked, rows in parts:
-                    scores = np.round(queries[asked] @ corpus[rows].T, DIGITS)
-                    for at in np.flatnonzero(scores.max(axis=1) >= best.floor[asked]):
-                        best.offer(
-                            asked[at],
-                            scores[at],
-                            lambda i, rows=rows: tuple(c[int(rows[i])].as_py() for c in columns),
-                        )
-        out = [
-            (*keys[q], *row, float(score))
-            for q in range(len(keys))
-            for score, row in zip(best.scores[q], best.rows[q])
-        ]
-        if out:
-            arrays = [pa.array(values, type=f.type) for values, f in zip(zip(*out), schema)]
-            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
-
-    return scan
+def _packed(side: DataFrame, sizes: DataFrame, keys: Sequence[str], rows: int, group: str, packed: str) -> DataFrame:
+    """(route, group number, list of rows) with at most about ``rows`` rows per list, dealt by a hash of the keys."""
+    number = F.pmod(F.xxhash64(*keys), F.ceil(F.col("n") / rows)).cast("int").alias(group)
+    item = F.struct(*keys, "vector").alias("item")
+    dealt = side.join(sizes, "route").select("route", number, item)
+    return dealt.groupBy("route", group).agg(F.collect_list("item").alias(packed))
+
+
+def _best(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Positions of the k highest scores, smallest id first among equals."""
+    at = np.arange(len(score))
+    if len(score) > k:
+        at = np.flatnonzero(score >= np.partition(score, len(score) - k)[len(score) - k])
+    return at[np.lexsort((ids[at], -score[at]))][:k]
+
+
+def _meet(k: int, n_keys: int, names: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Score a list of queries against a list of corpus rows and keep the k best of each query."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                *keys, asked = batch.column(0).slice(i, 1).flatten().flatten()
+                ids, stored = batch.column(1).slice(i, 1).flatten().flatten()
+                q, c = _matrix(asked), _matrix(stored)
+                order = np.array(ids.to_pylist())
+                step = max(1, SCORES_AT_ONCE // max(1, len(c)))
+                who, what, how = [], [], []
+                for start in range(0, len(q), step):
+                    scores = np.round(q[start : start + step] @ c.T, DIGITS)
+                    for row, score in enumerate(scores):
+                        best = _best(score, order, k)
+                        who.append(np.full(len(best), start + row))
+                        what.append(best)
+                        how.append(score[best])
+                who, what = pa.array(np.concatenate(who)), pa.array(np.concatenate(what))
+                columns = [*[key.take(who) for key in keys], ids.take(what), pa.array(np.concatenate(how))]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return run
 
 
 def top_inner_product(
@@ -120,41 +87,45 @@ def top_inner_product(
     route: str | None = None,
     routes: str | None = None,
     block: int = QUERY_BLOCK,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """The k corpus rows with the largest inner product per query, with ``score`` and ``rank``.
 
     ``carry`` lists corpus columns to return, the unique id first. With ``route`` (corpus column)
-    and ``routes`` (array column of the queries) a query meets only rows of its routes.
-    More queries than one block are handled block by block; the result is exact either way.
+    and ``routes`` (array column of the queries) a query meets only rows of its routes. Rows with a
+    null vector, on either side, take no part. Neither side is gathered: queries are packed into
+    blocks and the corpus into slices, every block is sent to the slices of its route, and each
+    meeting keeps k rows per query, as ids; other columns are joined to the final k.
     """
-    spark = corpus.sparkSession
-    wanted = [*query_keys, vector] + ([routes] if routes else [])
-    # Written once, then counted and read block by block.
-    queries = cut(queries.select(*wanted))
-    n_blocks = max(1, -(-queries.count() // block))
-    in_block = F.pmod(F.xxhash64(*query_keys), F.lit(n_blocks))
-    scanned = corpus.select(*dict.fromkeys([*carry, vector] + ([route] if route else [])))
+    ident = carry[0]
+    place = F.col(route).cast("string") if route else F.lit("")
+    stored = corpus.where(F.col(vector).isNotNull() & place.isNotNull()).select(
+        place.alias("route"), F.col(ident).alias("ident"), F.col(vector).alias("vector")
+    )
+    names = [f"key{i}" for i in range(len(query_keys))]
+    wanted = F.explode(F.array_distinct(F.col(routes).cast("array<string>"))) if routes else F.lit("")
+    asked = queries.where(F.col(vector).isNotNull()).select(
+        wanted.alias("route"), *[F.col(c).alias(n) for c, n in zip(query_keys, names)], F.col(vector).alias("vector")
+    )
+    count = lambda df: df.groupBy("route").agg(F.count("*").alias("n"))
+    held = count(stored)
+    slices = _packed(stored, held, ["ident"], slice_rows, "slice", "rows")
+    blocks = _packed(asked, count(asked), names, block, "block", "queries").join(held, "route")
+    everywhere = F.sequence(F.lit(0), F.ceil(F.col("n") / slice_rows).cast("int") - 1)
+    sent = blocks.select("route", "queries", F.explode(everywhere).alias("slice"))
+    met = sent.join(slices, ["route", "slice"]).select("queries", "rows")
     out_schema = StructType(
-        [queries.schema[c] for c in query_keys]
-        + [corpus.schema[c] for c in carry]
-        + [StructField("score", DoubleType())]
+        [StructField(n, queries.schema[c].dataType) for c, n in zip(query_keys, names)]
+        + [StructField("ident", corpus.schema[ident].dataType), StructField("score", DoubleType())]
+    )
+    found = met.mapInArrow(_meet(k, len(names), out_schema.names), out_schema)
+    best = top_k(found, names, [F.desc("score"), F.asc("ident")], k)
+    # Joined under names of their own, since a query key may be called like a corpus column.
+    shown = corpus.select(F.col(ident).alias("_ident"), F.struct(*[F.col(c) for c in carry]).alias("_row"))
+    full = best.join(shown, F.col("ident") == F.col("_ident"))
+    return full.select(
+        *[F.col(n).alias(c) for n, c in zip(names, query_keys)], *[F.col("_row").getField(c).alias(c) for c in carry], "score", "rank"
     )
-    found = None
-    for b in range(n_blocks):
-        rows = queries.where(in_block == b).collect()
-        if not rows:
-            continue
-        scan = _scan(
-            np.array([r[vector] for r in rows], dtype=np.float64),
-            [tuple(r[c] for c in query_keys) for r in rows],
-            [list(r[routes]) for r in rows] if routes else None,
-            k, vector, list(carry), route, to_arrow_schema(out_schema),
-        )
-        part = scanned.mapInArrow(scan, out_schema)
-        found = part if found is None else found.union(part)
-    if found is None:
-        found = spark.createDataFrame([], out_schema)
-    return top_k(found, query_keys, [F.desc("score"), F.asc(carry[0])], k)
 
 
 def fit_cells(train: DataFrame, cells: int, vector: str = "embedding", seed: int = 42):
@@ -176,8 +147,7 @@ def approximate_top(
 ) -> DataFrame:
     """As ``top_inner_product`` but a query only meets the rows of its ``probes`` nearest cells.
 
-    Every row keeps its exact score. A cell that holds a third of the corpus is still scanned in
-    as many tasks as its files need, because nothing is grouped by cell.
+    Every row keeps its exact score. A query block is sent to the slices of its cells only.
     """
     features = array_to_vector(F.col(vector).cast("array<double>"))
     located = model.transform(corpus.withColumn("features", features)).drop("features")

@@ -91,3 +91,20 @@ def test_repetition_note(spark):
     notes = [r["n"] for r in spark.range(4).select(retrieval.repetition_note(F.col("id")).alias("n")).collect()]
     assert notes[:2] == ["", ""]
     assert "repeated the same message 3 times" in notes[2] and notes[2].endswith("not used before.")
+
+
+def test_many_blocks_give_one_plan_and_null_vectors_take_no_part(data):
+    x, df = data
+    queries = df.select(F.col("doc_id").alias("query_id"), F.when(F.col("doc_id") != 5, F.col("embedding")).alias("embedding"))
+    stored = df.withColumn("embedding", F.when(F.col("doc_id") != 7, F.col("embedding")))
+
+    def plan(block):
+        found = search.top_inner_product(queries, stored, 3, block=block, slice_rows=64)
+        return found, found._jdf.queryExecution().analyzed().toString().count("\n")
+
+    few, lines = plan(300)
+    many, same = plan(2)
+    assert lines == same
+    rows = {tuple(r) for r in many.select("query_id", "doc_id", "rank").collect()}
+    assert rows == {tuple(r) for r in few.select("query_id", "doc_id", "rank").collect()}
+    assert len({q for q, _, _ in rows}) == 299 and 5 not in {q for q, _, _ in rows} and 7 not in {d for _, d, _ in rows}
