@@ -21,7 +21,7 @@ from forumlens.llm.words import WordHashes, byte_slices, hashed, mixed, window_h
 WINDOW = 13
 GRAM = 3
 # Text that one task packs at a time, and packed text that one bucket should hold.
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 6 << 20
 MIN_BUCKETS = 96
 LOWEST = -(2**63)
@@ -45,10 +45,9 @@ def runs_of(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.diff(np.r_[first, len(keys)])
 
 
-def packed_numbers(columns: list[np.ndarray]) -> bytes:
+def packed_numbers(columns: np.ndarray) -> bytes:
     """Columns of one length, compressed: the first as differences, all by planes of bytes."""
-    first = np.diff(columns[0], prepend=0)
-    table = np.stack([first, *columns[1:]]).astype("<i8")
+    table = np.concatenate([np.diff(columns[:1], prepend=0), columns[1:]])
     return zstandard.compress(np.ascontiguousarray(table.view(np.uint8).reshape(-1, 8).T).tobytes(), LEVEL)
 
 
@@ -58,6 +57,35 @@ def unpacked_numbers(data: bytes, columns: int) -> np.ndarray:
     return np.concatenate([np.cumsum(table[:1], axis=1), table[1:]])
 
 
+class Parcels:
+    """What a task sends to its buckets, held back until it fills blobs that compress well."""
+
+    SCHEMA = "bucket int, kind int, meta binary, text binary"
+    HELD_BYTES = 40 << 20
+
+    def __init__(self) -> None:
+        self.held: dict[tuple[int, int], tuple[list, list]] = {}
+        self.size = 0
+
+    def add(self, bucket: int, kind: int, columns: list[np.ndarray], text: bytes = b"") -> None:
+        numbers, texts = self.held.setdefault((bucket, kind), ([], []))
+        numbers.append(np.stack(columns).astype("<i8"))
+        texts.append(text)
+        self.size += len(text) + numbers[-1].nbytes
+
+    def batches(self, last: bool = False) -> Iterator[pa.RecordBatch]:
+        if not self.held or (self.size < self.HELD_BYTES and not last):
+            return
+        keys = list(self.held)
+        metas = [packed_numbers(np.concatenate(self.held[k][0], axis=1)) for k in keys]
+        texts = [zstandard.compress(b"".join(self.held[k][1]), LEVEL) if k[1] == 0 else b"" for k in keys]
+        self.held, self.size = {}, 0
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([k[i] for k in keys], pa.int32()) for i in (0, 1)] + [pa.array(metas, pa.binary()), pa.array(texts, pa.binary())],
+            names=["bucket", "kind", "meta", "text"],
+        )
+
+
 def text_sum(text: bytes) -> int:
     """Tells apart the texts of rows that share a key."""
     return xxhash.xxh32_intdigest(text)
@@ -109,8 +137,8 @@ def run_hashes(hashes: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np
     return mixed((sums[starts + counts] - sums[starts]) * back[starts] + counts.astype(np.uint64))
 
 
-def packed_rows(keys: np.ndarray, texts: list[bytes], table: WordHashes, window: int, gram: int, buckets: int) -> Iterator[tuple]:
-    """(bucket, kind, meta, text) rows of a chunk; kind 0 holds super-k-mers, kind 1 settled windows.
+def pack_chunk(parcels: Parcels, keys: np.ndarray, texts: list[bytes], table: WordHashes, window: int, gram: int, buckets: int) -> None:
+    """Add a chunk to the parcels: kind 0 holds super-k-mers, kind 1 settled windows.
 
     Of equal super-k-mers only that of the smallest key travels (and repeats under that key): windows
     of the others are known to start under a smaller key too. So a passage that a third of all
@@ -132,8 +160,7 @@ def packed_rows(keys: np.ndarray, texts: list[bytes], table: WordHashes, window:
     smallest[order] = np.repeat(key[order][first], size)
     settled = np.flatnonzero(key > smallest)
     if len(settled):
-        meta = packed_numbers([c[settled] for c in (key, sums, place, count)])
-        yield int(mixed(same[settled[:1]])[0] % np.uint64(buckets)), 1, meta, b""
+        parcels.add(int(mixed(same[settled[:1]])[0] % np.uint64(buckets)), 1, [c[settled] for c in (key, sums, place, count)])
     travel = np.flatnonzero(key == smallest)
     bucket = (mixed(least[travel]) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
@@ -143,8 +170,7 @@ def packed_rows(keys: np.ndarray, texts: list[bytes], table: WordHashes, window:
         own = travel[f : f + s]
         begin, end = words.begin[start[own]], words.end[start[own] + n_words[own] - 1] + 1
         text = words.raw[ranges_of(begin, end - begin)].tobytes()
-        meta = packed_numbers([c[own] for c in (key, sums, place, count)])
-        yield int(bucket[f]), 0, meta, zstandard.compress(text, LEVEL)
+        parcels.add(int(bucket[f]), 0, [c[own] for c in (key, sums, place, count)], text)
 
 
 def equal_windows(ids: np.ndarray, starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -233,19 +259,10 @@ def drop_repeated_passages(
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = worker_cache("words", WordHashes)
+        parcels = Parcels()
         keys: list[np.ndarray] = []
         texts: list[bytes] = []
         size = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            found = list(packed_rows(np.concatenate(keys), texts, table, window, gram, buckets))
-            if found:
-                b, kind, meta, body = zip(*found)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(b, pa.int32()), pa.array(kind, pa.int32()), pa.array(meta, pa.binary()), pa.array(body, pa.binary())],
-                    names=["bucket", "kind", "meta", "text"],
-                )
-
         for batch in batches:
             k = batch.column(0).to_numpy()
             raw, offsets = byte_slices(batch.column(1))
@@ -255,12 +272,14 @@ def drop_repeated_passages(
                 texts.append(raw[offsets[i] : offsets[i + 1]])
                 size += len(texts[-1])
                 if size >= CHUNK_BYTES:
-                    yield from flush()
+                    pack_chunk(parcels, np.concatenate(keys), texts, table, window, gram, buckets)
                     keys, texts, size = [], [], 0
+                    yield from parcels.batches()
         if texts:
-            yield from flush()
+            pack_chunk(parcels, np.concatenate(keys), texts, table, window, gram, buckets)
+        yield from parcels.batches(last=True)
 
-    packed = rows.select("k", "t").mapInArrow(pack, "bucket int, kind int, meta binary, text binary")
+    packed = rows.select("k", "t").mapInArrow(pack, Parcels.SCHEMA)
     marks = packed.groupBy("bucket").applyInArrow(
         lambda table: bucket_marks(table, window), "k bigint, sum bigint, first int, n int"
     )
