@@ -21,7 +21,7 @@ from forumlens.llm.words import WordHashes, byte_slices, mixed, window_hashes, w
 
 # Labelled documents drawn for training: the bound of what the driver gathers.
 SAMPLE = 2_000
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 SYMBOLS = b"#*$%&|<>"
 STOPS = b".!?:;"
 # Fixed values of the base rules.
@@ -215,11 +215,10 @@ def _judged(field: Field, texts: list[bytes], table: WordHashes, min_share: floa
 def _chunks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     for batch in batches:
         raw, offsets = byte_slices(batch.column(column))
-        raw = raw.tobytes()
         start = 0
         for i in range(batch.num_rows):
             if offsets[i + 1] - offsets[start] >= CHUNK_BYTES or i + 1 == batch.num_rows:
-                yield batch.slice(start, i + 1 - start), [raw[offsets[j] : offsets[j + 1]] for j in range(start, i + 1)]
+                yield batch.slice(start, i + 1 - start), [raw[offsets[j] : offsets[j + 1]].tobytes() for j in range(start, i + 1)]
                 start = i + 1
 
 

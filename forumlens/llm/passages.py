@@ -266,10 +266,9 @@ def drop_repeated_passages(
         for batch in batches:
             k = batch.column(0).to_numpy()
             raw, offsets = byte_slices(batch.column(1))
-            raw = raw.tobytes()
             for i in range(len(k)):
                 keys.append(k[i : i + 1])
-                texts.append(raw[offsets[i] : offsets[i + 1]])
+                texts.append(raw[offsets[i] : offsets[i + 1]].tobytes())
                 size += len(texts[-1])
                 if size >= CHUNK_BYTES:
                     pack_chunk(parcels, np.concatenate(keys), texts, table, window, gram, buckets)
@@ -296,10 +295,9 @@ def drop_repeated_passages(
             sums, first, n = (parts.field(i).to_numpy() for i in range(3))
             border = np.r_[0, np.cumsum(np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64))]
             raw, offsets = byte_slices(batch.column(1))
-            raw = raw.tobytes()
             counts, removed, kept = [], [], []
             for i in range(batch.num_rows):
-                t = raw[offsets[i] : offsets[i + 1]]
+                t = raw[offsets[i] : offsets[i + 1]].tobytes()
                 words = t.split()
                 own = slice(border[i], border[i + 1])
                 mine = sums[own] == text_sum(t) if border[i + 1] > border[i] else None

@@ -16,18 +16,19 @@ from array import array
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forumlens.llm.words import worker_cache
+from forumlens.llm.words import byte_slices, worker_cache
 
 MARK = "▁"
 NORMAL, USER_DEFINED, UNUSED, BYTE = 1, 4, 5, 6
 # Stretches and pairs of pieces kept per worker, and text handled at a time.
-KEPT_STRETCHES = 500_000
-KEPT_PAIRS = 1_500_000
-CHARS_AT_ONCE = 2_000_000
+KEPT_STRETCHES = 200_000
+KEPT_PAIRS = 600_000
+BYTES_AT_ONCE = 1 << 20
 
 
 class PieceModel:
@@ -79,6 +80,7 @@ class PieceModel:
             if tree is not None:
                 self.automaton.add_word(piece, (len(piece), t))
         self.automaton.make_automaton()
+        del self._trees
         broken = "".join(c for c in "\n\t\r" if not any(c in p for p in ids))
         self.separator = "\n"
         if "\n" not in broken:
@@ -214,15 +216,13 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def _groups(texts: list[str]) -> Iterator[tuple[int, int]]:
-    start = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= CHARS_AT_ONCE:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+def _groups(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Row ranges of about BYTES_AT_ONCE bytes each, at least one row."""
+    start, n = 0, len(offsets) - 1
+    while start < n:
+        end = max(start + 1, int(np.searchsorted(offsets, offsets[start] + BYTES_AT_ONCE)))
+        yield start, min(end, n)
+        start = end
 
 
 def encode_texts(
@@ -243,9 +243,8 @@ def encode_texts(
         path = model or default_model()
         pieces = worker_cache(f"pieces:{path}", lambda: PieceModel(path))
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in _groups(texts):
-                packed = pieces.encode_many(texts[a:b], bos, eos)
+            for a, b in _groups(byte_slices(batch.column(1))[1]):
+                packed = pieces.encode_many([t or "" for t in batch.column(1).slice(a, b - a).to_pylist()], bos, eos)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(a, b - a),

@@ -47,7 +47,7 @@ def byte_slices(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class WordHashes(dict):
     """64-bit hash per word, kept up to a bound and then started anew."""
 
-    BOUND = 300_000
+    BOUND = 150_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.BOUND:
