@@ -130,7 +130,13 @@ def choose_eps(
         (F.sum(F.when(F.col("n") >= min_samples, F.col("n")).otherwise(0)) / F.sum("n")).alias("share")
     )
     enough = sorted(r["eps"] for r in shares.collect() if r["share"] >= share)
-    return enough[0] if enough else max(ladder)
+    if enough or not shares.take(1):
+        return enough[0] if enough else max(ladder)
+    # None is wide enough: the next candidates go on from the largest, up to one cell for all.
+    wider = [max(ladder) * 1.25**i for i in range(1, len(ladder) + 1)]
+    if wider[0] > 1e6:
+        raise ValueError(f"no radius puts a share of {share} of the points into cells of {min_samples}")
+    return choose_eps(points, wider, min_samples, dims=dims, share=share, vector=vector)
 
 
 def centroids(df: DataFrame, keys: Sequence[str], vector: str = "embedding", to: str = "centroid") -> DataFrame:
@@ -141,6 +147,10 @@ def centroids(df: DataFrame, keys: Sequence[str], vector: str = "embedding", to:
     )
 
 
+# A difference of 0.1 in cosine makes a topic e times as likely.
+TEMPERATURE = 0.1
+
+
 def _topic_lists(df: DataFrame, category: str, fields: Sequence[str]) -> DataFrame:
     """Topics of a category as one ordered array (one row per category)."""
     return df.groupBy(category).agg(F.sort_array(F.collect_list(F.struct("topic", *fields))).alias("_topics"))
@@ -150,15 +160,21 @@ def _vector_values(field: str) -> Column:
     return F.aggregate("_topics", F.lit(0), lambda s, t: s + F.size(t[field]))
 
 
-def membership_probs(docs: DataFrame, centres: DataFrame, *, category: str = "category", vector: str = "embedding") -> DataFrame:
-    """``probs``: softmax of the cosine to each topic of the category, ordered by topic."""
+def membership_probs(
+    docs: DataFrame, centres: DataFrame, *, category: str = "category", vector: str = "embedding", temperature: float = TEMPERATURE
+) -> DataFrame:
+    """``probs``: softmax of cosine / temperature over the topics of the category, ordered by topic.
+
+    Cosines lie within 2 of each other, so without the temperature no topic among many could ever
+    reach one half.
+    """
     lists = _topic_lists(centres.where(F.col("topic") != -1), category, ["centroid"])
     lists = broadcast_if_small(lists, values=_vector_values("centroid"))
     joined = docs.join(lists, category, "left")
     near = F.transform("_topics", lambda t: cosine(F.col(vector), t["centroid"]))
     return (
         joined.withColumn("topic_ids", F.col("_topics.topic"))
-        .withColumn("probs", softmax(near))
+        .withColumn("probs", softmax(F.transform(near, lambda s: s / temperature)))
         .drop("_topics")
     )
 
@@ -190,7 +206,8 @@ def silhouette_cosine(docs: DataFrame, *, category: str = "category", vector: st
     )
     placed = joined.select(category, near.alias("_d"))
     own = F.get(F.filter("_d", lambda t: t["own"]), 0)
-    a = own["d"] * own["n"] / (own["n"] - 1)
+    a = own["d"] * own["n"] / F.nullif(own["n"] - 1, F.lit(0))
     b = F.array_min(F.transform(F.filter("_d", lambda t: ~t["own"]), lambda t: t["d"]))
-    score = F.when((own["n"] == 1) | b.isNull(), F.lit(0.0)).otherwise((b - a) / F.greatest(a, b))
+    # Clusters of identical vectors are at distance 0 from themselves and each other: 0, not an error.
+    score = F.when((own["n"] == 1) | b.isNull(), F.lit(0.0)).otherwise(F.coalesce((b - a) / F.nullif(F.greatest(a, b), F.lit(0.0)), F.lit(0.0)))
     return placed.groupBy(category).agg(F.avg(score).alias("silhouette"))

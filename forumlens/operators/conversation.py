@@ -1,4 +1,8 @@
-"""History-dependent columns of conversations (conv_id, turn, role, text); turn is the list index."""
+"""History-dependent columns of conversations (conv_id, turn, role, text).
+
+``turn`` only orders the messages of a conversation; it may start anywhere and leave gaps. What
+counts is a message's position.
+"""
 
 from __future__ import annotations
 
@@ -13,12 +17,18 @@ from forumlens.operators.ordered import WIDTH, lookback, previous_value, running
 KEYS = ["conv_id"]
 
 
+def _placed(turns: DataFrame, width: int) -> DataFrame:
+    """Add ``_pos``, the number of earlier messages."""
+    counted = running(turns, KEYS, "turn", {"_pos": ("sum", F.lit(1))}, width)
+    return counted.withColumn("_pos", F.col("_pos") - 1)
+
+
 def recent_history(turns: DataFrame, pairs: int = 6, width: int = WIDTH) -> DataFrame:
     """``history``: the last 2 x pairs messages before this one as "role: text" lines."""
     line = F.concat("role", F.lit(": "), "text")
     made = {"_h": lambda w: F.collect_list(F.struct("turn", line.alias("t"))).over(w)}
-    out = lookback(turns, KEYS, "turn", 2 * pairs, made, width)
-    return out.withColumn("history", F.array_join(_texts("_h"), "\n")).drop("_h")
+    out = lookback(_placed(turns, width), KEYS, "_pos", 2 * pairs, made, width)
+    return out.withColumn("history", F.array_join(_texts("_h"), "\n")).drop("_h", "_pos")
 
 
 def _texts(column: str) -> Column:
@@ -28,11 +38,11 @@ def _texts(column: str) -> Column:
 def history_summary(turns: DataFrame, back: int = 4, chars: int = 50, width: int = WIDTH) -> DataFrame:
     snippet = F.concat("role", F.lit(": "), F.left("text", F.lit(chars)), F.lit("..."))
     made = {"_h": lambda w: F.collect_list(F.struct("turn", snippet.alias("t"))).over(w)}
-    out = lookback(turns, KEYS, "turn", back, made, width)
+    out = lookback(_placed(turns, width), KEYS, "_pos", back, made, width)
     summary = F.when(F.size("_h") == 0, F.lit("No prior history.")).otherwise(
         F.concat(F.lit("Conversation history summary: "), F.array_join(_texts("_h"), " "))
     )
-    return out.withColumn("history_summary", summary).drop("_h")
+    return out.withColumn("history_summary", summary).drop("_h", "_pos")
 
 
 def repeat_counts(turns: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -58,11 +68,11 @@ def kept_history(
     at least 100, so only ``budget / 100`` earlier messages can matter.
     """
     back = math.ceil(budget / 100) + 2
-    sized = turns.withColumns(
+    sized = _placed(turns, width).withColumns(
         {"_cost": token_estimate(F.col("text")), "_left": F.lit(float(budget)) - prompt_tokens}
     )
     made = {"_h": lambda w: F.collect_list(F.struct(F.col("turn").alias("turn"), F.col("_cost").alias("cost"))).over(w)}
-    out = lookback(sized, KEYS, "turn", back, made, width).where(F.col("role") == "user")
+    out = lookback(sized, KEYS, "_pos", back, made, width).where(F.col("role") == "user")
     # Walk back from the newest message; count how many fit.
     start = F.struct(F.lit(0.0).alias("used"), F.lit(0).alias("n"), F.lit(True).alias("open"))
 
@@ -75,7 +85,7 @@ def kept_history(
         )
 
     fitting = F.aggregate(F.reverse(F.sort_array("_h")), start, walk)["n"].cast("bigint")
-    before = F.col("turn")
+    before = F.col("_pos")
     # Messages go in pairs from the front, and one or two always stay.
     dropped = F.least(
         F.ceil((before - fitting) / 2) * 2, F.greatest(F.ceil((before - 2) / 2) * 2, F.lit(0))

@@ -111,22 +111,26 @@ def s2(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "s3_write_corpus",
-    """SELECT CAST(vec_id AS VARCHAR) AS post_id, CAST(label AS VARCHAR) AS tag, len(embedding) AS dims,
-       round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 6) AS total FROM embeddings""",
+    """SELECT CAST(vec_id AS VARCHAR) AS post_id, CAST(label AS VARCHAR) AS tag, md5(coalesce(text, '')) AS text_md5,
+       CAST(DATE '2015-01-01' + CAST(vec_id % 3000 AS INTEGER) AS VARCHAR) AS post_date, len(embedding) AS dims,
+       round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 6) AS total
+       FROM embeddings LEFT JOIN documents ON doc_id = vec_id""",
 )
 def s3(spark: SparkSession, d: str) -> DataFrame:
     path = fresh_path(spark, "corpus")
-    vectors = table(spark, d, "embeddings").select(
+    texts = table(spark, d, "documents").select(F.col("doc_id").alias("vec_id"), "text")
+    vectors = table(spark, d, "embeddings").join(texts, "vec_id", "left").select(
         F.col("vec_id").cast("string").alias("post_id"),
         F.col("label").cast("string").alias("tag"),
-        F.lit("").alias("text"),
-        F.lit(None).cast("date").alias("post_date"),
+        "text",
+        F.date_add(F.lit("2015-01-01").cast("date"), (F.col("vec_id") % 3000).cast("int")).alias("post_date"),
         "embedding",
     )
     posts.write_corpus(vectors, path)
     total = F.aggregate("embedding", F.lit(0.0).cast("double"), lambda s, x: s + x.cast("double"))
     return spark.read.parquet(path).select(
-        "post_id", "tag", F.size("embedding").cast("bigint").alias("dims"), F.round(total, 6).alias("total")
+        "post_id", "tag", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"), F.col("post_date").cast("string").alias("post_date"),
+        F.size("embedding").cast("bigint").alias("dims"), F.round(total, 6).alias("total"),
     )
 
 

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forumlens.functions.text import tokenize
-from forumlens.operators import clusters, counts, graph, stats, topics
+from forumlens.operators import clusters, counts, embedding, graph, stats, topics
 from forumlens.operators.coherence import pair_coherence
 from forumlens.operators.rows import exploded
 from forumlens.plans.registry import documents, query, table
 from forumlens.plans.texts import SHORT_STOP, sql_list, sql_tokens
-from forumlens.plans.topicmodel import vector_docs
+from forumlens.plans.topicmodel import topic_docs
 
 # Forty subtopics: the ten labels, each split in four, with the label modulo 4 as category.
 NODES_SQL = """node_docs AS (SELECT label * 4 + vec_id % 4 AS id, 'c' || CAST(label % 4 AS VARCHAR) AS label, embedding::DOUBLE[] AS e FROM embeddings),
@@ -101,8 +101,7 @@ def a9(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "g1_build_nodes",
-    f"""WITH docs AS (SELECT e.vec_id AS doc_id, 'c' || CAST(e.label % 4 AS VARCHAR) AS category, CASE WHEN e.vec_id % 7 = 0 THEN -1 ELSE CAST(e.label AS INTEGER) END AS topic, t.text
-        FROM embeddings e JOIN documents t ON t.doc_id = e.vec_id),
+    f"""WITH docs AS (SELECT doc_id, lang AS category, CAST(substr(source, 4) AS INTEGER) - 1 AS topic, text FROM documents),
     toks AS (SELECT category, topic, list_filter({sql_tokens('lower(text)', 2)}, lambda t: NOT list_contains({sql_list(SHORT_STOP)}, t)) AS t FROM docs),
     grams AS (SELECT category, topic, unnest(list_concat(t, list_concat(list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]),
       list_transform(range(1, len(t) - 1), lambda i: t[i] || ' ' || t[i + 1] || ' ' || t[i + 2])))) AS term FROM toks),
@@ -118,7 +117,7 @@ def a9(spark: SparkSession, d: str) -> DataFrame:
       keywords, round(doc_count / sum(doc_count) OVER (PARTITION BY category), 6)::DOUBLE AS size, doc_count FROM n JOIN k USING (category, topic)""",
 )
 def g1(spark: SparkSession, d: str) -> DataFrame:
-    docs = vector_docs(spark, d).join(documents(spark, d).select("doc_id", "text"), "doc_id")
+    docs = embedding.tfidf_vectors(topic_docs(spark, d), "text", 64)
     terms = topics.top_terms(topics.class_tfidf(topics.ngram_counts(docs, ["category", "topic"], "text", SHORT_STOP)))
     names = docs.where(F.col("topic") == 4).select("category", "topic", F.lit("Work Stress").alias("name")).distinct()
     out = graph.build_nodes(docs, terms, names)
@@ -288,7 +287,7 @@ def sql_mann_whitney(source: str) -> str:
 MW_COLUMNS = """CAST(n1 AS BIGINT) AS n1, CAST(n2 AS BIGINT) AS n2, r1 AS rank_sum_x, r2 AS rank_sum_y, u_x, u_y, least(u_x, u_y) AS u, expected_u,
     round(std_u, 4) AS std_u, round(z, 6) AS z, round(CASE WHEN z >= 0 THEN tail ELSE 1 - tail END, 6)::DOUBLE AS p"""
 SIMS_MW_SQL = sql_mann_whitney("SELECT original_sim AS v, label_u = label_v AS x FROM sims")
-LINES_MW_SQL = sql_mann_whitney("SELECT l_quantity AS v, l_returnflag = 'R' AS x FROM lineitem WHERE l_returnflag IN ('R', 'N')")
+LINES_MW_SQL = sql_mann_whitney("SELECT l_quantity AS v, l_returnflag = 'R' AS x FROM lineitem")
 
 
 def rounded_test(df: DataFrame) -> DataFrame:
@@ -302,7 +301,8 @@ def g12(spark: SparkSession, d: str) -> DataFrame:
 
 
 def line_samples(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "lineitem").where(F.col("l_returnflag").isin("R", "N"))
+    """Returned lines against all others."""
+    return table(spark, d, "lineitem")
 
 
 @query("g12_mann_whitney_large", f"WITH {LINES_MW_SQL} SELECT {MW_COLUMNS} FROM pp")

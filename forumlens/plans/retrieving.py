@@ -274,7 +274,7 @@ def q4(spark: SparkSession, d: str) -> DataFrame:
       chr(10) || chr(10) ORDER BY rank) AS entity_notes FROM top WHERE rank <= 4 AND score > 0.35 GROUP BY query_id)
     SELECT rep.query_id, CASE WHEN hist IS NULL THEN 'No prior history.' ELSE 'Conversation history summary: ' || array_to_string(hist, ' ') END AS history_summary,
       coalesce(context, '') AS context, coalesce(entity_notes, '') AS entity_notes,
-      CASE WHEN repeats <= 1 THEN '' ELSE 'The user has repeated the same message ' || CAST(repeats + 1 AS VARCHAR) || '{retrieval.REPEAT_NOTE}'
+      CASE WHEN repeats <= 1 THEN '' ELSE replace('{retrieval.REPEAT_NOTE}', '{{times}}', CAST(repeats + 1 AS VARCHAR))
         || CASE WHEN repeats >= 2 THEN '{retrieval.REPEAT_MORE}' ELSE '' END END AS repetition_note
     FROM rep LEFT JOIN ctx ON rep.vec_id = ctx.vec_id LEFT JOIN ent ON rep.vec_id = ent.vec_id""",
 )

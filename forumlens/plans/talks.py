@@ -16,26 +16,57 @@ def talk(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "conversations")
 
 
-@query(
-    "w2_recent_history",
-    """SELECT conv_id, turn, coalesce(array_to_string(list(role || ': ' || text) OVER (PARTITION BY conv_id ORDER BY turn
-      RANGE BETWEEN 12 PRECEDING AND 1 PRECEDING), chr(10)), '') AS history FROM conversations""",
-)
+def gappy(spark: SparkSession, d: str) -> DataFrame:
+    """The same messages under turns that start at 5 and leave gaps."""
+    return talk(spark, d).withColumn("turn", F.col("turn") * 3 + 5)
+
+
+def gappy_sql(sql: str) -> str:
+    return sql.replace("FROM conversations", "FROM (SELECT * REPLACE (turn * 3 + 5 AS turn) FROM conversations)")
+
+
+W2_SQL = """SELECT conv_id, turn, coalesce(array_to_string(list(role || ': ' || text) OVER (PARTITION BY conv_id ORDER BY turn
+      ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING), chr(10)), '') AS history FROM conversations"""
+W3_SQL = """WITH h AS (SELECT conv_id, turn, list(role || ': ' || left(text, 50) || '...') OVER (PARTITION BY conv_id ORDER BY turn
+      ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS h FROM conversations)
+    SELECT conv_id, turn, CASE WHEN h IS NULL THEN 'No prior history.'
+      ELSE 'Conversation history summary: ' || array_to_string(h, ' ') END AS history_summary FROM h"""
+W5_SQL = f"""WITH c AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS pos, role,
+      len({sql_words('text')}) * 1.3 + 100 AS cost FROM conversations),
+    u AS (SELECT conv_id, turn, pos, cost, 900 - 150 - cost AS left_over FROM c WHERE role = 'user'),
+    o AS (SELECT u.conv_id, u.turn, u.pos, i.i AS drop_n,
+        coalesce((SELECT sum(h.cost) FROM c h WHERE h.conv_id = u.conv_id AND h.pos < u.pos AND h.pos >= i.i), 0) <= u.left_over AS fits,
+        u.pos - i.i <= 2 AS short
+      FROM u, (SELECT unnest(range(0, 12, 2)) AS i) i WHERE i.i <= u.pos)
+    SELECT conv_id, turn, pos AS n_before, pos - min(drop_n) AS n_kept, min(drop_n) AS first_kept
+    FROM o WHERE fits OR short GROUP BY conv_id, turn, pos"""
+
+
+@query("w2_recent_history", W2_SQL)
 def w2(spark: SparkSession, d: str) -> DataFrame:
     return conversation.recent_history(talk(spark, d)).select("conv_id", "turn", "history")
 
 
-@query(
-    "w3_history_summary",
-    """WITH h AS (SELECT conv_id, turn, list(role || ': ' || left(text, 50) || '...') OVER (PARTITION BY conv_id ORDER BY turn
-      RANGE BETWEEN 4 PRECEDING AND 1 PRECEDING) AS h FROM conversations)
-    SELECT conv_id, turn, CASE WHEN h IS NULL THEN 'No prior history.'
-      ELSE 'Conversation history summary: ' || array_to_string(h, ' ') END AS history_summary FROM h""",
-)
+@query("w2_recent_history_gaps", gappy_sql(W2_SQL))
+def w2_gaps(spark: SparkSession, d: str) -> DataFrame:
+    return conversation.recent_history(gappy(spark, d)).select("conv_id", "turn", "history")
+
+
+@query("w3_history_summary", W3_SQL)
 def w3(spark: SparkSession, d: str) -> DataFrame:
     return conversation.history_summary(talk(spark, d)).select("conv_id", "turn", "history_summary")
 
 
+@query("w3_history_summary_gaps", gappy_sql(W3_SQL))
+def w3_gaps(spark: SparkSession, d: str) -> DataFrame:
+    return conversation.history_summary(gappy(spark, d)).select("conv_id", "turn", "history_summary")
+
+
+def kept(turns: DataFrame) -> DataFrame:
+    prompt = F.lit(150.0) + tx.token_estimate(F.col("text"))
+    return conversation.kept_history(turns, prompt, budget=900.0, width=4)
+
+
 # The fixture has no immediate repeats, so messages are compared by a short code of theirs.
 ASKED_SQL = """asked AS (SELECT conv_id, turn, role, CAST(length(text) % 2 AS VARCHAR) AS text FROM conversations)"""
 
@@ -56,18 +87,15 @@ def w4(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "w5_kept_history",
-    f"""WITH c AS (SELECT conv_id, turn, role, len({sql_words('text')}) * 1.3 + 100 AS cost FROM conversations),
-    u AS (SELECT conv_id, turn, cost, 900 - 150 - cost AS left_over FROM c WHERE role = 'user'),
-    o AS (SELECT u.conv_id, u.turn, i.i AS drop_n,
-        coalesce((SELECT sum(h.cost) FROM c h WHERE h.conv_id = u.conv_id AND h.turn < u.turn AND h.turn >= i.i), 0) <= u.left_over AS fits,
-        u.turn - i.i <= 2 AS short
-      FROM u, (SELECT unnest(range(0, 12, 2)) AS i) i WHERE i.i <= u.turn)
-    SELECT conv_id, turn, turn AS n_before, turn - min(drop_n) AS n_kept, min(drop_n) AS first_kept
-    FROM o WHERE fits OR short GROUP BY conv_id, turn""",
+    W5_SQL,
 )
 def w5(spark: SparkSession, d: str) -> DataFrame:
-    prompt = F.lit(150.0) + tx.token_estimate(F.col("text"))
-    return conversation.kept_history(talk(spark, d), prompt, budget=900.0, width=4)
+    return kept(talk(spark, d))
+
+
+@query("w5_kept_history_gaps", gappy_sql(W5_SQL))
+def w5_gaps(spark: SparkSession, d: str) -> DataFrame:
+    return kept(gappy(spark, d))
 
 
 @query(

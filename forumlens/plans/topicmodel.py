@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forumlens.functions.text import words
-from forumlens.operators import clusters, coherence, counts, graph, merge, topics
+from forumlens.operators import clusters, coherence, counts, embedding, graph, merge, topics
 from forumlens.plans.registry import documents, query, table
 from forumlens.plans.texts import SHORT_STOP, sql_list, sql_tokens, sql_words
 
@@ -201,8 +201,8 @@ def vector_docs(spark: SparkSession, d: str) -> DataFrame:
 
 @query("m7_mmr_terms")
 def m7(spark: SparkSession, d: str) -> DataFrame:
-    """Thirty candidates per topic over documents that have a vector, ten chosen."""
-    docs = vector_docs(spark, d).join(documents(spark, d).select("doc_id", "text"), "doc_id")
+    """Thirty candidates per topic over all documents and their TF-IDF vectors, ten chosen."""
+    docs = embedding.tfidf_vectors(topic_docs(spark, d), "text", 256)
     weighted = topics.class_tfidf(topics.ngram_counts(docs, ["category", "topic"], "text", SHORT_STOP))
     candidates = topics.top_terms(weighted, k=30)
     vectors = topics.term_vectors(docs, candidates, "text", SHORT_STOP)
@@ -228,7 +228,7 @@ def v4(spark: SparkSession, d: str) -> DataFrame:
 PROBS_SQL = f"""{CENTRES_SQL},
 near AS (SELECT v.doc_id, v.category, v.topic, c.topic AS to_topic, list_cosine_similarity(v.embedding, c.centroid) AS s
   FROM vector_docs v JOIN centres c ON c.category = v.category WHERE c.topic <> -1),
-probs AS (SELECT *, exp(s) / sum(exp(s)) OVER (PARTITION BY doc_id) AS p FROM near)"""
+probs AS (SELECT *, exp(s / 0.1::DOUBLE) / sum(exp(s / 0.1::DOUBLE)) OVER (PARTITION BY doc_id) AS p FROM near)"""
 
 
 def with_probs(spark: SparkSession, d: str) -> DataFrame:
@@ -242,13 +242,31 @@ def m4(spark: SparkSession, d: str) -> DataFrame:
     return with_probs(spark, d).select("doc_id", pairs).select("doc_id", F.col("z.topic_ids").alias("topic"), F.round("z.probs", 6).alias("p"))
 
 
+# One category that holds all ten topics.
+ONE_SQL = PROBS_SQL.replace("'c' || CAST(label % 4 AS VARCHAR) AS category", "'all' AS category")
+MOVED_SQL = "best AS (SELECT doc_id, topic, max(p) AS p, arg_max(to_topic, p) AS likely FROM probs GROUP BY doc_id, topic)"
+
+
+def moved(spark: SparkSession, d: str, threshold: float) -> DataFrame:
+    docs = vector_docs(spark, d).withColumn("category", F.lit("all"))
+    likely = clusters.membership_probs(docs, clusters.centroids(docs, ["category", "topic"]))
+    return clusters.reassign_outliers(likely, threshold).select("doc_id", "topic", "new_topic")
+
+
 @query(
     "m5_reassign_outliers",
-    f"""WITH {PROBS_SQL}, best AS (SELECT doc_id, topic, max(p) AS p, arg_max(to_topic, p) AS likely FROM probs GROUP BY doc_id, topic)
-    SELECT doc_id, topic, CASE WHEN topic = -1 AND p >= 0.4 THEN likely ELSE topic END AS new_topic FROM best""",
+    f"WITH {ONE_SQL}, {MOVED_SQL} SELECT doc_id, topic, CASE WHEN topic = -1 AND p >= 0.5 THEN likely ELSE topic END AS new_topic FROM best",
 )
 def m5(spark: SparkSession, d: str) -> DataFrame:
-    return clusters.reassign_outliers(with_probs(spark, d), 0.4).select("doc_id", "topic", "new_topic")
+    return moved(spark, d, 0.5)
+
+
+@query(
+    "m5_reassign_outliers_060",
+    f"WITH {ONE_SQL}, {MOVED_SQL} SELECT doc_id, topic, CASE WHEN topic = -1 AND p >= 0.6 THEN likely ELSE topic END AS new_topic FROM best",
+)
+def m5_060(spark: SparkSession, d: str) -> DataFrame:
+    return moved(spark, d, 0.6)
 
 
 @query(
@@ -265,9 +283,25 @@ def m11(spark: SparkSession, d: str) -> DataFrame:
 
 
 EPS = 0.08
-# Cells of the first two dimensions; near cells are at most one step away in each.
+# A fixed projection of all 64 dimensions to two, the same numbers in both engines.
+FACTORS = (37, 23)
+
+
+def projected_sql(factor: int) -> str:
+    return f"list_sum(list_transform(range(1, len(embedding) + 1), lambda i: embedding[i]::DOUBLE * (((i - 1) * {factor}) % 64 - 31.5::DOUBLE) / 147.0::DOUBLE))"
+
+
+def projected(vector: str) -> Column:
+    def axis(factor: int) -> Column:
+        terms = F.transform(vector, lambda x, i: x.cast("double") * ((i * factor) % 64 - F.lit(31.5)) / F.lit(147.0))
+        return F.aggregate(terms, F.lit(0.0), lambda s, t: s + t)
+
+    return F.array(*[axis(f) for f in FACTORS])
+
+
+# Cells of the projection; near cells are at most one step away in each.
 CELLS_SQL = f"""pts AS (SELECT vec_id AS doc_id, 'c' || CAST(label % 4 AS VARCHAR) AS category,
-    CAST(floor(embedding[1]::DOUBLE / ({EPS}::DOUBLE / sqrt(2::DOUBLE))) AS BIGINT) AS x, CAST(floor(embedding[2]::DOUBLE / ({EPS}::DOUBLE / sqrt(2::DOUBLE))) AS BIGINT) AS y FROM embeddings),
+    CAST(floor({projected_sql(37)} / ({EPS}::DOUBLE / sqrt(2::DOUBLE))) AS BIGINT) AS x, CAST(floor({projected_sql(23)} / ({EPS}::DOUBLE / sqrt(2::DOUBLE))) AS BIGINT) AS y FROM embeddings),
 cells AS (SELECT category, x, y, count(*) AS n FROM pts GROUP BY ALL),
 near AS (SELECT a.category, a.x, a.y, b.x AS bx, b.y AS by_, b.n FROM cells a JOIN cells b ON a.category = b.category AND abs(a.x - b.x) <= 1 AND abs(a.y - b.y) <= 1),
 dense AS (SELECT category, x, y FROM near GROUP BY ALL HAVING sum(n) >= 8),
@@ -286,7 +320,7 @@ numbered AS (SELECT category, component, row_number() OVER (PARTITION BY categor
     SELECT p.doc_id, p.category, CAST(coalesce(topic, -1) AS INTEGER) AS topic FROM pts p LEFT JOIN comp c USING (category, x, y) LEFT JOIN numbered n USING (category, component)""",
 )
 def m3(spark: SparkSession, d: str) -> DataFrame:
-    points = vector_docs(spark, d).drop("topic").withColumn("reduced", F.transform(F.slice("embedding", 1, 2), lambda x: x.cast("double")))
+    points = vector_docs(spark, d).drop("topic").withColumn("reduced", projected("embedding"))
     return clusters.density_clusters(points, EPS, 8, 10, dims=2).select("doc_id", "category", "topic")
 
 
@@ -332,12 +366,12 @@ def m13_tree(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "j3_topic_docs",
-    f"""WITH {VECTOR_DOCS_SQL} SELECT v.doc_id, v.topic, t.source, t.n_chars FROM vector_docs v JOIN documents t ON t.doc_id = v.doc_id""",
+    f"""WITH {TOPIC_DOCS_SQL} SELECT v.doc_id, v.topic, t.source, t.n_chars FROM topic_docs v JOIN documents t ON t.doc_id = v.doc_id""",
 )
 def j3(spark: SparkSession, d: str) -> DataFrame:
     """Topic information beside the original columns, by id instead of by position."""
     original = documents(spark, d).select("doc_id", "source", "n_chars")
-    return vector_docs(spark, d).select("doc_id", "topic").join(original, "doc_id")
+    return topic_docs(spark, d).select("doc_id", "topic").join(original, "doc_id")
 
 
 NAMES = [("en", 0, "Community Support"), ("en", 3, "Work Stress"), ("fr", 1, "Family Issues"), ("de", 2, "Sleep")]

@@ -34,10 +34,10 @@ def scratch_dir(spark: SparkSession) -> str:
 
     Only a local-mode session without that setting gets a temporary folder of its own.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     if context.applicationId not in _local_scratch:
@@ -54,6 +54,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def has_table(spark: SparkSession, path: str) -> bool:
+    """Whether a finished table is stored at the path; an unreadable store is an error, not an absence."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return store.exists(spark._jvm.org.apache.hadoop.fs.Path(place, "_SUCCESS"))
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 import warnings
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from forumlens.session import has_table
+
 POST = T.StructType(
     [
         T.StructField("post_id", T.StringType()),
@@ -23,15 +24,6 @@ POST = T.StructType(
     ]
 )
 
-# Tag -> display label.
-TAG_LABELS = {
-    "anxiety": "Anxiety",
-    "depression": "Depression",
-    "ptsd-and-trauma": "PTSD and trauma",
-    "suicidal-thoughts-and-self-harm": "Suicidal thoughts and self-harm",
-}
-
-
 def read_posts(spark: SparkSession, path: str, tags: Sequence[str]) -> DataFrame:
     """Posts of the wanted tags; the tag is the partition column, so other tags are never read."""
     posts = spark.read.schema(POST).option("ignoreMissingFiles", "true").parquet(path)
@@ -85,10 +77,7 @@ def read_whole_text(spark: SparkSession, path: str) -> DataFrame:
 
 def checkpointed(spark: SparkSession, path: str, step: Callable[[], DataFrame], reuse: bool = True) -> DataFrame:
     """Read a stage table if it was written completely, else compute and write it."""
-    if reuse:
-        try:
-            return spark.read.parquet(path)
-        except AnalysisException:
-            pass
+    if reuse and has_table(spark, path):
+        return spark.read.parquet(path)
     step().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from forumlens.operators.merge import dedup_first, unseen
+from forumlens.session import has_table
 
 
 def load_new_posts(
@@ -31,10 +31,8 @@ def load_new_posts(
 
     def append(batch: DataFrame, _: int) -> None:
         first = dedup_first(batch, key, order)
-        try:
+        if has_table(spark, sink):
             first = unseen(first, spark.read.parquet(sink), key)
-        except AnalysisException:
-            pass  # nothing stored yet
         first.write.mode("append").partitionBy(*partition_by).parquet(sink)
 
     stream = spark.readStream.schema(schema).parquet(source)

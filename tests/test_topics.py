@@ -121,7 +121,8 @@ def test_membership_and_reassignment(spark):
     df = spark.createDataFrame([(1, "k", -1, [1.0, 0.0]), (2, "k", 1, [1.0, 0.0]), (3, "k", -1, [1.0, 1.0])], "id int, category string, topic int, embedding array<double>")
     centres = spark.createDataFrame([("k", 0, [0.0, 1.0]), ("k", 1, [1.0, 0.0]), ("k", -1, [5.0, 5.0])], "category string, topic int, centroid array<double>")
     out = {r["id"]: r for r in clusters.reassign_outliers(clusters.membership_probs(df, centres), 0.6).collect()}
-    assert out[1]["probs"] == pytest.approx([1 / (1 + math.e), math.e / (1 + math.e)])
+    odds = math.exp(1 / clusters.TEMPERATURE)
+    assert out[1]["probs"] == pytest.approx([1 / (1 + odds), odds / (1 + odds)])
     assert (out[1]["new_topic"], out[2]["new_topic"], out[3]["new_topic"]) == (1, 1, -1)
 
 
