@@ -19,18 +19,17 @@ DICTIONARY_ROWS = 200_000
 def lemmatise(df: DataFrame, key: str, tokens: str, lemmas: DataFrame) -> DataFrame:
     """Replace tokens by their lemma from a (token, lemma) table; unlisted tokens stay.
 
-    A dictionary within the size bound is broadcast, a larger one joins by shuffle. Tokens of one
-    document leave a partition already regrouped (partial ``collect_list``); the group is bounded
-    by the document.
+    Distinct tokens meet the dictionary in an inner join, so only listed ones travel, and come back
+    as one short map per document; the tokens themselves stay where they are. A dictionary within
+    the size bound is broadcast, a larger one joins by shuffle. Of several lemmas the smallest holds.
     """
-    spread = pos_exploded(df, [key], tokens, "_pos", "token")
-    looked_up = spread.join(broadcast_if_small(lemmas.select("token", "lemma"), DICTIONARY_ROWS), "token", "left")
-    rebuilt = looked_up.groupBy(key).agg(
-        F.sort_array(F.collect_list(F.struct("_pos", F.coalesce("lemma", "token").alias("t")))).alias("_t")
-    )
-    rebuilt = rebuilt.select(key, F.col("_t.t").alias("_lemmas"))
+    known = lemmas.where("token is not null and lemma is not null").groupBy("token").agg(F.min("lemma").alias("lemma"))
+    spread = exploded(df, [key], F.array_distinct(tokens), "token")
+    listed = spread.join(broadcast_if_small(known, DICTIONARY_ROWS), "token").select(key, "token", "lemma")
+    maps = listed.groupBy(key).agg(F.map_from_entries(F.collect_set(F.struct("token", "lemma"))).alias("_map"))
+    replaced = F.transform(tokens, lambda t: F.coalesce(F.try_element_at("_map", t), t))
     empty = F.array().cast("array<string>")
-    return df.join(rebuilt, key, "left").withColumn(tokens, F.coalesce("_lemmas", empty)).drop("_lemmas")
+    return df.join(maps, key, "left").withColumn(tokens, F.coalesce(replaced, empty)).drop("_map")
 
 
 def author_names(posts: DataFrame, order: str, category: str = "category", author: str = "author") -> DataFrame:

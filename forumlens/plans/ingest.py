@@ -72,12 +72,16 @@ FROM kept WHERE n_words >= 3 GROUP BY lang, source"""
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     docs = documents(spark, d).select("doc_id", "lang", "source", "text")
     cleaned = docs.select("doc_id", "lang", "source", tx.light_clean(F.col("text")).alias("model_text"))
-    kept = merge.dedup_text(cleaned, "model_text", ["doc_id"])
-    kept = kept.withColumn("n_words", tx.word_count(F.col("model_text"))).where(F.col("n_words") >= 3)
+    # The text is measured where it is cleaned; only its digest and numbers are shuffled.
+    text = F.col("model_text")
+    measured = cleaned.select(
+        "doc_id", "lang", "source", F.sha2(text, 256).alias("digest"), tx.word_count(text).alias("n_words"), F.length(text).alias("chars")
+    )
+    kept = merge.dedup_first(measured, "digest", ["doc_id"]).where(F.col("n_words") >= 3)
     return kept.groupBy("lang", "source").agg(
         F.count("*").alias("posts"),
         F.sum("n_words").alias("words"),
-        F.round(F.avg(F.length("model_text")), 6).alias("mean_chars"),
+        F.round(F.avg("chars"), 6).alias("mean_chars"),
     )
 
 

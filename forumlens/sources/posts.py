@@ -70,6 +70,19 @@ def read_entities(
     return spark.read.json(path, schema=schema, multiLine=not lines)
 
 
+def read_pairs(spark: SparkSession, path: str, bound: int = 10_000) -> list[tuple[str, str]]:
+    """Ordered (key, label) pairs of a JSON object, such as an emoticon dictionary, for expressions.
+
+    The order of the file decides, since an earlier pair may be part of a later one. A file of more
+    than ``bound`` pairs is refused: the pairs become part of the plan.
+    """
+    parsed = spark.read.text(path, wholetext=True).select(F.map_entries(F.from_json("value", "map<string,string>")).alias("e"))
+    rows = parsed.select(F.explode("e").alias("e")).select("e.key", "e.value").limit(bound + 1).collect()
+    if len(rows) > bound:
+        raise ValueError(f"more than {bound} pairs in {path}")
+    return [(r["key"], r["value"]) for r in rows]
+
+
 def read_whole_text(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: (path, value)."""
     return spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), "value")

@@ -1,6 +1,7 @@
 """Small fixed cases of the text and date rules."""
 
 import datetime as dt
+import json
 import random
 
 import pytest
@@ -215,3 +216,19 @@ def test_sentiment_negation(one):
     bad = one("not good", lambda t: evaluation.sentiment_score(t))
     assert good == pytest.approx(1.9 / (1.9**2 + 15) ** 0.5)
     assert bad == pytest.approx(-1.9 * 0.74 / ((1.9 * 0.74) ** 2 + 15) ** 0.5)
+
+
+def test_pairs_come_in_the_order_of_the_file(spark, tmp_path):
+    from forumlens.sources.posts import read_pairs
+
+    pairs = [(f"<{i % 7}{'=' * (i // 7)}>", f"label {i}") for i in range(300)] + [("(^", "cheek"), ("(^_^)", "happy"), ("^_^", "glad")]
+    (tmp_path / "d.json").write_text(json.dumps(dict(pairs)))
+    assert read_pairs(spark, str(tmp_path / "d.json")) == pairs
+    text = "so (^_^) and ^_^ and <3===> end"
+    want = text
+    for k, v in pairs:
+        want = want.replace(k, f" {v} ")
+    got = spark.createDataFrame([(text,)], "t string").select(tx.replace_in_order(F.col("t"), read_pairs(spark, str(tmp_path / "d.json")))).first()[0]
+    assert got.split() == want.split()
+    with pytest.raises(ValueError, match="more than 5"):
+        read_pairs(spark, str(tmp_path / "d.json"), bound=5)
