@@ -49,15 +49,21 @@ def fit_topics(
     unwanted: DataFrame | None = None,
     candidates: int = 30,
     k: int = 10,
+    merge_above: float | None = None,
 ) -> TopicModel:
     """Reduce, cluster, reassign outliers, weigh terms and score, for all categories in one go.
 
-    ``docs(doc_id, category, text, embedding)``; ``config(category, min_df, max_df)``.
+    ``docs(doc_id, category, text, embedding)``; ``config(category, min_df, max_df)``, and where it
+    has them ``min_samples`` and ``min_cluster_size`` per category. Stop terms of a category come as
+    ``unwanted(category, term)``. ``merge_above`` joins topics whose centroids are that similar.
     """
+    own = config if {"min_samples", "min_cluster_size"} <= set(config.columns) else None
     points = staged(clusters.reduce_dims(docs, dims), "points")
     if eps is None:
         eps = clusters.choose_eps(points, [0.02 * 1.25**i for i in range(24)], min_samples, dims=dims)
-    found = clusters.density_clusters(points, eps, min_samples, min_cluster_size, dims=dims).drop("reduced")
+    found = clusters.density_clusters(points, eps, min_samples, min_cluster_size, dims=dims, config=own).drop("reduced")
+    if merge_above is not None:
+        found = clusters.merge_similar_topics(found, merge_above).drop("topic").withColumnRenamed("merged_topic", "topic")
     first = clusters.centroids(found, ["category", "topic"])
     settled = clusters.reassign_outliers(clusters.membership_probs(found, first), outlier_threshold)
     settled = staged(settled.drop("topic", "topic_ids").withColumnRenamed("new_topic", "topic"), "assigned")

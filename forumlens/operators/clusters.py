@@ -106,11 +106,22 @@ def density_clusters(
     dims: int,
     category: str = "category",
     vector: str = "reduced",
+    config: DataFrame | None = None,
 ) -> DataFrame:
-    """Adds ``topic`` to every point: clusters numbered by size within the category, -1 for noise."""
+    """Adds ``topic`` to every point: clusters numbered by size within the category, -1 for noise.
+
+    ``config(category, min_samples, min_cluster_size)`` overrides both numbers for the categories it
+    lists, one row each; a null keeps the common number.
+    """
     placed = points.withColumn("cell", cell_of(F.col(vector), eps, dims))
     cells = placed.groupBy(category, "cell").agg(F.count("*").alias("n"))
-    cells = cells.withColumns({"min_samples": F.lit(min_samples), "min_cluster_size": F.lit(min_cluster_size)})
+    common = {"min_samples": F.lit(min_samples), "min_cluster_size": F.lit(min_cluster_size)}
+    if config is None:
+        cells = cells.withColumns(common)
+    else:
+        own = config.select(F.col("category").alias(category), *[F.col(c).alias(f"_{c}") for c in common])
+        cells = cells.join(own, category, "left")
+        cells = cells.withColumns({c: F.coalesce(f"_{c}", v) for c, v in common.items()}).drop(*[f"_{c}" for c in common])
     topics = cluster_cells(cells, [category], dims).drop("n")
     return placed.join(broadcast_if_small(topics), [category, "cell"]).drop("cell")
 
@@ -188,6 +199,29 @@ def reassign_outliers(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     )
 
 
+def merge_similar_topics(
+    docs: DataFrame, threshold: float = 0.9, *, category: str = "category", vector: str = "embedding"
+) -> DataFrame:
+    """Topics of a category whose centroids reach the cosine ``threshold``, directly or over others, become one.
+
+    Adds ``merged_topic``: merged topics numbered by size, then by their smallest old number; -1 stays.
+    Only topics are compared, whose number does not grow with the documents.
+    """
+    centres = centroids(docs.where(F.col("topic") != -1), [category, "topic"], vector)
+    named = cut(centres.withColumn("id", F.concat_ws("|", F.col(category).cast("string"), F.format_string("%012d", "topic"))))
+    other = named.select(F.col(category), F.col("id").alias("dst"), F.col("centroid").alias("_c"))
+    near = named.withColumnRenamed("id", "src").join(other, category).where(F.col("src") != F.col("dst"))
+    near = near.where(cosine(F.col("centroid"), F.col("_c")) >= threshold).select("src", "dst")
+    joined = named.join(connected_components(named.select("id"), near), "id")
+    sizes = joined.groupBy(category, "component").agg(F.sum("n").alias("_size"))
+    order = Window.partitionBy(category).orderBy(F.desc("_size"), F.asc("component"))
+    numbers = sizes.select("component", (F.row_number().over(order) - 1).alias("merged_topic"))
+    mapping = joined.join(numbers, "component").select(category, "topic", "merged_topic")
+    return docs.join(broadcast_if_small(mapping), [category, "topic"], "left").withColumn(
+        "merged_topic", F.coalesce("merged_topic", F.lit(-1))
+    )
+
+
 def silhouette_cosine(docs: DataFrame, *, category: str = "category", vector: str = "embedding") -> DataFrame:
     """Mean cosine silhouette per category without outliers; 0 with fewer than two topics.
 

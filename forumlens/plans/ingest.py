@@ -211,6 +211,23 @@ def s7_listing(spark: SparkSession, d: str) -> DataFrame:
     return html.listing_posts(listing)
 
 
+@query(
+    "s7_thread_comments",
+    f"""SELECT page_id, {_sql_plain("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")} || ' ||| ' ||
+      {_sql_plain("regexp_extract(html, '(?is)<article[^>]*>(.*?)</article>', 1)")} AS comments FROM pages""",
+)
+def s7_comments(spark: SparkSession, d: str) -> DataFrame:
+    """Stored pages rewritten into threads of two messages by Spark, then parsed as such."""
+    fields = html.page_fields(table(spark, d, "pages"))
+    esc = lambda c: F.replace(F.replace(F.col(c), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    message = lambda c: F.concat(F.lit(f'<div><div class="{html.MESSAGE}">'), esc(c), F.lit("</div></div>"))
+    thread = F.concat(
+        F.lit(f'<div class="{html.THREAD}"><div class="{html.MESSAGES}">'), message("title"), message("body"), F.lit("</div></div>")
+    )
+    found = html.thread_comments(fields.select("page_id", thread.alias("html")))
+    return found.select("page_id", F.array_join("comments", " ||| ").alias("comments"))
+
+
 @query("s8_checkpointed", "SELECT lang, count(*) AS n FROM documents GROUP BY lang")
 def s8(spark: SparkSession, d: str) -> DataFrame:
     path = fresh_path(spark, "step")

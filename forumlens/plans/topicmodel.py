@@ -324,6 +324,36 @@ def m3(spark: SparkSession, d: str) -> DataFrame:
     return clusters.density_clusters(points, EPS, 8, 10, dims=2).select("doc_id", "category", "topic")
 
 
+@query(
+    "m3_density_clusters_by_category",
+    f"""WITH RECURSIVE {CELLS_SQL.replace("HAVING sum(n) >= 8)", "HAVING sum(n) >= CASE category WHEN 'c1' THEN 12 ELSE 8 END)").replace(
+        "HAVING sum(n) >= 10)", "HAVING sum(n) >= CASE c.category WHEN 'c1' THEN 14 WHEN 'c2' THEN 30 ELSE 10 END)")}
+    SELECT p.doc_id, p.category, CAST(coalesce(topic, -1) AS INTEGER) AS topic FROM pts p LEFT JOIN comp c USING (category, x, y) LEFT JOIN numbered n USING (category, component)""",
+)
+def m3_by_category(spark: SparkSession, d: str) -> DataFrame:
+    """Two categories with numbers of their own, one of them with one number only."""
+    points = vector_docs(spark, d).drop("topic").withColumn("reduced", projected("embedding"))
+    own = spark.createDataFrame([("c1", 12, 14), ("c2", None, 30)], "category string, min_samples int, min_cluster_size int")
+    return clusters.density_clusters(points, EPS, 8, 10, dims=2, config=own).select("doc_id", "category", "topic")
+
+
+@query(
+    "m15_merge_similar_topics",
+    f"""WITH RECURSIVE {CENTRES_SQL.replace("'c' || CAST(label % 4 AS VARCHAR) AS category", "'all' AS category")},
+    near AS (SELECT a.topic AS a, b.topic AS b FROM centres a JOIN centres b ON a.topic <> -1 AND b.topic <> -1
+      AND list_cosine_similarity(a.centroid, b.centroid) >= 0.19),
+    reach AS (SELECT topic, topic AS other FROM centres WHERE topic <> -1 UNION SELECT r.topic, n.b FROM reach r JOIN near n ON n.a = r.other),
+    comp AS (SELECT topic, min(other) AS component FROM reach GROUP BY topic),
+    sizes AS (SELECT component, count(*) AS n FROM vector_docs JOIN comp USING (topic) GROUP BY component),
+    numbered AS (SELECT component, row_number() OVER (ORDER BY n DESC, component) - 1 AS merged FROM sizes)
+    SELECT doc_id, topic, CAST(coalesce(merged, -1) AS INTEGER) AS merged_topic
+    FROM vector_docs LEFT JOIN comp USING (topic) LEFT JOIN numbered USING (component)""",
+)
+def m15_merge(spark: SparkSession, d: str) -> DataFrame:
+    docs = vector_docs(spark, d).withColumn("category", F.lit("all"))
+    return clusters.merge_similar_topics(docs, 0.19).select("doc_id", "topic", "merged_topic")
+
+
 @query("m3_density_clusters_reduced")
 def m3_reduced(spark: SparkSession, d: str) -> DataFrame:
     """Five principal components; the radius comes from the data."""
