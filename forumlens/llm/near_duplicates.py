@@ -216,7 +216,7 @@ def _across(blocks: DataFrame, size: int, percent: int) -> DataFrame:
     return blocks.select("key", "i", "j", *columns).mapInArrow(run, "a bigint, b bigint")
 
 
-def _blocks(members: DataFrame, labels: DataFrame, partitions: int) -> DataFrame:
+def _blocks(members: DataFrame, labels: DataFrame) -> DataFrame:
     """(key, i, j, node, label, small): block pairs of the keys whose members differ in component.
 
     Block numbers from 0 hold members outside the key's largest component, those below 0 the largest.
@@ -283,7 +283,7 @@ def near_duplicates(
     labels = components(links)
 
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = _blocks(members, labels, partitions).join(brief, "node").join(texts.toDF("node", "text"), "node")
+    blocks = _blocks(members, labels).join(brief, "node").join(texts.toDF("node", "text"), "node")
     dealt = blocks.repartition(partitions, "key", "i", "j").sortWithinPartitions("key", "i", "j")
     more = staged(_across(dealt, shingle, percent), "more")
     if not more.isEmpty():
@@ -295,7 +295,10 @@ def near_duplicates(
     out = described.join(named, "class")
     lone = F.col("sig").isNull()
     component = F.when(lone, F.col("k")).otherwise(F.coalesce("label", "class_id"))
-    restored = lambda c: F.when(c != LOWEST, c)
+
+    def restored(c):
+        return F.when(c != LOWEST, c)
+
     return out.select(
         restored(F.col("k")).alias(key),
         F.col("n").alias("n_shingles"),
