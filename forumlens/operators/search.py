@@ -98,12 +98,14 @@ def top_inner_product(
     meeting keeps k rows per query, as ids; other columns are joined to the final k.
     """
     ident = carry[0]
-    place = F.col(route).cast("string") if route else F.lit("")
+    # Without routes all rows share one, made from a column: a constant would turn joins on it into pairings.
+    one = lambda c: F.coalesce(F.substring(F.col(c).cast("string"), 1, 0), F.lit(""))
+    place = F.col(route).cast("string") if route else one(ident)
     stored = corpus.where(F.col(vector).isNotNull() & place.isNotNull()).select(
         place.alias("route"), F.col(ident).alias("ident"), F.col(vector).alias("vector")
     )
     names = [f"key{i}" for i in range(len(query_keys))]
-    wanted = F.explode(F.array_distinct(F.col(routes).cast("array<string>"))) if routes else F.lit("")
+    wanted = F.explode(F.array_distinct(F.col(routes).cast("array<string>"))) if routes else one(query_keys[0])
     asked = queries.where(F.col(vector).isNotNull()).select(
         wanted.alias("route"), *[F.col(c).alias(n) for c, n in zip(query_keys, names)], F.col(vector).alias("vector")
     )
