@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forumlens.operators.ordered import running
+from forumlens.session import staged
 
 WIDTH = 1024
 
@@ -24,6 +25,8 @@ def numbered(turns: DataFrame, keys: Sequence[str], turn: str = "turn", role: st
     """
     part = F.coalesce(F.floor(F.col(turn) / WIDTH), F.lit(-(2**62))).alias("_part")
     rows = turns.select(*keys, F.col(turn).alias("_turn"), F.col(role).alias("role"), F.col(text).alias("text"), part)
+    # Written once: the pairing behind it is read for sizes and for numbers.
+    rows = staged(rows, "turns")
     sizes = rows.groupBy(*keys, "_part").agg(F.count("*").alias("_n"))
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select(*keys, "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_shift"))
@@ -48,13 +51,15 @@ def format_preferences(chosen: DataFrame, rejected: DataFrame, keys: Sequence[st
     repeated turns are numbered one after the other; other columns are not read; empty tables give
     no rows.
     """
-    a, b = numbered(chosen, keys), numbered(rejected, keys)
+    # Both are read three times, the split twice; stored, they keep the plan and the driver small.
+    a, b = staged(numbered(chosen, keys), "chosen"), staged(numbered(rejected, keys), "rejected")
     left = a.select(*keys, "pos", F.struct("role", "text").alias("l"), F.lit(1).alias("in_l"))
     right = b.select(*keys, "pos", F.struct("role", "text").alias("r"), F.lit(1).alias("in_r"))
     met = left.join(right, [*keys, "pos"], "full")
     same = F.col("in_l").isNotNull() & F.col("in_r").isNotNull() & F.col("l").eqNullSafe(F.col("r"))
     # Without a difference the prefix is everything.
     split = met.groupBy(*keys).agg(F.coalesce(F.min(F.when(~same, F.col("pos"))), F.max("pos") + 1).alias("_split"))
+    split = staged(split, "split")
 
     def side(turns: DataFrame, name: str, with_prompt: bool) -> DataFrame:
         rows = turns.select(*keys, "pos", "role", rendered(F.col("role"), F.col("text")).alias("rendered"))
