@@ -26,6 +26,8 @@ QUERY_BLOCK = 1024
 SLICE_ROWS = 4096
 # Scores held at a time, 32 MB.
 SCORES_AT_ONCE = 1 << 22
+# Queries on which the number of probed cells is measured.
+PROBE_SAMPLE = 256
 # Scores are compared on this many digits, so equal vectors tie and the id decides.
 DIGITS = 9
 
@@ -136,6 +138,57 @@ def fit_cells(train: DataFrame, cells: int, vector: str = "embedding", seed: int
     return KMeans(k=cells, seed=seed, maxIter=10, featuresCol="features", predictionCol="cell").fit(prepared)
 
 
+def _cell_order(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Cells of every vector, nearest first."""
+    distance = (centres**2).sum(axis=1) - 2 * vectors @ centres.T
+    return np.argsort(distance, axis=1, kind="stable")
+
+
+def _located(corpus: DataFrame, model, vector: str) -> DataFrame:
+    features = array_to_vector(F.col(vector).cast("array<double>"))
+    return model.transform(corpus.withColumn("features", features)).drop("features")
+
+
+def probes_for(
+    queries: DataFrame,
+    corpus: DataFrame,
+    k: int,
+    model,
+    recall: float,
+    *,
+    query_keys: Sequence[str] = ("query_id",),
+    ident: str = "doc_id",
+    vector: str = "embedding",
+    sample: int = PROBE_SAMPLE,
+) -> int:
+    """The fewest probes of ``approximate_top`` with at least the given recall of the exact k.
+
+    Measured on at most ``sample`` queries (smallest hash of the keys), which are searched exactly:
+    a neighbour is found once its cell is probed. The mean has to lie three standard errors above
+    the target, so that the other queries meet it too; if none but all cells do, all are probed.
+    """
+    drawn = queries.where(F.col(vector).isNotNull()).orderBy(F.xxhash64(*query_keys), *query_keys).limit(sample)
+    drawn = drawn.select(*query_keys, F.col(vector).cast("array<double>").alias(vector))
+    rows = drawn.collect()
+    centres = np.array(model.clusterCenters())
+    if not rows:
+        return len(centres)
+    # The drawn rows again as a table, so that the search sees the same ones.
+    asked = queries.sparkSession.createDataFrame(rows, drawn.schema)
+    located = _located(corpus.where(F.col(vector).isNotNull()), model, vector)
+    exact = top_inner_product(asked, located, k, query_keys=query_keys, carry=(ident, "cell"), vector=vector)
+    place = np.argsort(_cell_order(np.array([r[vector] for r in rows]), centres), axis=1)
+    number = {tuple(r[c] for c in query_keys): i for i, r in enumerate(rows)}
+    found = np.zeros((len(rows), len(centres)))
+    for r in exact.select(*query_keys, "cell").collect():
+        i = number[tuple(r[c] for c in query_keys)]
+        found[i, place[i, r["cell"]]] += 1
+    share = np.cumsum(found, axis=1) / np.maximum(found.sum(axis=1, keepdims=True), 1)
+    sure = share.mean(axis=0) - 3 * share.std(axis=0) / np.sqrt(len(rows))
+    enough = np.flatnonzero(sure >= recall)
+    return int(enough[0]) + 1 if len(enough) else len(centres)
+
+
 def approximate_top(
     queries: DataFrame,
     corpus: DataFrame,
@@ -151,14 +204,12 @@ def approximate_top(
 
     Every row keeps its exact score. A query block is sent to the slices of its cells only.
     """
-    features = array_to_vector(F.col(vector).cast("array<double>"))
-    located = model.transform(corpus.withColumn("features", features)).drop("features")
+    located = _located(corpus, model, vector)
     centres = np.array(model.clusterCenters())
 
     @F.pandas_udf("array<int>")
     def nearest(batch: pd.Series) -> pd.Series:
-        distance = (centres**2).sum(axis=1) - 2 * np.stack(batch.to_list()) @ centres.T
-        return pd.Series(list(np.argsort(distance, axis=1, kind="stable")[:, :probes].astype("int32")))
+        return pd.Series(list(_cell_order(np.stack(batch.to_list()), centres)[:, :probes].astype("int32")))
 
     return top_inner_product(
         queries.withColumn("_cells", nearest(vector)), located, k,

@@ -105,11 +105,16 @@ def j5(spark: SparkSession, d: str) -> DataFrame:
     return found
 
 
+# Share of the exact neighbours that the approximate search has to find.
+RECALL = 0.9
+
+
 @query("v5_approximate_top")
 def v5(spark: SparkSession, d: str) -> DataFrame:
     corpus = table(spark, d, "embeddings").withColumnRenamed("vec_id", "doc_id")
     model = search.fit_cells(corpus, 16)
-    return search.approximate_top(queries_of(spark, d), corpus, 10, model, 4)
+    probes = search.probes_for(queries_of(spark, d), corpus, 10, model, RECALL)
+    return search.approximate_top(queries_of(spark, d), corpus, 10, model, probes)
 
 
 @query("v1_embed")

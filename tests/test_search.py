@@ -5,6 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from forumlens.operators import retrieval, search
+from forumlens.plans import load_all
+from forumlens.plans.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -57,6 +59,20 @@ def test_approximate_search_recalls_most_and_all_with_every_cell(data):
     assert len(some & exact) / len(exact) > 0.6
 
 
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_registered_approximate_search_recalls_nine_tenths(spark, sf):
+    load_all()
+    found = {}
+    for name in ("v3_top_inner_product", "v5_approximate_top"):
+        rows = QUERIES[name](spark, f"/root/testdata/{sf}").select("query_id", "doc_id").collect()
+        found[name] = {tuple(r) for r in rows}
+        assert len(found[name]) == len(rows)
+    exact = found["v3_top_inner_product"]
+    recall = len(found["v5_approximate_top"] & exact) / len(exact)
+    print(f"{sf} recall {recall:.4f}")
+    assert recall >= 0.9
+
+
 def test_fallback_category(spark):
     corpus = spark.createDataFrame([(1, "general", [1.0, 0.0]), (2, "x", [0.0, 1.0])], "passage_id bigint, category string, embedding array<double>")
     asked = spark.createDataFrame([(1, 0, "unknown", [0.0, 1.0]), (2, 0, "x", [1.0, 0.0])], "query_id bigint, variant_no int, category string, embedding array<double>")
