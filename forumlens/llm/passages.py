@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,9 +64,15 @@ class Parcels:
     SCHEMA = "bucket int, kind int, meta binary, text binary"
     HELD_BYTES = 40 << 20
 
-    def __init__(self) -> None:
+    def __init__(self, first: int = 0) -> None:
         self.held: dict[tuple[int, int], tuple[list, list]] = {}
         self.size = 0
+        self.turn = int(mixed(np.array([first], np.uint64))[0])
+
+    def settle(self, buckets: int, columns: list[np.ndarray]) -> None:
+        """Settled runs of one chunk. They need no grouping, so chunks take the buckets in turn."""
+        self.add(self.turn % buckets, 1, columns)
+        self.turn += 1
 
     def add(self, bucket: int, kind: int, columns: list[np.ndarray], text: bytes = b"") -> None:
         numbers, texts = self.held.setdefault((bucket, kind), ([], []))
@@ -160,7 +167,7 @@ def pack_chunk(parcels: Parcels, keys: np.ndarray, texts: list[bytes], table: Wo
     smallest[order] = np.repeat(key[order][first], size)
     settled = np.flatnonzero(key > smallest)
     if len(settled):
-        parcels.add(int(mixed(same[settled[:1]])[0] % np.uint64(buckets)), 1, [c[settled] for c in (key, sums, place, count)])
+        parcels.settle(buckets, [c[settled] for c in (key, sums, place, count)])
     travel = np.flatnonzero(key == smallest)
     bucket = (mixed(least[travel]) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
@@ -259,7 +266,7 @@ def drop_repeated_passages(
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = worker_cache("words", WordHashes)
-        parcels = Parcels()
+        parcels = Parcels(TaskContext.get().partitionId())
         keys: list[np.ndarray] = []
         texts: list[bytes] = []
         size = 0

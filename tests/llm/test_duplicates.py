@@ -170,6 +170,21 @@ def test_windows_of_equal_hash_fall_back_to_words(monkeypatch):
     assert groups == [[0, 3], [1, 4], [2, 5], [6]]
 
 
+@pytest.mark.parametrize("module", [suffixes, passages])
+def test_settled_runs_of_a_hot_document_spread_over_buckets(module):
+    """Chunks that repeat one document do not all send their settled runs to one bucket."""
+    raw = " ".join(fx.prose(random.Random(6), 200, 400)).encode()
+    parcels = passages.Parcels()
+    for chunk in range(24):
+        keys = [100 * chunk + i for i in range(4)]
+        if module is suffixes:
+            suffixes.pack_chunk(parcels, keys, [raw] * 4, 96, suffixes.LENGTH, suffixes.GRAM)
+        else:
+            passages.pack_chunk(parcels, np.array(keys), [raw] * 4, passages.WordHashes(), passages.WINDOW, passages.GRAM, 96)
+    runs = [sum(n.shape[1] for n in held[0]) for (_, kind), held in parcels.held.items() if kind == 1]
+    assert sum(runs) > 24 and max(runs) * 12 <= sum(runs)
+
+
 def brute_lines(rows, min_sites):
     sites, first = collections.defaultdict(set), {}
     for k, t, s in rows:
