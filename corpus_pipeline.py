@@ -28,9 +28,9 @@ def _with_text(docs: DataFrame, text) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that the base rules and the line labels keep, unchanged."""
-    docs = docs.select(*COLUMNS)
-    return keep_good(docs, train_field(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    """Rows that the base rules and the line labels keep, unchanged; trained on the labelled documents of ``sf_dir``."""
+    known, labels = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "labels"))
+    return keep_good(docs.select(*COLUMNS), train_field(known, labels))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -47,6 +47,10 @@ class Field:
     emit: np.ndarray
     move: np.ndarray
 
+    @property
+    def trained(self) -> bool:
+        return bool(self.emit.any() or self.move.any())
+
     def scores(self, features: np.ndarray) -> np.ndarray:
         return self.emit[features + OFFSETS[:-1]].sum(1)
 
@@ -204,7 +208,8 @@ def fit_field(features: np.ndarray, n_lines: np.ndarray, label: np.ndarray, step
 def _judged(field: Field, texts: list[bytes], table: WordHashes, min_share: float):
     """Measures, line states, content share, base verdict and verdict of some texts."""
     m = measure(texts, table)
-    state = viterbi(field, m.features, m.n_lines)
+    # An untrained field knows no boilerplate; then the base rules alone decide.
+    state = viterbi(field, m.features, m.n_lines) if field.trained else np.ones(len(m.features), np.int8)
     n, repeat = m.counts[1], m.counts[4]
     owner = np.repeat(np.arange(len(texts)), m.n_lines)
     share = np.bincount(owner, state * m.line_words, minlength=len(texts)) / np.maximum(n, 1)
@@ -223,13 +228,17 @@ def _chunks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa
 
 
 def train_field(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", quality: str = "quality", sample: int = SAMPLE) -> Field:
-    """Fit on at most ``sample`` labelled documents, those with the smallest hash of the key.
+    """Fit on at most ``sample`` labelled texts of ``docs``, those with the smallest hash of the key.
 
-    Null keys, texts and labels are left out; without labelled rows all weights are 0.
+    Null keys, texts and labels are left out, and a text repeated under its key counts once. Without
+    labelled rows of both classes all weights are 0.
     """
-    picked = labels.where(F.col(quality).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(quality).alias("q"))
-    picked = picked.orderBy(F.xxhash64("k"), "k").limit(sample)
-    joined = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).where("t is not null").join(F.broadcast(picked), "k")
+    known = labels.where(F.col(quality).isNotNull() & F.col(key).isNotNull())
+    known = known.select(F.col(key).alias("k"), (F.col(quality) > 0).cast("int").alias("q")).distinct()
+    texts = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).where("t is not null").withColumn("s", F.xxhash64("t"))
+    # Joined before the sample is drawn, so that ids that docs lacks take no place in it.
+    picked = texts.select("k", "s").join(known, "k").distinct().orderBy(F.xxhash64("k"), "k", "q", "s").limit(sample)
+    joined = texts.join(F.broadcast(picked), ["k", "s"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = worker_cache("words", WordHashes)
@@ -239,18 +248,22 @@ def train_field(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: s
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0),
-                    part.column(2).cast(pa.int32()),
+                    part.column(2),
+                    part.column(3),
                     pa.array([m.features[e - n : e].tobytes() for e, n in zip(end, m.n_lines)], pa.binary()),
                 ],
-                names=["k", "q", "f"],
+                names=["k", "q", "s", "f"],
             )
 
-    rows = joined.select("k", "t", "q").mapInArrow(run, "k bigint, q int, f binary").collect()
+    measured = joined.select("k", "t", "q", "s").mapInArrow(run, "k bigint, q int, s bigint, f binary")
+    rows = measured.groupBy("k", "q", "s").agg(F.first("f").alias("f")).collect()
+    if len({r["q"] for r in rows}) < 2:
+        rows = []
     rows.sort(key=lambda r: (r["k"], r["q"], bytes(r["f"])))
     parts = [np.frombuffer(bytes(r["f"]), np.int8).reshape(-1, len(BUCKETS)) for r in rows]
     n_lines = np.array([len(p) for p in parts], np.int64)
     features = np.concatenate(parts) if parts else np.empty((0, len(BUCKETS)), np.int8)
-    return fit_field(features, n_lines, np.repeat([int(r["q"] > 0) for r in rows], n_lines).astype(np.int64))
+    return fit_field(features, n_lines, np.repeat(np.array([r["q"] for r in rows], np.int64), n_lines))
 
 
 def label_lines(

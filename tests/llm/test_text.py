@@ -12,6 +12,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from forumlens.llm import fingerprints as fp
 from forumlens.llm import line_labels as ll
 from forumlens.llm.pieces import PieceModel, default_model, encode_texts
@@ -97,6 +98,31 @@ def test_training_without_labels(spark):
     assert not field.emit.any()
 
 
+def test_base_rules_alone_decide_without_both_classes(spark):
+    rows = fx.texts()
+    docs = fx.frame(spark, rows)
+    want = sorted([(k, t) for k, t, _ in rows if not base_counts(t)[-1]], key=fx.sort_key)
+    for labels in ([], [(0, 1), (1, 1)], [(0, 0), (1, 0)], [(10**12, 0), (10**12 + 1, 1)]):
+        field = ll.train_field(docs, spark.createDataFrame(labels, "doc_id long, quality int"))
+        assert fx.collected(ll.keep_good(docs, field), ["doc_id", "text"]) == want
+
+
+def test_labels_of_other_documents_take_no_place_in_the_sample(spark):
+    docs = fx.frame(spark, fx.texts())
+    own = [(i, int(i < 6)) for i in range(12)]
+    fit = lambda labels: ll.train_field(docs, spark.createDataFrame(labels, "doc_id long, quality int"), sample=20)
+    alone = fit(own)
+    assert alone.emit.any()
+    assert np.array_equal(fit(own + [(i, 0) for i in range(10**6, 10**6 + 400)]).emit, alone.emit)
+
+
+def test_pipeline_keeps_clean_documents_of_other_inputs(spark):
+    """The stage trains on the documents table, not on its input."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    clean = docs.join(labels.where("quality = 1"), "doc_id", "left_semi").withColumn("doc_id", F.col("doc_id") + 10**9)
+    assert corpus_pipeline.quality(spark, clean, SF).count() > 0.9 * clean.count()
+
+
 @pytest.fixture(scope="module")
 def library():
     return sentencepiece.SentencePieceProcessor(model_file=default_model())
