@@ -27,6 +27,10 @@ BUCKET_BYTES = 6 << 20
 MIN_BUCKETS = 96
 LOWEST = -(2**63)
 LEVEL = 3
+# Counting rounds for crowded minimisers; in data without any there is one.
+ROUNDS = 4
+TOP = np.uint64(1 << 63)
+NONE = np.empty(0, np.uint64)
 
 
 def ranges_of(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -115,9 +119,87 @@ class Words:
         self.first = np.searchsorted(self.begin, borders - sizes)
 
 
-def super_kmers(words: Words, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First word, number of windows and minimiser of every run of windows that share a minimiser."""
-    grams = window_hashes(words.hashes, gram)
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are among the sorted known ones."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
+def ordered_grams(grams: np.ndarray, passed: np.ndarray) -> np.ndarray:
+    """Gram hashes below TOP; those passed over as minimisers come after all others, from TOP on."""
+    grams = grams >> np.uint64(1)
+    return np.where(_among(grams, passed), grams | TOP, grams) if len(passed) else grams
+
+
+def window_keys(least: np.ndarray, own: np.ndarray, alone: np.ndarray) -> np.ndarray:
+    """Minimiser of every window, or from TOP on the window's own hash, if its minimiser is passed over or alone."""
+    single = (least >= TOP) | _among(least, alone)
+    return np.where(single, own | TOP, least) if single.any() else least
+
+
+def crowded(rows: DataFrame, pack, bound: int, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """Minimisers to pass over, and those whose windows go by their own hash, so that no other one has over
+    twice ``bound`` bytes of packed windows.
+
+    ``pack(parcels, keys, texts, splits)`` gives a chunk's minimisers and bytes. A chunk reports those above
+    its share of the bound, which leaves out at most ``bound`` bytes of any minimiser. Minimisers passed over
+    may crowd the windows at another one, so the count is repeated until none is found.
+    """
+    passed, alone = NONE, NONE
+    if 3 * total <= bound:
+        return passed, alone
+    for left in reversed(range(ROUNDS)):
+
+        def count(batches: Iterator[pa.RecordBatch], passed=passed) -> Iterator[pa.RecordBatch]:
+            for keys, texts in text_chunks(batches):
+                least, sizes = pack(keys, texts, (passed, NONE))
+                order = np.argsort(least, kind="stable")
+                first, _ = runs_of(least[order])
+                if len(first):
+                    sums = np.add.reduceat(sizes[order], first)
+                    many = sums * total > bound * sum(map(len, texts))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(least[order][first][many].astype(np.int64)), pa.array(sums[many])], names=["least", "size"]
+                    )
+
+        # Keys from TOP on are negative here: own hashes, which nothing splits further.
+        sums = rows.select("k", "t").mapInArrow(count, "least bigint, size bigint").where("least >= 0")
+        found = sums.groupBy("least").agg(F.sum("size").alias("size")).where(F.col("size") > bound).collect()
+        new = np.array(sorted(r["least"] for r in found), np.uint64)
+        if not len(new):
+            break
+        if left:
+            passed = np.union1d(passed, new)
+        else:
+            alone = new
+    return passed, alone
+
+
+def text_chunks(batches: Iterator[pa.RecordBatch], least: int = 0, size_of_chunk: int = CHUNK_BYTES) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+    """Keys and texts of (key, text) rows, about one chunk at a time; texts under ``least`` bytes are left out."""
+    keys: list[np.ndarray] = []
+    texts: list[bytes] = []
+    size = 0
+    for batch in batches:
+        k = batch.column(0).to_numpy()
+        raw, offsets = byte_slices(batch.column(1))
+        for i in range(len(k)):
+            if offsets[i + 1] - offsets[i] < least:
+                continue
+            keys.append(k[i : i + 1])
+            texts.append(raw[offsets[i] : offsets[i + 1]].tobytes())
+            size += len(texts[-1])
+            if size >= size_of_chunk:
+                yield np.concatenate(keys), texts
+                keys, texts, size = [], [], 0
+    if texts:
+        yield np.concatenate(keys), texts
+
+
+def super_kmers(words: Words, window: int, gram: int, splits: tuple = (NONE, NONE)) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word, number of windows and key (see :func:`window_keys`) of every run of windows that share it."""
+    grams = ordered_grams(window_hashes(words.hashes, gram), splits[0])
     span = window - gram + 1
     n = len(words.hashes) - window + 1
     if n <= 0:
@@ -129,6 +211,8 @@ def super_kmers(words: Words, window: int, gram: int) -> tuple[np.ndarray, np.nd
     if not len(at):
         return at, at, np.empty(0, np.uint64)
     key = least[at]
+    if len(splits[0]) or len(splits[1]):
+        key = window_keys(key, window_hashes(words.hashes, window)[at], splits[1])
     new = np.r_[True, (np.diff(at) != 1) | (key[1:] != key[:-1]) | (words.text[at[1:]] != words.text[at[:-1]])]
     first = np.flatnonzero(new)
     return at[first], np.diff(np.r_[first, len(at)]), key[first]
@@ -144,17 +228,21 @@ def run_hashes(hashes: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np
     return mixed((sums[starts + counts] - sums[starts]) * back[starts] + counts.astype(np.uint64))
 
 
-def pack_chunk(parcels: Parcels, keys: np.ndarray, texts: list[bytes], table: WordHashes, window: int, gram: int, buckets: int) -> None:
-    """Add a chunk to the parcels: kind 0 holds super-k-mers, kind 1 settled windows.
+def pack_chunk(
+    parcels: Parcels | None, keys: np.ndarray, texts: list[bytes], table: WordHashes, window: int, gram: int, buckets: int,
+    splits: tuple = (NONE, NONE),
+) -> tuple[np.ndarray, np.ndarray]:
+    """Add a chunk to the parcels: kind 0 holds super-k-mers, kind 1 settled windows. Gives the keys and bytes
+    of the super-k-mers that travel, which without parcels is all.
 
     Of equal super-k-mers only that of the smallest key travels (and repeats under that key): windows
     of the others are known to start under a smaller key too. So a passage that a third of all
     documents share reaches its bucket once per chunk.
     """
     words = Words(texts, table)
-    start, count, least = super_kmers(words, window, gram)
+    start, count, least = super_kmers(words, window, gram, splits)
     if not len(start):
-        return
+        return NONE, start
     n_words = count + window - 1
     same = run_hashes(words.hashes, start, n_words)
     owner = words.text[start]
@@ -165,10 +253,14 @@ def pack_chunk(parcels: Parcels, keys: np.ndarray, texts: list[bytes], table: Wo
     first, size = runs_of(same[order])
     smallest = np.empty(len(order), np.int64)
     smallest[order] = np.repeat(key[order][first], size)
+    travel = np.flatnonzero(key == smallest)
+    sizes = words.end[start[travel] + n_words[travel] - 1] + 1 - words.begin[start[travel]]
+    if parcels is None:
+        return least[travel], sizes
     settled = np.flatnonzero(key > smallest)
     if len(settled):
         parcels.settle(buckets, [c[settled] for c in (key, sums, place, count)])
-    travel = np.flatnonzero(key == smallest)
+    sent = least[travel], sizes
     bucket = (mixed(least[travel]) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     travel, bucket = travel[order], bucket[order]
@@ -178,6 +270,7 @@ def pack_chunk(parcels: Parcels, keys: np.ndarray, texts: list[bytes], table: Wo
         begin, end = words.begin[start[own]], words.end[start[own] + n_words[own] - 1] + 1
         text = words.raw[ranges_of(begin, end - begin)].tobytes()
         parcels.add(int(bucket[f]), 0, [c[own] for c in (key, sums, place, count)], text)
+    return sent
 
 
 def equal_windows(ids: np.ndarray, starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -264,25 +357,17 @@ def drop_repeated_passages(
     # Packed windows take about three times the text.
     buckets = max(MIN_BUCKETS, -(-3 * total // bucket_bytes))
 
+    def sized(keys: np.ndarray, texts: list[bytes], splits: tuple) -> tuple[np.ndarray, np.ndarray]:
+        return pack_chunk(None, keys, texts, worker_cache("words", WordHashes), window, gram, buckets, splits)
+
+    splits = crowded(rows, sized, bucket_bytes, total)
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = worker_cache("words", WordHashes)
         parcels = Parcels(TaskContext.get().partitionId())
-        keys: list[np.ndarray] = []
-        texts: list[bytes] = []
-        size = 0
-        for batch in batches:
-            k = batch.column(0).to_numpy()
-            raw, offsets = byte_slices(batch.column(1))
-            for i in range(len(k)):
-                keys.append(k[i : i + 1])
-                texts.append(raw[offsets[i] : offsets[i + 1]].tobytes())
-                size += len(texts[-1])
-                if size >= CHUNK_BYTES:
-                    pack_chunk(parcels, np.concatenate(keys), texts, table, window, gram, buckets)
-                    keys, texts, size = [], [], 0
-                    yield from parcels.batches()
-        if texts:
-            pack_chunk(parcels, np.concatenate(keys), texts, table, window, gram, buckets)
+        for keys, texts in text_chunks(batches):
+            pack_chunk(parcels, keys, texts, table, window, gram, buckets, splits)
+            yield from parcels.batches()
         yield from parcels.batches(last=True)
 
     packed = rows.select("k", "t").mapInArrow(pack, Parcels.SCHEMA)

@@ -170,6 +170,55 @@ def test_windows_of_equal_hash_fall_back_to_words(monkeypatch):
     assert groups == [[0, 3], [1, 4], [2, 5], [6]]
 
 
+def crowd(module, n=120):
+    """A phrase of small hash that every document holds in other surroundings, some copies, and a shared passage."""
+    rng = random.Random(8)
+    drawn = ["".join(rng.choice("abcdefgh") for _ in range(16)) for _ in range(1000)]
+    if module is suffixes:
+        first = lambda t: suffixes.segments([t.encode()], 16, 16)[4][0]
+    else:
+        drawn = [f"{t[:4]} {t[4:9]} {t[9:]}" for t in drawn]
+        first = lambda t: passages.super_kmers(passages.Words([t.encode()], passages.WordHashes()), 3, 3)[2][0]
+    phrase, shared = min(drawn, key=first).split(), fx.prose(rng, 40, 300)
+    rows = []
+    for i in range(n):
+        w = fx.prose(rng, 30, 3000) + phrase + fx.prose(rng, 30, 3000)
+        rows.append((i, " ".join(w + shared if i % 10 == 0 else w), "s"))
+    return rows + [(n + i, rows[i][1], "s") for i in range(3)]
+
+
+@pytest.mark.parametrize("rounds", [1, 4])
+@pytest.mark.parametrize("module", [suffixes, passages])
+def test_a_minimiser_in_many_surroundings_is_split(spark, module, rounds, monkeypatch):
+    monkeypatch.setattr(passages, "ROUNDS", rounds)
+    rows, bound = crowd(module), 3000
+    docs = [(k, t.encode()) for k, t, _ in rows]
+    keys, raw = np.array([k for k, _ in docs]), [t for _, t in docs]
+    pack = (
+        (lambda k, t, s: suffixes.pack_chunk(None, k, t, 96, suffixes.LENGTH, suffixes.GRAM, s))
+        if module is suffixes
+        else (lambda k, t, s: passages.pack_chunk(None, k, t, passages.WordHashes(), passages.WINDOW, passages.GRAM, 96, s))
+    )
+
+    def fullest(splits):
+        least, sizes = pack(keys, raw, splits)
+        _, group = np.unique(least, return_inverse=True)
+        return np.bincount(group, sizes).max()
+
+    frame = spark.createDataFrame([(k, t) for k, t, _ in rows], "k long, t string")
+    splits = passages.crowded(frame, pack, bound, sum(map(len, raw)))
+    before, after = fullest((passages.NONE, passages.NONE)), fullest(splits)
+    print(f"fullest minimiser of {module.__name__}: before {before:.0f} bytes, after {after:.0f}")
+    assert before > 2 * bound >= after
+    if module is suffixes:
+        got = suffixes.drop_repeated_strings(fx.frame(spark, rows), bucket_bytes=bound)
+        got = sorted(((r[0], r[1], r[2], r[3], bytes(r[4])) for r in got.collect()), key=fx.sort_key)
+        assert got == brute_strings(rows)
+    else:
+        got = passages.drop_repeated_passages(fx.frame(spark, rows), bucket_bytes=bound)
+        assert fx.collected(got, ["doc_id", "n_words", "n_removed", "kept"]) == brute_passages(rows)
+
+
 @pytest.mark.parametrize("module", [suffixes, passages])
 def test_settled_runs_of_a_hot_document_spread_over_buckets(module):
     """Chunks that repeat one document do not all send their settled runs to one bucket."""
