@@ -44,10 +44,11 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: five words a shingle, similarity of at least 0.8."""
     docs = docs.select(*COLUMNS)
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    found = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    kept = near_duplicates(docs).where("first").select(F.col("doc_id").alias("_kept"), F.col("text_sum").alias("_of")).distinct()
+    summed = docs.withColumn("_sum", F.xxhash64("text"))
+    same = F.col("doc_id").eqNullSafe(F.col("_kept")) & (F.col("_sum") == F.col("_of"))
     # Rows repeated under one id are one document.
-    return found.withColumn("_sum", F.xxhash64("text")).dropDuplicates(["doc_id", "_sum"]).drop("_sum")
+    return summed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_sum"]).drop("_sum")
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -75,7 +75,7 @@ def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def _described(rows: DataFrame, size: int) -> DataFrame:
-    """Per document: class (word sequence), set size, signature (null without words)."""
+    """Per row: key, text digest, class (word sequence), set size, signature (null without words)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = worker_cache("words", WordHashes)
@@ -95,14 +95,15 @@ def _described(rows: DataFrame, size: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
+                        part.column(2),
                         pa.array(classes, pa.binary()),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([next(made).tobytes() if len(s) else None for s in sets], pa.binary()),
                     ],
-                    names=["k", "class", "n", "sig"],
+                    names=["k", "s", "class", "n", "sig"],
                 )
 
-    return rows.mapInArrow(run, "k bigint, class binary, n bigint, sig binary")
+    return rows.mapInArrow(run, "k bigint, s bigint, class binary, n bigint, sig binary")
 
 
 def _keys(nodes: DataFrame) -> DataFrame:
@@ -253,25 +254,32 @@ def near_duplicates(
     """Link documents whose shingle sets have Jaccard similarity of at least ``percent`` / 100, exactly confirmed.
 
     Columns: key, n_shingles, component_id (smallest key reachable over links), kept (key is that
-    smallest one), class_id (smallest key of equal word sequences). Words are lower-cased (A-Z
-    only). A text with fewer words than a shingle is one shingle; null, empty and blank texts have
-    none and link with nothing, each being its own component. Rows with one key count as one
-    document where they are linked, and all come back; a null key stands below all others and comes
-    back as null, with null as its component. Other columns are not read. An empty table gives no
-    rows. Texts of any length are compared whole.
+    smallest one; of rows without key only those of one text), class_id (smallest key of equal word
+    sequences), first (key and text are the smallest of the component), text_sum (digest of the text).
+    Words are lower-cased (A-Z only). A text with fewer words than a shingle is
+    one shingle; null, empty and blank texts have none and link with nothing, each being its own
+    component. Links join texts, never keys: rows of one key, or without key, are linked only if their
+    texts are, and of their texts in one component one is first. All rows come back, repeated rows
+    alike; a null key stands below all others and comes back as null, with null as its component.
+    Other columns are not read. An empty table gives no rows. Texts of any length are compared whole.
     """
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LOWEST)).alias("k"), F.col(text).alias("t"))
+    rows = rows.withColumn("s", F.xxhash64("t"))
     described = staged(_described(rows, shingle), "described")
-    nodes = described.groupBy("class").agg(F.min("k").alias("node"), F.first("n").alias("n"), F.first("sig").alias("sig"))
-    nodes = staged(nodes, "nodes")
+    # A node is a word sequence, whatever keys it has; its number is fixed as the table is written.
+    nodes = described.groupBy("class").agg(
+        F.min(F.struct("k", "s")).alias("least"), F.first("n").alias("n"), F.first("sig").alias("sig")
+    )
+    nodes = staged(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     keys = _keys(nodes)
     shared = keys.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("c")).where("c > 1").drop("c")
     members = staged(keys.join(shared, "key"), "members")
     # Only texts whose signature meets another one are needed from here on.
     met = members.select("node").distinct()
-    texts = staged(rows.join(met, rows["k"] == met["node"], "left_semi").select(F.col("k").alias("node"), "t"), "texts")
-    # One row per node here: rows that share a key but not a text stay apart.
+    owners = nodes.select("node", "least.k", "least.s").join(met, "node", "left_semi")
+    # Rows repeated under one key give their text once.
+    texts = staged(rows.join(owners, ["k", "s"]).groupBy("node").agg(F.first("t").alias("t")), "texts")
     brief = nodes.where("sig is not null").select("node", "n", "sig").join(met, "node", "left_semi")
     brief = staged(brief, "brief")
 
@@ -289,12 +297,14 @@ def near_duplicates(
     if not more.isEmpty():
         labels = components(links.unionByName(more))
     labels = staged(labels, "labels")
-    named = nodes.select("class", F.col("node").alias("class_id")).join(
-        labels.withColumnRenamed("node", "class_id"), "class_id", "left"
-    )
+    named = nodes.join(labels, "node", "left").select("class", "least", F.coalesce("label", "node").alias("label"))
+    tops = named.groupBy("label").agg(F.min("least").alias("top"))
+    named = named.join(tops, "label").select("class", F.col("least.k").alias("class_id"), "top")
     out = described.join(named, "class")
     lone = F.col("sig").isNull()
-    component = F.when(lone, F.col("k")).otherwise(F.coalesce("label", "class_id"))
+    component = F.when(lone, F.col("k")).otherwise(F.col("top.k"))
+
+    first = F.col("s") == F.col("top.s")
 
     def restored(c):
         return F.when(c != LOWEST, c)
@@ -303,6 +313,8 @@ def near_duplicates(
         restored(F.col("k")).alias(key),
         F.col("n").alias("n_shingles"),
         restored(component).alias("component_id"),
-        (F.col("k") == component).alias("kept"),
+        (lone | ((F.col("k") == F.col("top.k")) & ((F.col("k") != LOWEST) | first))).alias("kept"),
         restored(F.when(lone, F.col("k")).otherwise(F.col("class_id"))).alias("class_id"),
+        (lone | ((F.col("k") == F.col("top.k")) & first)).alias("first"),
+        F.col("s").alias("text_sum"),
     )

@@ -73,7 +73,7 @@ def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op1_near_duplicates")
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(documents(spark, sf_dir), shingle=4)
+    return near_duplicates(documents(spark, sf_dir), shingle=4).drop("first", "text_sum")
 
 
 @query("op4_quality_rules")

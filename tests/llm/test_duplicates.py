@@ -7,6 +7,7 @@ import random
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from forumlens.llm import near_duplicates as nd
 from forumlens.llm import passages, suffixes
 from forumlens.llm.components import components
@@ -61,6 +62,22 @@ def test_near_duplicates_of_a_chain_and_a_crowd(spark):
     assert got == sorted(brute_components(rows), key=fx.sort_key)
 
 
+def test_near_duplicates_without_ids_link_by_text_alone(spark):
+    """Unrelated texts without id link nothing; of near copies without id one stays."""
+    rng = random.Random(12)
+    a, b = fx.prose(rng, 80, 500), fx.prose(rng, 80, 500)
+    near = lambda w, i: " ".join([*w[:-1], f"other{i}"])
+    rows = [(None, " ".join(a), "s"), (None, " ".join(b), "s"), (None, near(a, 0), "s"), (5, near(a, 1), "s"), (6, near(b, 2), "s")]
+    rows += [(7, " ".join(fx.prose(rng, 80, 500)), "s"), (7, " ".join(fx.prose(rng, 80, 500)), "s")]
+    rows += [(8, near(rows[5][1].split(), 3), "s"), (8, near(rows[6][1].split(), 4), "s")]
+    found = nd.near_duplicates(fx.frame(spark, rows)).collect()
+    assert collections.Counter(r["doc_id"] for r in found if r["kept"]) == {None: 2, 7: 2}
+    assert {r["doc_id"]: r["component_id"] for r in found} == {None: None, 5: None, 6: None, 7: 7, 8: 7}
+    rows.append((7, near(rows[5][1].split(), 5), "s"))
+    left = corpus_pipeline.near_duplicate_groups(spark, fx.frame(spark, rows), "")
+    assert sorted((r["doc_id"] or 0) for r in left.collect()) == [0, 0, 7, 7]
+
+
 def test_index_finds_every_pair_within_reach():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 1 << 16, (400, nd.POSITIONS), dtype=np.uint16)
