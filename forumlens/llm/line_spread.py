@@ -27,15 +27,16 @@ def _has_word(line: Column) -> Column:
 
 
 def line_sites(docs: DataFrame, key: str, text: str, site: str) -> DataFrame:
-    """(k, site, h, g) for every distinct line with a word of every row; a null site is a site of its own."""
+    """(k, s, site, h, g) for every distinct line with a word of every row; a null site is a site of its own."""
     lines = F.array_distinct(F.split(F.coalesce(F.col(text), F.lit("")), "\n"))
     rows = docs.select(
         F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))).alias("k"),
+        F.xxhash64(text).alias("s"),
         F.coalesce(F.concat(F.lit("="), F.col(site).cast("string")), F.lit("")).alias("site"),
         # The outer form keeps the optimizer from splitting every text again for a size filter.
         F.explode_outer(lines).alias("line"),
     )
-    return rows.where(_has_word(F.col("line"))).select("k", "site", *_hashes(F.col("line")))
+    return rows.where(_has_word(F.col("line"))).select("k", "s", "site", *_hashes(F.col("line")))
 
 
 def spread_lines(sites: DataFrame, min_sites: int = MIN_SITES, band: float = BAND, lg_k: int = LG_K) -> DataFrame:
@@ -65,14 +66,15 @@ def drop_spread_lines(
     """
     sites = staged(line_sites(docs, key, text, site), "lines")
     spread = staged(spread_lines(sites, min_sites, band, lg_k), "spread")
-    hits = sites.join(spread, ["h", "g"]).where("k > first").select("k", "h", "g").distinct()
-    per_row = hits.groupBy("k").agg(F.collect_list(F.struct("h", "g")).alias("gone"))
+    hits = sites.join(spread, ["h", "g"]).where("k > first").select("k", "s", "h", "g").distinct()
+    # By key and text, so that rows of one key do not meet the lines of each other.
+    per_row = hits.groupBy("k", "s").agg(F.collect_list(F.struct("h", "g")).alias("gone"))
     kept_columns = [c for c in docs.columns if c not in ("kept_text", "n_lines", "n_removed")]
     # The input row travels as one value, so its column names cannot clash with those used here.
     row = F.col("row")
     own = F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))).alias("k")
-    rows = docs.select(own, F.struct(*[F.col(c) for c in kept_columns]).alias("row"), F.col(text).alias("t"))
-    met = rows.join(per_row, "k", "left").select(
+    rows = docs.select(own, F.xxhash64(text).alias("s"), F.struct(*[F.col(c) for c in kept_columns]).alias("row"), F.col(text).alias("t"))
+    met = rows.join(per_row, ["k", "s"], "left").select(
         "row", "gone", F.split(F.coalesce("t", F.lit("")), "\n").alias("lines")
     )
     keep = F.filter(

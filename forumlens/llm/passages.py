@@ -98,8 +98,9 @@ class Parcels:
 
 
 def text_sum(text: bytes) -> int:
-    """Tells apart the texts of rows that share a key."""
-    return xxhash.xxh32_intdigest(text)
+    """Tells apart the texts of rows that share a key: the number that Spark's xxhash64 gives."""
+    value = xxhash.xxh64_intdigest(text, seed=42)
+    return value - (1 << 64) if value >> 63 else value
 
 
 class Words:
@@ -374,8 +375,9 @@ def drop_repeated_passages(
     marks = packed.groupBy("bucket").applyInArrow(
         lambda table: bucket_marks(table, window), "k bigint, sum bigint, first int, n int"
     )
-    per_row = marks.groupBy("k").agg(F.collect_list(F.struct("sum", "first", "n")).alias("marks"))
-    met = rows.join(per_row, "k", "left").select("key", "t", "marks")
+    # By key and text, so that rows of one key do not meet the marks of each other; equal marks of equal texts collapse.
+    per_row = marks.groupBy("k", "sum").agg(F.collect_set(F.struct("first", "n")).alias("marks"))
+    met = rows.withColumn("sum", F.xxhash64("t")).join(per_row, ["k", "sum"], "left").select("key", "t", "marks")
     kind = met.schema["key"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -384,7 +386,7 @@ def drop_repeated_passages(
             if isinstance(lists, pa.ChunkedArray):
                 lists = lists.combine_chunks()
             parts = lists.flatten()
-            sums, first, n = (parts.field(i).to_numpy() for i in range(3))
+            first, n = (parts.field(i).to_numpy() for i in range(2))
             border = np.r_[0, np.cumsum(np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64))]
             raw, offsets = byte_slices(batch.column(1))
             counts, removed, kept = [], [], []
@@ -392,12 +394,11 @@ def drop_repeated_passages(
                 t = raw[offsets[i] : offsets[i + 1]].tobytes()
                 words = t.split()
                 own = slice(border[i], border[i + 1])
-                mine = sums[own] == text_sum(t) if border[i + 1] > border[i] else None
-                if mine is not None and mine.any():
-                    begin = first[own][mine]
+                if border[i + 1] > border[i]:
+                    begin = first[own]
                     step = np.zeros(len(words) + 1, np.int64)
                     np.add.at(step, begin, 1)
-                    np.add.at(step, begin + n[own][mine] + window - 1, -1)
+                    np.add.at(step, begin + n[own] + window - 1, -1)
                     gone = np.cumsum(step)[:-1] > 0
                     left = [words[j] for j in np.flatnonzero(~gone)]
                 else:

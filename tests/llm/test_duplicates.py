@@ -251,6 +251,19 @@ def test_settled_runs_of_a_hot_document_spread_over_buckets(module):
     assert sum(runs) > 24 and max(runs) * 12 <= sum(runs)
 
 
+def test_marks_of_one_key_are_told_apart_by_64_bits(spark):
+    texts = ["", "one", "é" * 50, " ".join(fx.prose(random.Random(1), 300))]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string").selectExpr("t", "xxhash64(t) h")
+    assert {r["t"]: r["h"] for r in frame.collect()} == {t: passages.text_sum(t.encode()) for t in texts}
+    rng = random.Random(3)
+    shared, tail = fx.prose(rng, 60, 400), fx.prose(rng, 60, 400)
+    rows = [(None, " ".join(shared + fx.prose(rng, 40, 400)), "s") for _ in range(20)] + [(None, " ".join(shared + tail), "s")] * 20
+    got = suffixes.drop_repeated_strings(fx.frame(spark, rows))
+    assert sorted(((r[0], r[1], r[2], r[3], bytes(r[4])) for r in got.collect()), key=fx.sort_key) == brute_strings(rows)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_set" in plan
+
+
 def brute_lines(rows, min_sites):
     sites, first = collections.defaultdict(set), {}
     for k, t, s in rows:
