@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forumlens.llm.decontamination import benchmark_hits, items_digest
+from forumlens.llm.filter_audit import audit_filters
 from forumlens.llm.fingerprints import edited_fingerprints, next_keys
 from forumlens.llm.line_labels import label_lines, train_field
 from forumlens.llm.line_spread import drop_spread_lines
@@ -211,3 +213,75 @@ SELECT w.doc_id, len(w.w)::BIGINT AS n_words, (len(w.w) - coalesce(k.n, 0))::BIG
 FROM words w LEFT JOIN kept k USING (doc_id)
 """
 ORACLES["op6_repeated_passages"] = OP6_SQL
+
+OP13_SQL = """
+WITH doc_words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+item_words AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+item_windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[i:i+least(len(w), 10)-1], ' ') AS s
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM item_words WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT size FROM item_windows),
+places AS (
+  SELECT doc_id, i, size, array_to_string(w[i:i+size-1], ' ') AS s
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM doc_words, sizes WHERE len(w) >= size)),
+met AS (SELECT p.doc_id, p.i, p.size, w.item_id FROM places p JOIN item_windows w USING (size, s)),
+hits AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM met) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n, string_agg(name, ',' ORDER BY name) AS names
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM met WHERE item_id IS NOT NULL) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coalesce(i.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(i.names, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM doc_words d LEFT JOIN hits h USING (doc_id) LEFT JOIN items i USING (doc_id)
+"""
+
+
+@query("op13_benchmark_hits", OP13_SQL)
+def op13_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = benchmark_hits(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", items_digest("items").alias("items_sha256"), "contaminated")
+
+
+OP11_SQL = """
+WITH texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+firsts AS (SELECT text, min(doc_id) AS first FROM texts GROUP BY text),
+said AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+failed AS (
+  SELECT t.part, coalesce(s.good, 0) AS good, coalesce(s.toxic, 0) AS toxic,
+         (len(t.w) < 200)::INT + 2 * (100 * len(list_distinct(t.w)) < 50 * len(t.w))::INT
+         + 4 * (100 * length(regexp_replace(t.text, '[^A-Z]', '', 'g')) > 2 * length(t.text))::INT
+         + 8 * regexp_matches(t.text, '[#$%&*|]')::INT + 16 * (t.doc_id > f.first)::INT AS m
+  FROM texts t JOIN firsts f USING (text) LEFT JOIN said s USING (doc_id)),
+tally AS (SELECT part, m, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failed GROUP BY part, m),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS bit),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+    AND len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (
+  SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step-1]), 0)::INT AS before
+  FROM orders, unnest(range(1, 6)) AS u(step)),
+counted AS (
+  SELECT p.part, s.filter_order, s.step::INT AS step, s.bit,
+         sum(CASE WHEN m & (s.bit | s.before) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+         sum(CASE WHEN m & s.bit <> 0 AND m & s.before = 0 THEN n ELSE 0 END)::BIGINT AS removed,
+         sum(CASE WHEN m & s.bit <> 0 AND m & s.before <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+         sum(CASE WHEN m = s.bit THEN n ELSE 0 END)::BIGINT AS unique_fails,
+         sum(CASE WHEN m & s.bit <> 0 AND m & s.before = 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+         sum(CASE WHEN m & s.bit <> 0 AND m & s.before = 0 THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+  FROM tally p, steps s GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM counted
+"""
+
+
+@query("op11_filter_audit", OP11_SQL)
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
