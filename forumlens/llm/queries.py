@@ -12,6 +12,7 @@ from forumlens.llm.filter_audit import audit_filters
 from forumlens.llm.fingerprints import edited_fingerprints, next_keys
 from forumlens.llm.line_labels import label_lines, train_field
 from forumlens.llm.line_spread import drop_spread_lines
+from forumlens.llm.manifest import merkle_manifest
 from forumlens.llm.mixture import mix_sources
 from forumlens.llm.near_duplicates import near_duplicates
 from forumlens.llm.passages import drop_repeated_passages
@@ -285,3 +286,59 @@ FROM counted
 @query("op11_filter_audit", OP11_SQL)
 def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_filters(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+OP12_SQL = """
+WITH RECURSIVE field AS (
+  SELECT doc_id, coalesce('+' || lang, '') AS g, text,
+         coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+           || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head
+  FROM documents),
+hashed AS (
+  SELECT doc_id, g, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low, head,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+           lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+             lambda y, z: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384::BIGINT) ELSE y >> 1 END)), 4294967295::BIGINT) AS crc
+  FROM field),
+leaves AS (
+  SELECT doc_id, g, leaf, CASE WHEN crc % 3 = 0 THEN sha256(head || coalesce(strlen(low) || ':' || low, '-')) ELSE leaf END AS seen,
+         row_number() OVER (PARTITION BY g ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n
+  FROM hashed),
+tree AS (
+  SELECT g, 0 AS level, pos, leaf AS h, n FROM leaves
+  UNION ALL
+  SELECT g, level + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos)), (min(n) + 7) // 8 FROM tree WHERE n > 1 GROUP BY g, level, pos // 8),
+subroots AS (SELECT g, h AS subroot, level AS height, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM tree WHERE n = 1),
+top AS (
+  SELECT 0 AS level, pos, subroot AS h, n FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos)), (min(n) + 7) // 8 FROM top WHERE n > 1 GROUP BY level, pos // 8),
+sides AS (
+  SELECT a.g, a.level, a.pos, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+         coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+  FROM tree a JOIN tree b ON a.g = b.g AND a.level = b.level AND a.pos // 8 = b.pos // 8 WHERE a.n > 1 GROUP BY ALL
+  UNION ALL
+  SELECT s.g, s.height + a.level, NULL, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos < a.pos), ''),
+         coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '')
+  FROM subroots s JOIN top a ON a.pos = s.pos // (8 ** a.level)::BIGINT JOIN top b ON a.level = b.level AND a.pos // 8 = b.pos // 8
+  WHERE a.n > 1 GROUP BY s.g, s.height, a.level, a.pos),
+steps AS (
+  SELECT e.doc_id, s.level, s.l, s.r FROM leaves e JOIN sides s ON s.g = e.g AND (s.pos IS NULL OR s.pos = e.pos // (8 ** s.level)::BIGINT)),
+fold AS (
+  SELECT doc_id, 0 AS level, seen AS h FROM leaves
+  UNION ALL
+  SELECT f.doc_id, f.level + 1, sha256(s.l || f.h || s.r) FROM fold f JOIN steps s ON s.doc_id = f.doc_id AND s.level = f.level),
+proofs AS (SELECT doc_id, sha256(string_agg(l || r, '' ORDER BY level)) AS p FROM steps GROUP BY doc_id),
+ends AS (SELECT doc_id, max_by(h, level) AS h FROM fold GROUP BY doc_id)
+SELECT e.doc_id, e.leaf, s.subroot, t.h AS root, coalesce(p.p, sha256('')) AS proof_sha256, f.h AS folded_root, f.h = t.h AS verified
+FROM leaves e JOIN subroots s USING (g) JOIN top t ON t.n = 1 JOIN ends f USING (doc_id) LEFT JOIN proofs p USING (doc_id)
+"""
+
+
+@query("op12_merkle_manifest", OP12_SQL)
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    tampered = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 3 == 0
+    text = F.when(tampered, F.translate("text", upper, lower)).otherwise(F.col("text"))
+    return merkle_manifest(documents(spark, sf_dir), {"text": text})
