@@ -17,7 +17,7 @@ from math import factorial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forumlens.llm.words import byte_slices, mixed
@@ -207,10 +207,10 @@ def failed_filters(
     said = said.withColumn("_own", F.substring(F.col("_k").cast("string"), 1, 0))
     known = rows.join(said, (F.col("k") == F.col("_k")) & (F.col("own") == F.col("_own")), "left").fillna(0, ["good", "toxic"])
     classes = known.groupBy("digest", "part", "failed", "good", "toxic").agg(F.sum("n").alias("n"), F.min(F.struct("k", "n")).alias("least"))
-    firsts = classes.groupBy("digest").agg(F.min("least.k").alias("k0"), F.max(F.col("least.k").isNull()).alias("no_key"))
-    met = classes.join(firsts, "digest")
-    # The rows of the smallest key pass E; all others of the text fail it.
-    pass_e = F.when(F.when(F.col("no_key"), F.col("least.k").isNull()).otherwise(F.col("least.k") == F.col("k0")), F.col("least.n")).otherwise(0)
+    # A text has at most one class per part and label. The rows of the smallest key pass E; all others of the text fail it.
+    first = F.min(F.struct(F.col("least.k").alias("k"))).over(Window.partitionBy("digest"))
+    pass_e = F.when(F.col("least.k").eqNullSafe(F.col("first.k")), F.col("least.n")).otherwise(0)
+    met = classes.withColumn("first", first)
     split = F.explode(F.array(F.struct(F.col("failed").alias("f"), pass_e.alias("c")), F.struct((F.col("failed") + 16).alias("f"), (F.col("n") - pass_e).alias("c"))))
     return (
         met.select("part", "good", "toxic", split.alias("s"))
