@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forumlens.functions.vectors import cosine, dot, l2_normalize, softmax
+from forumlens.operators.rows import tied
 from forumlens.operators.sizing import broadcast_if_small, hint_for
 from forumlens.session import cut
 
@@ -181,7 +182,8 @@ def membership_probs(
     """
     lists = _topic_lists(centres.where(F.col("topic") != -1), category, ["centroid"])
     lists = broadcast_if_small(lists, values=_vector_values("centroid"))
-    joined = docs.join(lists, category, "left")
+    lists = lists.withColumnRenamed(category, "_route")
+    joined = docs.withColumn("_route", tied(category, vector)).join(lists, "_route", "left").drop("_route")
     near = F.transform("_topics", lambda t: cosine(F.col(vector), t["centroid"]))
     return (
         joined.withColumn("topic_ids", F.col("_topics.topic"))
@@ -231,7 +233,8 @@ def silhouette_cosine(docs: DataFrame, *, category: str = "category", vector: st
     kept = docs.where(F.col("topic") != -1).select(category, "topic", l2_normalize(F.col(vector)).alias("_x"))
     sums = centroids(kept, [category, "topic"], "_x", "_mean")
     lists = broadcast_if_small(_topic_lists(sums, category, ["n", "_mean"]), values=_vector_values("_mean"))
-    joined = kept.join(lists, category)
+    lists = lists.withColumnRenamed(category, "_route")
+    joined = kept.withColumn("_route", tied(category, "_x")).join(lists, "_route")
     near = F.transform(
         "_topics",
         lambda t: F.struct(

@@ -13,6 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def tied(key: str | Column, array: str | Column) -> Column:
+    """The key as it is, but tied to an array column: an equi-join on a constant key would become a pairing of rows."""
+    column = F.col(key) if isinstance(key, str) else key
+    return F.when(F.coalesce(F.size(array), F.lit(0)) >= -1, column)
+
+
 def exploded(df: DataFrame, keep: Sequence[str | Column], array: str | Column, name: str) -> DataFrame:
     return df.select(*keep, F.explode_outer(array).alias(name)).where(F.col(name).isNotNull())
 

@@ -106,7 +106,9 @@ def test_leaf_entities(spark):
 def test_repetition_note(spark):
     notes = [r["n"] for r in spark.range(4).select(retrieval.repetition_note(F.col("id")).alias("n")).collect()]
     assert notes[:2] == ["", ""]
-    assert "repeated the same message 3 times" in notes[2] and notes[2].endswith("not used before.")
+    assert "3 times" in notes[2] and "4 times" in notes[3]
+    own = retrieval.repetition_note(F.col("id"), note="again: {times}.", more=" Enough.")
+    assert [r["n"] for r in spark.range(4).select(own.alias("n")).collect()][1:] == ["", "again: 3. Enough.", "again: 4. Enough."]
 
 
 def test_many_blocks_give_one_plan_and_null_vectors_take_no_part(data):
