@@ -28,8 +28,9 @@ def _with_text(docs: DataFrame, text) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that the base rules and the line labels keep, unchanged; trained on the labelled documents of ``sf_dir``."""
-    known, labels = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "labels"))
+    """Rows that the base rules and the line labels keep, unchanged; trained on the labelled documents of ``sf_dir``, if any."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    known = docs if labels.isEmpty() else spark.read.parquet(f"{sf_dir}/documents.parquet")
     return keep_good(docs.select(*COLUMNS), train_field(known, labels))
 
 
