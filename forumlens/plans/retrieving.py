@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from forumlens.functions import text as tx
 from forumlens.functions import vectors as vec
-from forumlens.operators import clusters, conversation, counts, embedding, evaluation, retrieval, search
+from forumlens.operators import clusters, conversation, counts, embedding, evaluation, retrieval, search, vector_index
 from forumlens.plans.registry import documents, query, table
 from forumlens.plans.ingest import sql_strip, sql_words
+from forumlens.session import fresh_path
 
 # Embeddings read as passages and, at the same time, as a batch of queries.
 PASSAGES_SQL = """passages AS (
@@ -117,6 +118,36 @@ def v5(spark: SparkSession, d: str) -> DataFrame:
     return search.approximate_top(queries_of(spark, d), corpus, 10, model, probes)
 
 
+def list_indexed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, int, int]:
+    """Exact corpus, found rows, rows of the corpus and candidates per query of the list index."""
+    corpus = table(spark, d, "embeddings").withColumnRenamed("vec_id", "doc_id")
+    index = vector_index.build_index(corpus, fresh_path(spark, "lists"))
+    probes, candidates = vector_index.tuned(index, queries_of(spark, d), corpus, 10, RECALL)
+    return corpus, vector_index.list_search(index, queries_of(spark, d), corpus, 10, probes, candidates), index.rows, candidates
+
+
+@query("v5_list_index")
+def v5_list(spark: SparkSession, d: str) -> DataFrame:
+    return list_indexed(spark, d)[1]
+
+
+@query(
+    "v5_list_recall",
+    """SELECT count(*) AS queries, least(10, count(*)) * count(*) AS found, TRUE AS recall_met, TRUE AS scores_exact FROM embeddings""",
+)
+def v5_recall(spark: SparkSession, d: str) -> DataFrame:
+    """Recall of the list index over all queries against the exact search, and whether every score is exact."""
+    corpus, found, _, _ = list_indexed(spark, d)
+    exact = search.top_inner_product(queries_of(spark, d), corpus, 10).select("query_id", "doc_id", F.col("score").alias("_s"))
+    both = found.join(exact, ["query_id", "doc_id"], "full")
+    return both.agg(
+        F.count_distinct("query_id").alias("queries"),
+        F.count("score").alias("found"),
+        (F.count_if(F.col("score").isNotNull() & F.col("_s").isNotNull()) >= RECALL * F.count("_s")).alias("recall_met"),
+        F.coalesce(F.bool_and(F.col("score") == F.col("_s")), F.lit(True)).alias("scores_exact"),
+    )
+
+
 @query("v1_embed")
 def v1(spark: SparkSession, d: str) -> DataFrame:
     """Hashed TF-IDF of word tokens, unit length."""
