@@ -6,6 +6,7 @@ estimate lies near the threshold get an exact distinct count; the others are dec
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +52,20 @@ def spread_lines(sites: DataFrame, min_sites: int = MIN_SITES, band: float = BAN
     return sure.unionByName(exact.select("h", "g", "first"))
 
 
+def _among(h: Column, g: Column, gone_h: Column, gone_g: Column) -> Column:
+    """Which lines are among those gone: one set per text, since built-in functions would search the list for every line."""
+
+    @F.pandas_udf("array<boolean>")
+    def found(h: pd.Series, g: pd.Series, gone_h: pd.Series, gone_g: pd.Series) -> pd.Series:
+        out = []
+        for lines_h, lines_g, a, b in zip(h, g, gone_h, gone_g):
+            gone = set(zip(a, b)) if a is not None else set()
+            out.append(None if a is None else [x in gone for x in zip(lines_h, lines_g)])
+        return pd.Series(out, dtype=object)
+
+    return found(h, g, gone_h, gone_g)
+
+
 def drop_spread_lines(
     docs: DataFrame, key: str = "doc_id", text: str = "text", site: str = "source",
     min_sites: int = MIN_SITES, band: float = BAND, lg_k: int = LG_K,
@@ -77,9 +92,9 @@ def drop_spread_lines(
     met = rows.join(per_row, ["k", "s"], "left").select(
         "row", "gone", F.split(F.coalesce("t", F.lit("")), "\n").alias("lines")
     )
-    keep = F.filter(
-        F.col("lines"), lambda x: ~(_has_word(x) & F.array_contains(F.col("gone"), F.struct(*_hashes(x))))
-    )
+    hashes = [F.when(F.col("gone").isNotNull(), F.transform("lines", part)) for part in (lambda x: F.xxhash64(x), lambda x: F.hash(x))]
+    met = met.withColumn("hit", _among(*hashes, F.col("gone.h"), F.col("gone.g")))
+    keep = F.filter(F.col("lines"), lambda x, i: ~(_has_word(x) & F.get("hit", i)))
     left = met.withColumn("kept", F.when(F.col("gone").isNull(), F.col("lines")).otherwise(keep))
     return left.select(
         *[row.getField(c).alias(c) for c in kept_columns],
