@@ -87,8 +87,13 @@ def conversation_pairs(conversations: DataFrame, after: DataFrame) -> tuple[Data
     ``after`` (conv_id, other_id) names, put in its place. Kind ``first_turn``: conversations that
     open with the same turn, the one with the smallest id chosen against each of the others, so a
     group of n gives n - 1 pairs. Conversations without an answer take no part in the first kind.
+
+    ``turn`` becomes the place of a message, numbered as in :func:`numbered`: of messages with one turn
+    number (or none) the last by role and text is the last, and only the message at that place is replaced. Repeated
+    messages are messages of their own. Rows without conv_id are left out; an empty table gives no turns.
     """
-    turns = conversations.select("conv_id", "turn", "role", "text").where("conv_id is not null")
+    known = conversations.where("conv_id is not null")
+    turns = staged(numbered(known, ["conv_id"]).withColumnRenamed("pos", "turn"), "numbered")
     answers = turns.where("role = 'assistant'").groupBy("conv_id").agg(F.max_by(F.struct("turn", "text"), "turn").alias("last"))
     own = answers.select("conv_id", F.col("last.turn").alias("at"))
     borrowed = answers.select(F.col("conv_id").alias("other_id"), F.col("last.text").alias("text"))
@@ -97,7 +102,7 @@ def conversation_pairs(conversations: DataFrame, after: DataFrame) -> tuple[Data
     upto = turns.join(pairs, "conv_id").where("turn <= at")
     last = F.col("turn") == F.col("at")
     by_answer = upto.select(*ids, "turn", "role", "text"), upto.select(*ids, "turn", "role", F.when(last, F.col("b")).otherwise(F.col("text")).alias("text"))
-    first = turns.groupBy("conv_id").agg(F.min_by(F.struct("role", "text"), "turn").alias("opening"))
+    first = turns.where("turn = 0").select("conv_id", F.struct("role", "text").alias("opening"))
     opened = first.select("conv_id", F.xxhash64("opening").alias("h"), F.hash("opening").alias("g"))
     heads = opened.groupBy("h", "g").agg(F.min("conv_id").alias("head"), F.count("*").alias("n")).where("n > 1")
     stars = opened.join(heads, ["h", "g"]).where("conv_id != head").select(
