@@ -26,7 +26,7 @@ from forumlens.llm.words import byte_slices, worker_cache
 MARK = "▁"
 NORMAL, USER_DEFINED, UNUSED, BYTE = 1, 4, 5, 6
 # Stretches and pairs of pieces kept per worker, and text handled at a time.
-KEPT_STRETCHES = 100_000
+KEPT_STRETCHES = 300_000
 KEPT_PAIRS = 400_000
 BYTES_AT_ONCE = 1 << 20
 
