@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from forumlens.functions.dictionary import replace_large
+
 # Web addresses and the separator between joined comments.
 URL = r"https?://\S+|www\.\S+"
 COMMENT_SEPARATOR = "|||"
@@ -102,6 +104,15 @@ def replace_in_order(text: Column, pairs: Sequence[tuple[str, str]], pad: bool =
     return F.aggregate(pair_table(pairs), text, put)
 
 
+# From so many pairs on a fold would read every text once per pair.
+LARGE = 64
+
+
+def replace_all(text: Column, pairs: Sequence[tuple[str, str]], pad: bool = True) -> Column:
+    """Ordered replacements, by a fold or, for large dictionaries, by an automaton; the result is the same."""
+    return (replace_large if len(pairs) >= LARGE else replace_in_order)(text, pairs, pad)
+
+
 def emoticons_to_text(
     text: Column,
     dictionary: Sequence[tuple[str, str]],
@@ -109,16 +120,16 @@ def emoticons_to_text(
     emoji: Sequence[tuple[str, str]] = EMOJI,
 ) -> Column:
     """Dictionary first, in its own order, then emoticons, then emoji names; trimmed, lower case."""
-    out = replace_in_order(text, dictionary)
-    out = replace_in_order(out, emoticons)
-    return F.lower(strip(replace_in_order(out, emoji, pad=False)))
+    out = replace_all(text, dictionary)
+    out = replace_all(out, emoticons)
+    return F.lower(strip(replace_all(out, emoji, pad=False)))
 
 
 def emoticons_without_aliases(text: Column, dictionary: Sequence[tuple[str, str]], **tables) -> Column:
     """Variant that then deletes ``:alias:`` names and the alias words (emoji names go with them)."""
-    out = replace_in_order(text, dictionary)
-    out = replace_in_order(out, tables.get("emoticons", EMOTICONS))
-    out = replace_in_order(out, tables.get("emoji", EMOJI), pad=False)
+    out = replace_all(text, dictionary)
+    out = replace_all(out, tables.get("emoticons", EMOTICONS))
+    out = replace_all(out, tables.get("emoji", EMOJI), pad=False)
     out = F.regexp_replace(out, rf"(?iU)(:[^:]+:|_|\b({'|'.join(ALIAS_WORDS)})\b)", " ")
     return F.lower(strip(F.translate(out, ":_", "  ")))
 

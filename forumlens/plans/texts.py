@@ -46,6 +46,22 @@ def t2(spark: SparkSession, d: str) -> DataFrame:
     return documents(spark, d).select("doc_id", tx.emoticons_to_text(with_smileys(), PIECES).alias("text"))
 
 
+# 512 overlapping keys in order; what one puts in is a key of another.
+LETTERS = "etaoinsr"
+THREES = [(a + b + c, c + b + a) for a in LETTERS for b in LETTERS for c in LETTERS]
+
+
+def sql_fold(x: str, pairs: list[tuple[str, str]]) -> str:
+    """Pair after pair over one value."""
+    table = ", ".join(f"{{'k': {lit(k)}, 'v': {lit(f' {v} ')}}}" for k, v in pairs)
+    return f"list_reduce(list_prepend({{'k': '', 'v': {x}}}, [{table}]), lambda t, p: {{'k': '', 'v': replace(t.v, p.k, p.v)}}).v"
+
+
+@query("t2_large_dictionary", f"SELECT doc_id, lower({sql_strip(sql_replace(sql_replace('x', tx.EMOTICONS), tx.EMOJI, pad=False))}) AS text FROM (SELECT doc_id, {sql_fold('text', THREES)} AS x FROM documents)")
+def t2_large(spark: SparkSession, d: str) -> DataFrame:
+    return documents(spark, d).select("doc_id", tx.emoticons_to_text(F.col("text"), THREES).alias("text"))
+
+
 @query(
     "t3_emoticons_without_aliases",
     f"""WITH r AS (SELECT doc_id, regexp_replace({sql_emoticons(WITH_SMILEYS)},

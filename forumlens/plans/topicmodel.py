@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forumlens.functions.text import words
-from forumlens.operators import clusters, coherence, counts, embedding, graph, merge, topics
+from forumlens.operators import clusters, coherence, counts, density, embedding, graph, merge, topics
 from forumlens.plans.registry import documents, query, table
 from forumlens.plans.texts import SHORT_STOP, sql_list, sql_tokens, sql_words
 
@@ -337,6 +337,13 @@ def m3_by_category(spark: SparkSession, d: str) -> DataFrame:
     return clusters.density_clusters(points, EPS, 8, 10, dims=2, config=own).select("doc_id", "category", "topic")
 
 
+@query("m3_density_hierarchy")
+def m3_hierarchy(spark: SparkSession, d: str) -> DataFrame:
+    """Most stable branches of the density tree of all points, with the strength of every membership."""
+    points = vector_docs(spark, d).drop("topic").withColumn("reduced", projected("embedding"))
+    return density.density_hierarchy(points, 5, 15).select("doc_id", "category", "topic", F.round("probability", 6).alias("probability"))
+
+
 @query(
     "m15_merge_similar_topics",
     f"""WITH RECURSIVE {CENTRES_SQL.replace("'c' || CAST(label % 4 AS VARCHAR) AS category", "'all' AS category")},
