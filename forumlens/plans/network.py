@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forumlens.functions.text import tokenize
-from forumlens.operators import clusters, counts, embedding, graph, stats, topics
+from forumlens.operators import clusters, communities, counts, embedding, graph, stats, topics
 from forumlens.operators.coherence import pair_coherence
 from forumlens.operators.rows import exploded
 from forumlens.plans.registry import documents, query, table
@@ -250,6 +250,11 @@ def g8_mutual(spark: SparkSession, d: str) -> DataFrame:
     return graph.greedy_communities(kept(spark, d), "original_sim", exact=False)
 
 
+@query("g8_level_communities")
+def g8_levels(spark: SparkSession, d: str) -> DataFrame:
+    return communities.level_communities(kept(spark, d), "original_sim")
+
+
 @query("g10_community_crosstab")
 def g10(spark: SparkSession, d: str) -> DataFrame:
     found = graph.greedy_communities(kept(spark, d), "original_sim", exact=False)
