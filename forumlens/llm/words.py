@@ -26,11 +26,15 @@ def word_array(text: Column) -> Column:
 
 
 def worker_cache(name: str, make):
-    """One object per Python worker that outlives a task; only for values any worker can rebuild."""
-    held = sys.modules.setdefault("_forumlens_held", types.ModuleType("_forumlens_held")).__dict__
-    if name not in held:
-        held[name] = make()
-    return held[name]
+    """One object per Python worker that outlives a task; only for values any worker can rebuild.
+
+    A worker that turns to another name, as between the stages of a pipeline, lets the one before go.
+    """
+    held = sys.modules.setdefault("_forumlens_held", types.ModuleType("_forumlens_held"))
+    if getattr(held, "name", None) != name:
+        held.name, held.value = name, None
+        held.value = make()
+    return held.value
 
 
 def byte_slices(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
