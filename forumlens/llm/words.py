@@ -32,8 +32,9 @@ def worker_cache(name: str, make):
     """
     held = sys.modules.setdefault("_forumlens_held", types.ModuleType("_forumlens_held"))
     if getattr(held, "name", None) != name:
-        held.name, held.value = name, None
+        held.name = held.value = None
         held.value = make()
+        held.name = name
     return held.value
 
 
