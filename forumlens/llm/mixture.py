@@ -23,6 +23,8 @@ ROUNDS = 12
 CELL_ROWS = 20_000
 CAP = 3
 MAX_TASKS = 20_000
+# Equal rows are counted and handled in bunches of at most this many rows and about this many words.
+BUNCH_ROWS, BUNCH_WORDS = 1_024, 65_536
 
 
 def permuted(x: Column, n: Column, seed: Column, inverse: bool = False) -> Column:
@@ -68,6 +70,21 @@ def source_targets(sizes: DataFrame, source: str = "source", cap: float = CAP) -
     return leveled.select(source, "source_size", F.coalesce(target, F.lit(0.0)).alias("target"))
 
 
+def rows_of_bunch(size: Column) -> Column:
+    """How many equal rows of ``size`` words make a full bunch."""
+    fitting = F.floor(F.lit(BUNCH_WORDS) / F.greatest(size, F.lit(1)))
+    return F.greatest(F.least(fitting, F.lit(BUNCH_ROWS)), F.lit(1)).cast("long")
+
+
+def bunched(rows: DataFrame, identity: list[str], size: str) -> DataFrame:
+    """Equal rows as bunches: the identity, size, ``_bunch`` (number), ``_copies`` (rows) and ``_span`` (words)."""
+    counted = rows.groupBy(*identity, size).agg(F.count("*").alias("_rows"))
+    counted = counted.withColumn("_most", rows_of_bunch(F.col(size)))
+    parts = counted.withColumn("_bunch", F.explode(F.sequence(F.lit(0), F.floor((F.col("_rows") - 1) / F.col("_most")))))
+    copies = F.least(F.col("_most"), F.col("_rows") - F.col("_bunch") * F.col("_most"))
+    return parts.select(*identity, size, "_bunch", copies.alias("_copies"), (copies * F.col(size)).alias("_span"))
+
+
 def placed(rows: DataFrame, source: str, key: list[str], size: str) -> DataFrame:
     """Add ``_at``, the position of a row's first word in the stream of its source.
 
@@ -155,6 +172,8 @@ def shard_counts(slots: DataFrame, source: str = "source") -> DataFrame:
 class Mix:
     """A mix over documents: its plan per source, its slots, and the share of every row."""
 
+    BUNCH = ("_key", "_source", "size", "_sum", "_bunch", "_copies")
+
     def __init__(
         self, docs: DataFrame, source: str = "source", key: str = "doc_id", text: str = "text",
         block: int = BLOCK, shards: int = 16, seed: int = 7, cap: float = CAP,
@@ -170,18 +189,19 @@ class Mix:
         # One row per source: written once, so that every later use sees the same numbers.
         self.plan = staged(draw_plan(targets, "_source", block, seed), "draws")
         self.slots = mix_slots(self.plan, "_source", shards, block, seed)
-        self.places = staged(placed(rows, "_source", ["_key", "size", "_sum"], "size"), "places")
+        bunches = bunched(rows, ["_key", "_source", "_sum"], "size")
+        self.places = staged(placed(bunches, "_source", ["_key", "size", "_sum", "_bunch"], "_span"), "places")
         self.pieces = self._pieces(block)
 
     def _pieces(self, block: int) -> DataFrame:
-        """Stretches of rows inside blocks, with how often the block is drawn and its words of the last draw."""
+        """Stretches of bunches inside blocks, with how often the block is drawn and its words of the last draw."""
         drawn = self.slots.groupBy("_source", "block").agg(F.count("*").alias("_times"), F.sum("words").alias("_drawn"))
-        first, final = F.floor(F.col("_at") / block), F.floor((F.col("_at") + F.col("size") - 1) / block)
+        first, final = F.floor(F.col("_at") / block), F.floor((F.col("_at") + F.col("_span") - 1) / block)
         pieces = self.places.where("size > 0").select(
-            "_key", "_source", "size", "_sum", "_at", F.explode(F.sequence(first, final)).alias("_block")
+            *self.BUNCH, "_span", "_at", F.explode(F.sequence(first, final)).alias("_block")
         )
         lo = F.greatest(F.col("_at") - F.col("_block") * block, F.lit(0))
-        hi = F.least(F.col("_at") + F.col("size") - F.col("_block") * block, F.lit(block))
+        hi = F.least(F.col("_at") + F.col("_span") - F.col("_block") * block, F.lit(block))
         pieces = pieces.withColumn("_lo", lo).withColumn("_hi", hi)
         b = drawn.select(F.col("_source").alias("_s"), F.col("block").alias("_b"), "_times", "_drawn")
         # Both sides grow with the mix, and their sizes are underestimated after explode: never broadcast.
@@ -194,57 +214,79 @@ class Mix:
         stop = F.least(F.col("_hi"), whole - (F.col("_times") * whole - F.col("_drawn")))
         part = F.when(last > 0, F.greatest(stop - F.col("_lo"), F.lit(0))).otherwise(0)
         return met.select(
-            "_key", "_source", "size", "_sum", "_at", F.coalesce("_passes", F.lit(0)).alias("_passes"),
+            *self.BUNCH, F.coalesce("_passes", F.lit(0)).alias("_passes"),
             (F.col("_block") * block + F.col("_lo") - F.col("_at")).alias("_from"),
             F.coalesce(part, F.lit(0)).cast("long").alias("_n"),
             (F.col("_hi") - F.col("_lo")).alias("_all"),
         )
 
     def shares(self) -> DataFrame:
-        """(key, source, size, source_size, target, taken), one row per input row."""
-        taken = self.pieces.groupBy("_key", "_source", "size", "_sum", "_at").agg(
-            F.sum(F.col("_passes") * F.col("_all") + F.col("_n")).cast("long").alias("taken")
-        )
-        none = self.places.where("size = 0").select("_key", "_source", "size", "_sum", "_at", F.lit(0).cast("long").alias("taken"))
+        """(key, source, size, source_size, target, taken), one row per input row.
+
+        The rows of a bunch are equal and share the words taken from it evenly.
+        """
+        words = F.sum(F.col("_passes") * F.col("_all") + F.col("_n")).cast("long").alias("_taken")
+        taken = self.pieces.groupBy(*self.BUNCH).agg(words)
+        none = self.places.where("size = 0").select(*self.BUNCH, F.lit(0).cast("long").alias("_taken"))
+        rows = taken.unionByName(none).withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)))
+        over = (F.col("_i") < F.col("_taken") % F.col("_copies")).cast("long")
+        rows = rows.withColumn("taken", F.floor(F.col("_taken") / F.col("_copies")).cast("long") + over)
         info = self.plan.select(F.col("_source").alias("_p"), "source_size", "target")
-        out = taken.unionByName(none).join(info, F.col("_source").eqNullSafe(F.col("_p")))
+        out = rows.join(info, F.col("_source").eqNullSafe(F.col("_p")))
         return out.select(F.col("_key").alias(self.key), F.col("_source").alias(self.source), "size", "source_size", "target", "taken")
 
     def documents(self) -> DataFrame:
         """The mix as rows with the columns of the input: a row for every whole pass over a document,
         and one more with the words that the last pass takes from it, joined by spaces.
 
-        Equal input rows are pooled: their passes and words come under one of them.
+        Rows of equal key, source and text are one document with copies; their other columns are those
+        of the copy with the smallest hash. The last pass over a bunch of copies gives one row.
         """
-        grouped = self.pieces.groupBy("_key", "_source", "size", "_sum").agg(
-            F.countDistinct("_at").alias("_copies"), F.first("_passes").alias("_passes"),
-            F.sort_array(F.collect_list(F.when(F.col("_n") > 0, F.struct("_at", "_from", "_n")))).alias("_ranges"),
-        )
-        grouped = grouped.where((F.col("_passes") > 0) | (F.size("_ranges") > 0)).withColumnsRenamed(
-            {"_source": "_s", "_sum": "_h"}
+        ranges = F.sort_array(F.collect_list(F.when(F.col("_n") > 0, F.struct("_from", "_n"))))
+        drawn = self.pieces.groupBy(*self.BUNCH).agg(F.first("_passes").alias("_passes"), ranges.alias("_ranges"))
+        drawn = drawn.where((F.col("_passes") > 0) | (F.size("_ranges") > 0)).withColumnsRenamed(
+            {"_source": "_s", "_sum": "_h", "_bunch": "_b"}
         )
         # The input row travels as one value, so its column names cannot clash with those used here.
         row = F.col("_row")
+        hashable = [F.col(f.name) for f in self.docs.schema.fields if "map<" not in f.dataType.simpleString()]
         rows = self.docs.select(
             F.struct(*[F.col(c) for c in self.docs.columns]).alias("_row"), F.col(self.key).alias("_k"),
-            F.col(self.source).alias("_from_source"), F.xxhash64(self.text).alias("_w"),
+            F.col(self.source).alias("_from_source"), F.xxhash64(self.text).alias("_w"), F.xxhash64(*hashable).alias("_pick"),
         )
+        texts = rows.groupBy("_k", "_from_source", "_w").agg(F.min_by("_row", "_pick").alias("_row"), F.count("*").alias("_rows"))
+        # A text meets each of its bunches in a row of its own, so copies of one text are many tasks' work.
+        last = F.floor((F.col("_rows") - 1) / rows_of_bunch(word_count(row.getField(self.text))))
+        last = F.when(F.col("_rows") == 1, F.lit(0)).otherwise(last).cast("long")
+        texts = texts.withColumn("_bunch", F.explode(F.sequence(F.lit(0).cast("long"), last)))
         same = F.col("_k").eqNullSafe(F.col("_key")) & (F.col("_w") == F.col("_h")) & F.col("_from_source").eqNullSafe(F.col("_s"))
-        met = rows.join(grouped, same).dropDuplicates(["_k", "_w", "_from_source"])
-        met = met.withColumn("_words", word_array(row.getField(self.text)))
-        part = F.concat_ws(" ", F.flatten(F.transform("_ranges", lambda r: F.slice("_words", (r["_from"] + 1).cast("int"), r["_n"].cast("int")))))
-        whole = F.array_repeat(row.getField(self.text), (F.col("_passes") * F.col("_copies")).cast("int"))
-        texts = F.concat(whole, F.when(F.size("_ranges") > 0, F.array(part)).otherwise(F.array().cast("array<string>")))
-        out = met.select("_row", F.explode(texts).alias("_text"))
-        return out.select(*[F.col("_text").alias(c) if c == self.text else row.getField(c).alias(c) for c in self.docs.columns])
+        met = texts.join(drawn, same & (F.col("_bunch") == F.col("_b")))
+
+        def part(words: Column) -> Column:
+            """Words of the ranges, which count on from one copy to the next."""
+            def one(r: Column) -> Column:
+                return F.slice(words, (r["_from"] + 1).cast("int"), r["_n"].cast("int"))
+
+            def across(r: Column) -> Column:
+                at = F.sequence(r["_from"], r["_from"] + r["_n"] - 1)
+                return F.transform(at, lambda i: F.get(words, (i % F.col("size")).cast("int")))
+
+            taken = F.when(F.col("_copies") == 1, F.transform("_ranges", one)).otherwise(F.transform("_ranges", across))
+            return F.concat_ws(" ", F.flatten(taken))
+
+        whole = F.col("_passes") * F.col("_copies")
+        turns = whole + (F.size("_ranges") > 0).cast("long")
+        out = met.withColumn("_whole", whole).withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), turns)))
+        text = F.when(F.col("_i") <= F.col("_whole"), row.getField(self.text)).otherwise(let(word_array(row.getField(self.text)), part))
+        return out.select(*[text.alias(c) if c == self.text else row.getField(c).alias(c) for c in self.docs.columns])
 
 
 def mix_sources(docs: DataFrame, **options) -> Mix:
     """Mix sources to target weights; ``options`` are the column names, block, shards, seed and cap of :class:`Mix`.
 
     A null or blank text has size 0 and takes part with 0 words. A null source is a source of its
-    own, last in order. Null keys and repeated rows keep their rows; equal rows take interchangeable
-    places in the stream. An empty table gives empty frames. Columns other than source, key and text
+    own, last in order. Null keys and repeated rows keep their rows; equal rows are counted first, lie
+    side by side in the stream in bunches of bounded size, and share what is taken evenly. An empty table gives empty frames. Columns other than source, key and text
     are only read by ``documents``, and their names cannot clash. The result depends on the rows and the seed only, not on partitioning. No row gives more than ``cap`` times
     its size.
     """

@@ -2,6 +2,7 @@
 
 import collections
 import random
+import time
 import zlib
 
 import pytest
@@ -117,6 +118,31 @@ def test_mixed_documents_hold_the_words_taken(spark):
     assert +held == +taken
 
 
+def test_mix_of_many_equal_rows(spark):
+    """A row repeated 30,000 times is bunches of bounded size; words come from the right places of its copies."""
+    copies, others = 30_000, [(200 + i, f"a{i} b{i} c{i}", "s0") for i in range(50)] + [(100, "x " * 4000, "s1")]
+    hot = spark.range(copies).select(F.lit(7).alias("doc_id"), F.lit("one two three four five six seven").alias("text"), F.lit("s1").alias("source"))
+    docs = hot.unionByName(spark.createDataFrame(others, "doc_id int, text string, source string"))
+    begin = time.time()
+    mix = mixture.mix_sources(docs, block=16)
+    assert mix.places.agg(F.max("_copies")).first()[0] <= mixture.BUNCH_ROWS
+    shares = mix.shares().where("doc_id = 7").groupBy("taken").count().collect()
+    out = mix.documents().where("doc_id = 7").collect()
+    assert time.time() - begin < 20
+    assert sum(r["count"] for r in shares) == copies and max(r["taken"] for r in shares) <= 21
+    held = [fx.words(r["text"]) for r in out]
+    assert sum(map(len, held)) == sum(r["taken"] * r["count"] for r in shares)
+    # Position by position against the stream of copies written out.
+    line = "one two three four five six seven".split()
+    bunches = mix.pieces.where("_key = 7 and _n > 0").groupBy("_bunch").agg(
+        F.sort_array(F.collect_list(F.struct("_from", "_n"))).alias("r")).collect()
+    want = collections.Counter(" ".join(line[(f + j) % 7] for f, n in b["r"] for j in range(n)) for b in bunches)
+    passes = mix.pieces.where("_key = 7").first()["_passes"]
+    got = collections.Counter(r["text"] for r in out)
+    got[" ".join(line)] -= passes * copies
+    assert +got == want
+
+
 def test_mix_of_nothing(spark):
     mix = mixture.mix_sources(fx.empty(spark))
     assert mix.shares().count() == 0 and mix.slots.count() == 0 and mix.documents().count() == 0
