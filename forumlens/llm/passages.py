@@ -139,7 +139,7 @@ def window_keys(least: np.ndarray, own: np.ndarray, alone: np.ndarray) -> np.nda
     return np.where(single, own | TOP, least) if single.any() else least
 
 
-def crowded(rows: DataFrame, pack, bound: int, total: int) -> tuple[np.ndarray, np.ndarray]:
+def crowded(rows: DataFrame, pack, bound: int, total: int, chunk: int = CHUNK_BYTES) -> tuple[np.ndarray, np.ndarray]:
     """Minimisers to pass over, and those whose windows go by their own hash, so that no other one has over
     twice ``bound`` bytes of packed windows.
 
@@ -153,7 +153,7 @@ def crowded(rows: DataFrame, pack, bound: int, total: int) -> tuple[np.ndarray,
     for left in reversed(range(ROUNDS)):
 
         def count(batches: Iterator[pa.RecordBatch], passed=passed) -> Iterator[pa.RecordBatch]:
-            for keys, texts in text_chunks(batches):
+            for keys, texts in text_chunks(batches, 0, chunk):
                 least, sizes = pack(keys, texts, (passed, NONE))
                 order = np.argsort(least, kind="stable")
                 first, _ = runs_of(least[order])
