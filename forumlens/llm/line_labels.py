@@ -1,8 +1,10 @@
 """Quality rules: lines labelled as content or boilerplate by a linear-chain conditional random field.
 
 The field has two states, bucketed features of a line, and transition weights. It is trained by
-maximum likelihood on lines of a bounded sample of labelled documents, each line taking the label of
-its document. Viterbi decoding then labels all lines of every document, and the share of words in
+maximum likelihood on lines of a bounded sample of labelled documents. Labels belong to documents, so
+the states of lines are learned in rounds: the best path of a document whose content share agrees with
+its label gives the states that the next field is fitted to; the first field has no transitions, so
+that a document may hold both states. Viterbi decoding then labels all lines of every document, and the share of words in
 content lines decides, after fixed base rules, whether a document is kept.
 """
 
@@ -27,6 +29,9 @@ STOPS = b".!?:;"
 # Fixed values of the base rules.
 MIN_WORDS, REPEAT_WINDOW, MAX_REPEAT_PERCENT = 20, 8, 30
 MIN_SHARE = 0.5
+# Rounds of training, and what a line of the document's label gains, step by step, until the share agrees.
+LABEL_ROUNDS = 3
+GAINS = (0.0, 0.5, 1.0, 2.0, 4.0, 8.0, 16.0)
 # Upper borders of the buckets of each line feature; the last bucket is open.
 BUCKETS = {
     "words": (0, 2, 5, 10, 20, 40),
@@ -135,9 +140,11 @@ def measure(texts: list[bytes], table: WordHashes) -> Measured:
     return Measured(counts, features, line_words, n_lines)
 
 
-def viterbi(field: Field, features: np.ndarray, n_lines: np.ndarray) -> np.ndarray:
-    """Best state of every line; all sequences advance together, longest first."""
+def viterbi(field: Field, features: np.ndarray, n_lines: np.ndarray, gain: np.ndarray | None = None) -> np.ndarray:
+    """Best state of every line; all sequences advance together, longest first. ``gain`` adds to the scores of states."""
     scores = field.scores(features.astype(np.int64))
+    if gain is not None:
+        scores = scores + gain
     begin = np.cumsum(n_lines) - n_lines
     order = np.argsort(-n_lines, kind="stable")
     begin, length = begin[order], n_lines[order]
@@ -205,6 +212,43 @@ def fit_field(features: np.ndarray, n_lines: np.ndarray, label: np.ndarray, step
     return field
 
 
+def agreeing_states(
+    field: Field, features: np.ndarray, n_lines: np.ndarray, line_words: np.ndarray, label: np.ndarray, min_share: float = MIN_SHARE
+) -> np.ndarray:
+    """Best states of the lines of documents with known labels: content holds at least ``min_share`` of the
+    words in documents of label 1, and less in those of label 0.
+
+    In a document that breaks this, lines in the state of its label gain more and more until it holds; where
+    no gain helps (a document without words), all its lines take the label.
+    """
+    owner = np.repeat(np.arange(len(n_lines)), n_lines)
+    words = np.maximum(np.bincount(owner, line_words, minlength=len(n_lines)), 1)
+    state = label[owner].astype(np.int8)
+    left = np.ones(len(n_lines), bool)
+    for gain in GAINS:
+        rows = left[owner]
+        if not rows.any():
+            break
+        extra = gain * np.eye(2)[label[owner[rows]]]
+        found = viterbi(field, features[rows], n_lines[left], extra)
+        share = np.bincount(owner[rows], found * line_words[rows], minlength=len(n_lines)) / words
+        agrees = left & ((share >= min_share) == (label == 1))
+        take = agrees[owner]
+        state[take] = found[agrees[owner[rows]]]
+        left &= ~agrees
+    return state
+
+
+def fit_documents(features: np.ndarray, n_lines: np.ndarray, line_words: np.ndarray, label: np.ndarray, rounds: int = LABEL_ROUNDS) -> Field:
+    """A field learned from labels of documents: lines by themselves first, then chains of agreeing states."""
+    state = np.repeat(label, n_lines)
+    field = fit_field(features, np.ones(len(state), np.int64), state)
+    for _ in range(rounds if len(state) else 0):
+        state = agreeing_states(field, features, n_lines, line_words, label).astype(np.int64)
+        field = fit_field(features, n_lines, state)
+    return field
+
+
 def _judged(field: Field, texts: list[bytes], table: WordHashes, min_share: float):
     """Measures, line states, content share, base verdict and verdict of some texts."""
     m = measure(texts, table)
@@ -251,19 +295,21 @@ def train_field(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: s
                     part.column(2),
                     part.column(3),
                     pa.array([m.features[e - n : e].tobytes() for e, n in zip(end, m.n_lines)], pa.binary()),
+                    pa.array([m.line_words[e - n : e].astype("<i4").tobytes() for e, n in zip(end, m.n_lines)], pa.binary()),
                 ],
-                names=["k", "q", "s", "f"],
+                names=["k", "q", "s", "f", "w"],
             )
 
-    measured = joined.select("k", "t", "q", "s").mapInArrow(run, "k bigint, q int, s bigint, f binary")
-    rows = measured.groupBy("k", "q", "s").agg(F.first("f").alias("f")).collect()
+    measured = joined.select("k", "t", "q", "s").mapInArrow(run, "k bigint, q int, s bigint, f binary, w binary")
+    rows = measured.groupBy("k", "q", "s").agg(F.min(F.struct("f", "w")).alias("m")).select("k", "q", "m.*").collect()
     if len({r["q"] for r in rows}) < 2:
         rows = []
     rows.sort(key=lambda r: (r["k"], r["q"], bytes(r["f"])))
     parts = [np.frombuffer(bytes(r["f"]), np.int8).reshape(-1, len(BUCKETS)) for r in rows]
     n_lines = np.array([len(p) for p in parts], np.int64)
     features = np.concatenate(parts) if parts else np.empty((0, len(BUCKETS)), np.int8)
-    return fit_field(features, n_lines, np.repeat(np.array([r["q"] for r in rows], np.int64), n_lines))
+    line_words = np.concatenate([np.frombuffer(bytes(r["w"]), "<i4") for r in rows]) if rows else np.empty(0, np.int32)
+    return fit_documents(features, n_lines, line_words, np.array([r["q"] for r in rows], np.int64))
 
 
 def label_lines(

@@ -244,3 +244,43 @@ def test_preferences_number_long_gappy_talks(spark):
     b = spark.createDataFrame([*turns[:2500], (1, 99999, "assistant", "end", 0)], schema)
     out = format_preferences(a, b, ["pair"]).groupBy("part").agg(F.count("*").alias("n"), F.min("pos").alias("lo"), F.max("pos").alias("hi"))
     assert {tuple(r) for r in out.collect()} == {("prompt", 2500, 0, 2499), ("chosen", 500, 2500, 2999), ("rejected", 1, 2500, 2500)}
+
+
+def test_lines_of_mixed_documents_get_both_labels(spark):
+    """Clean documents with a block of lines from bad ones inside: lines are told apart, and the document stays."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    field = ll.train_field(docs, labels.where("doc_id % 2 = 0"))
+    held = docs.join(labels.where("doc_id % 2 = 1"), "doc_id").select("doc_id", "text", "quality").orderBy("doc_id").collect()
+    lines = {q: [[x for x in r["text"].split("\n") if len(x.split()) >= 8] for r in held if r["quality"] == q] for q in (0, 1)}
+    bad = [x for some in lines[0] for x in some]
+    rows, truth = [], {}
+    for i, good in enumerate(x for x in lines[1] if len(x) >= 4):
+        middle = [bad[(3 * i + j) % len(bad)] for j in range(2)]
+        middle = [" ".join(x.split()[:12]) for x in middle]
+        text = good[:2] + middle + good[2:]
+        rows.append((i, "\n".join(text)))
+        truth[i] = [1, 1, 0, 0] + [1] * (len(good) - 2)
+    got = ll.label_lines(spark.createDataFrame(rows, "doc_id long, text string"), field).collect()
+    right = [int(a == b) for r in got for a, b in zip(r["states"], truth[r["doc_id"]])]
+    planted = [1 - a for r in got for a, b in zip(r["states"], truth[r["doc_id"]]) if not b]
+    both = [0 < r["n_content_lines"] < r["n_lines"] for r in got]
+    assert len(rows) > 50
+    assert np.mean(right) > 0.9 and np.mean(planted) > 0.7 and np.mean(both) > 0.7, (np.mean(right), np.mean(planted), np.mean(both))
+    assert np.mean([r["content_share"] >= ll.MIN_SHARE for r in got]) > 0.95
+
+
+def test_states_agree_with_labels_of_documents():
+    rng = np.random.default_rng(11)
+    field = ll.Field(rng.normal(size=(ll.OFFSETS[-1], 2)), rng.normal(size=(2, 2)))
+    n_lines = rng.integers(1, 9, 40)
+    features = rng.integers(0, np.diff(ll.OFFSETS), (n_lines.sum(), len(ll.BUCKETS))).astype(np.int8)
+    words, label = rng.integers(0, 20, n_lines.sum()), rng.integers(0, 2, 40)
+    state = ll.agreeing_states(field, features, n_lines, words, label)
+    owner = np.repeat(np.arange(40), n_lines)
+    free = ll.viterbi(field, features, n_lines)
+    for d in range(40):
+        own = owner == d
+        share = lambda s: (s[own] * words[own]).sum() / max(1, words[own].sum())
+        assert (share(state) >= ll.MIN_SHARE) == bool(label[d]) or not words[own].any()
+        if (share(free) >= ll.MIN_SHARE) == bool(label[d]):
+            assert (state[own] == free[own]).all()
