@@ -123,6 +123,7 @@ def test_mix_of_many_equal_rows(spark):
     copies, others = 30_000, [(200 + i, f"a{i} b{i} c{i}", "s0") for i in range(50)] + [(100, "x " * 4000, "s1")]
     hot = spark.range(copies).select(F.lit(7).alias("doc_id"), F.lit("one two three four five six seven").alias("text"), F.lit("s1").alias("source"))
     docs = hot.unionByName(spark.createDataFrame(others, "doc_id int, text string, source string"))
+    mixture.mix_sources(docs.where("doc_id > 7"), block=16).documents().count()  # classes are loaded and compiled
     begin = time.time()
     mix = mixture.mix_sources(docs, block=16)
     assert mix.places.agg(F.max("_copies")).first()[0] <= mixture.BUNCH_ROWS
