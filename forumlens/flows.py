@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forumlens.functions import text as tx
-from forumlens.operators import clusters, coherence, embedding, graph, merge, topics
+from forumlens.operators import clusters, coherence, conversation, embedding, graph, merge, retrieval, topics
 from forumlens.session import staged
 
 
@@ -26,6 +26,28 @@ def build_corpus(posts: DataFrame, order: Sequence[str], *, min_words: int = 3,
     return embedding.tfidf_vectors(kept, "model_text", features)
 
 
+def question_context(
+    talk: DataFrame, hits: DataFrame, entities: DataFrame, *, keep: int = 5, limit: float = 0.85, budget: float = 8192.0
+) -> DataFrame:
+    """What a model is given for every user message of ``talk(query_id, conv_id, turn, role, text)``.
+
+    ``hits(query_id, passage_id, content, sentiment, score, embedding)`` are re-ranked for variety, entity notes
+    and passages joined, and earlier messages dropped in pairs until all of it fits the token budget:
+    (query_id, history_summary, context, entity_notes, repetition_note, n_kept, history).
+    """
+    passages = retrieval.rerank_diverse(hits, keep, limit, carry=("content",))
+    summary = conversation.history_summary(talk).select("conv_id", "turn", "history_summary")
+    turns = conversation.repeat_counts(talk).select("query_id", "conv_id", "turn", "repeats").join(summary, ["conv_id", "turn"])
+    # Read twice: for its size and for the result.
+    context = staged(retrieval.assemble_context(turns, passages, entities), "context")
+    given = tx.token_estimate(F.concat_ws(" ", "context", "entity_notes", "repetition_note"))
+    sized = talk.join(context.select("query_id", given.alias("_given")), "query_id", "left")
+    cost = F.col("_given") + tx.token_estimate(F.col("text"))
+    kept = conversation.kept_history(sized, cost, budget, texts=True)
+    ids = talk.select("query_id", "conv_id", "turn")
+    return context.join(ids.join(kept, ["conv_id", "turn"]).select("query_id", "n_kept", "history"), "query_id")
+
+
 @dataclass
 class TopicModel:
     """Tables of a fitted model; every table carries the category as key."""

@@ -59,19 +59,22 @@ def repeat_counts(turns: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def kept_history(
-    turns: DataFrame, prompt_tokens: Column, budget: float = 8192.0, width: int = WIDTH
+    turns: DataFrame, prompt_tokens: Column, budget: float = 8192.0, width: int = WIDTH, texts: bool = False
 ) -> DataFrame:
     """For every user message, the part of the earlier messages that fits the token budget.
 
     The two oldest messages are dropped while the estimate is over budget and more than two are
     left. ``prompt_tokens`` is the fixed cost of instructions and current prompt. A message costs
-    at least 100, so only ``budget / 100`` earlier messages can matter.
+    at least 100, so only ``budget / 100`` earlier messages can matter. ``texts`` adds ``history``, the
+    kept messages as "role: text" lines.
     """
     back = math.ceil(budget / 100) + 2
     sized = _placed(turns, width).withColumns(
         {"_cost": token_estimate(F.col("text")), "_left": F.lit(float(budget)) - prompt_tokens}
     )
-    made = {"_h": lambda w: F.collect_list(F.struct(F.col("turn").alias("turn"), F.col("_cost").alias("cost"))).over(w)}
+    said = [F.concat("role", F.lit(": "), "text").alias("t")] if texts else []
+    item = F.struct(F.col("turn").alias("turn"), F.col("_cost").alias("cost"), *said)
+    made = {"_h": lambda w: F.collect_list(item).over(w)}
     out = lookback(sized, KEYS, "_pos", back, made, width).where(F.col("role") == "user")
     # Walk back from the newest message; count how many fit.
     start = F.struct(F.lit(0.0).alias("used"), F.lit(0).alias("n"), F.lit(True).alias("open"))
@@ -90,6 +93,7 @@ def kept_history(
     dropped = F.least(
         F.ceil((before - fitting) / 2) * 2, F.greatest(F.ceil((before - 2) / 2) * 2, F.lit(0))
     )
-    return out.select(
-        "conv_id", "turn", before.alias("n_before"), (before - dropped).alias("n_kept"), dropped.alias("first_kept")
-    )
+    n_kept = before - dropped
+    last = F.reverse(F.slice(F.reverse(F.sort_array("_h")), 1, n_kept.cast("int"))) if texts else None
+    lines = [F.array_join(F.transform(last, lambda s: s["t"]), "\n").alias("history")] if texts else []
+    return out.select("conv_id", "turn", before.alias("n_before"), n_kept.alias("n_kept"), dropped.alias("first_kept"), *lines)

@@ -79,7 +79,7 @@ def sentiment_rank(sentiment: Column) -> Column:
     return out
 
 
-def rerank_diverse(hits: DataFrame, keep: int = 5, limit: float = 0.85) -> DataFrame:
+def rerank_diverse(hits: DataFrame, keep: int = 5, limit: float = 0.85, carry: Sequence[str] = ()) -> DataFrame:
     """Sentiment order, then score; a hit too close to a kept one is dropped; first ``keep`` stay.
 
     ``hits`` holds at most k rows per query, so the greedy pass is a fold over one small array.
@@ -91,6 +91,7 @@ def rerank_diverse(hits: DataFrame, keep: int = 5, limit: float = 0.85) -> DataF
         "passage_id",
         "sentiment",
         "embedding",
+        *carry,
     )
     grouped = hits.groupBy("query_id").agg(F.sort_array(F.collect_list(item)).alias("found"))
     none = F.slice("found", 1, 0)
@@ -107,6 +108,7 @@ def rerank_diverse(hits: DataFrame, keep: int = 5, limit: float = 0.85) -> DataF
         "h.passage_id",
         "h.sentiment",
         (-F.col("h.minus_score")).alias("score"),
+        *[F.col(f"h.{c}") for c in carry],
     )
 
 

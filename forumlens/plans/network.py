@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forumlens.functions.text import tokenize
@@ -12,6 +14,7 @@ from forumlens.operators.rows import exploded
 from forumlens.plans.registry import documents, query, table
 from forumlens.plans.texts import SHORT_STOP, sql_list, sql_tokens
 from forumlens.plans.topicmodel import topic_docs
+from forumlens.session import staged
 
 # Forty subtopics: the ten labels, each split in four, with the label modulo 4 as category.
 NODES_SQL = """node_docs AS (SELECT label * 4 + vec_id % 4 AS id, 'c' || CAST(label % 4 AS VARCHAR) AS label, embedding::DOUBLE[] AS e FROM embeddings),
@@ -195,30 +198,45 @@ def sql_mixing(edges: str, w: str, keys: str = "") -> str:
         UNION ALL SELECT {k}label_v, {w}, 0.0 FROM {edges}) GROUP BY {k}label) {group}"""
 
 
+WEIGHTED_SQL = f"{EDGES_SQL}, kept AS (SELECT * FROM full_edges WHERE original_sim >= {CUT})"
+SQL_WEIGHTS = {"none": "1.0::DOUBLE", "original_sim": "original_sim", "weight": "weight", "nor_weight": "nor_weight"}
+
+
+def weighted_kept(spark: SparkSession, d: str) -> DataFrame:
+    weights = full_edges(spark, d).select("src", "dst", "weight", "nor_weight")
+    return staged(kept(spark, d).join(weights, ["src", "dst"]), "weighted")
+
+
+def weightings() -> dict[str, Column | None]:
+    return {name: None if name == "none" else F.col(name) for name in SQL_WEIGHTS}
+
+
 @query(
     "g6_modularity",
-    f"""WITH {KEPT_SQL} SELECT 'none' AS weight, round(within / m - squares / (4 * m * m), 6)::DOUBLE AS modularity FROM ({sql_mixing('kept', '1.0::DOUBLE')})
-    UNION ALL SELECT 'original_sim', round(within / m - squares / (4 * m * m), 6)::DOUBLE FROM ({sql_mixing('kept', 'original_sim')})""",
+    f"""WITH {WEIGHTED_SQL} """ + " UNION ALL ".join(
+        f"""SELECT '{name}' AS weight, round(within / m - squares / (4 * m * m), 6)::DOUBLE AS modularity FROM ({sql_mixing('kept', w)})"""
+        for name, w in SQL_WEIGHTS.items()
+    ),
 )
 def g6(spark: SparkSession, d: str) -> DataFrame:
-    edges = kept(spark, d)
-    plain = graph.modularity(edges).select(F.lit("none").alias("weight"), "modularity")
-    by_sim = graph.modularity(edges, F.col("original_sim")).select(F.lit("original_sim").alias("weight"), "modularity")
-    return plain.unionByName(by_sim).withColumn("modularity", F.round("modularity", 6))
+    edges = weighted_kept(spark, d)
+    parts = [graph.modularity(edges, w).select(F.lit(name).alias("weight"), "modularity") for name, w in weightings().items()]
+    return reduce(DataFrame.unionByName, parts).withColumn("modularity", F.round("modularity", 6))
 
 
 @query(
     "g9_assortativity",
-    f"""WITH {KEPT_SQL}, r AS (SELECT 'none' AS weight, (within / m - squares / (4 * m * m)) / (1 - squares / (4 * m * m)) AS r FROM ({sql_mixing('kept', '1.0::DOUBLE')})
-    UNION ALL SELECT 'original_sim', (within / m - squares / (4 * m * m)) / (1 - squares / (4 * m * m)) FROM ({sql_mixing('kept', 'original_sim')}))
+    f"""WITH {WEIGHTED_SQL}, r AS (""" + " UNION ALL ".join(
+        f"""SELECT '{name}' AS weight, (within / m - squares / (4 * m * m)) / (1 - squares / (4 * m * m)) AS r FROM ({sql_mixing('kept', w)})"""
+        for name, w in SQL_WEIGHTS.items()
+    ) + """)
     SELECT weight, round(r, 6)::DOUBLE AS assortativity, CASE WHEN r > 0.3 THEN 'Strong assortative mixing' WHEN r > 0 THEN 'Weak assortative mixing'
       WHEN r = 0 THEN 'No assortativity' ELSE 'Disassortative mixing' END AS verdict FROM r""",
 )
 def g9(spark: SparkSession, d: str) -> DataFrame:
-    edges = kept(spark, d)
-    plain = graph.assortativity(edges).select(F.lit("none").alias("weight"), "assortativity")
-    both = plain.unionByName(graph.assortativity(edges, F.col("original_sim")).select(F.lit("original_sim").alias("weight"), "assortativity"))
-    return both.select("weight", F.round("assortativity", 6).alias("assortativity"), stats.assortativity_verdict(F.col("assortativity")).alias("verdict"))
+    edges = weighted_kept(spark, d)
+    parts = [graph.assortativity(edges, w).select(F.lit(name).alias("weight"), "assortativity") for name, w in weightings().items()]
+    return reduce(DataFrame.unionByName, parts).select("weight", F.round("assortativity", 6).alias("assortativity"), stats.assortativity_verdict(F.col("assortativity")).alias("verdict"))
 
 
 @query(

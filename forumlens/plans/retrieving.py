@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forumlens import flows
 from forumlens.functions import text as tx
 from forumlens.functions import vectors as vec
 from forumlens.operators import clusters, conversation, counts, embedding, evaluation, retrieval, search, vector_index
@@ -258,6 +259,8 @@ def p9(spark: SparkSession, d: str) -> DataFrame:
     return found.select("query_id", "passage_id", "score")
 
 
+# Small enough that long histories of the fixture are cut.
+CONTEXT_BUDGET = 1200.0
 MOOD_SQL = "CASE sentiment WHEN 'positive' THEN 0 WHEN 'neutral' THEN 1 WHEN 'negative' THEN 2 ELSE 3 END"
 
 
@@ -305,36 +308,51 @@ def q4(spark: SparkSession, d: str) -> DataFrame:
     u AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS nth, lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS before FROM h WHERE role = 'user'),
     rep AS (SELECT *, nth - max(CASE WHEN before IS NULL OR before <> text THEN nth END) OVER (PARTITION BY conv_id ORDER BY turn) AS repeats FROM u),
     {TOP_SQL},
-    ctx AS (SELECT query_id AS vec_id, string_agg('passage ' || CAST(doc_id AS VARCHAR), chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY rank) AS context FROM top WHERE rank <= 5 GROUP BY query_id),
+    moods AS (SELECT query_id, doc_id, score, ['positive', 'neutral', 'negative', 'mixed'][CAST(doc_id % 4 AS INTEGER) + 1] AS sentiment FROM top WHERE rank <= 10),
+    listed AS (SELECT query_id, list([{{'id': doc_id, 'e': embedding::DOUBLE[]}}] ORDER BY {MOOD_SQL}, score DESC, doc_id) AS found
+      FROM moods JOIN embeddings ON vec_id = doc_id GROUP BY query_id),
+    picked AS (SELECT query_id, list_reduce(found, lambda acc, h: CASE WHEN len(list_filter(acc,
+      lambda o: list_cosine_similarity(o.e, h[1].e) > 0.3)) > 0 THEN acc ELSE list_concat(acc, h) END)[1:5] AS picked FROM listed),
+    ctx AS (SELECT query_id AS vec_id, array_to_string(list_transform(picked, lambda h: 'passage ' || CAST(h.id AS VARCHAR)), chr(10) || chr(10) || '---' || chr(10) || chr(10)) AS context FROM picked),
     ent AS (SELECT query_id AS vec_id, string_agg('Disorder Name: entity ' || CAST(doc_id AS VARCHAR) || chr(10) || 'Disorder Code: ' || CAST(doc_label AS VARCHAR) || chr(10) || 'Disorder symptoms: none',
-      chr(10) || chr(10) ORDER BY rank) AS entity_notes FROM top WHERE rank <= 4 AND score > 0.35 GROUP BY query_id)
-    SELECT rep.query_id, CASE WHEN hist IS NULL THEN 'No prior history.' ELSE 'Conversation history summary: ' || array_to_string(hist, ' ') END AS history_summary,
+      chr(10) || chr(10) ORDER BY rank) AS entity_notes FROM top WHERE rank <= 4 AND score > 0.35 GROUP BY query_id),
+    given AS (SELECT rep.query_id, rep.conv_id, rep.turn, text, CASE WHEN hist IS NULL THEN 'No prior history.' ELSE 'Conversation history summary: ' || array_to_string(hist, ' ') END AS history_summary,
       coalesce(context, '') AS context, coalesce(entity_notes, '') AS entity_notes,
       CASE WHEN repeats <= 1 THEN '' ELSE replace('{retrieval.REPEAT_NOTE}', '{{times}}', CAST(repeats + 1 AS VARCHAR))
         || CASE WHEN repeats >= 2 THEN '{retrieval.REPEAT_MORE}' ELSE '' END END AS repetition_note
-    FROM rep LEFT JOIN ctx ON rep.vec_id = ctx.vec_id LEFT JOIN ent ON rep.vec_id = ent.vec_id""",
+      FROM rep LEFT JOIN ctx ON rep.vec_id = ctx.vec_id LEFT JOIN ent ON rep.vec_id = ent.vec_id),
+    c AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS pos, role || ': ' || text AS line,
+      len({sql_words('text')}) * 1.3 + 100 AS cost FROM conversations),
+    room AS (SELECT g.*, c.pos, {CONTEXT_BUDGET} - c.cost - 100 - 1.3 * len({sql_words("context || ' ' || entity_notes || ' ' || repetition_note")}) AS left_over
+      FROM given g JOIN c ON c.conv_id = g.conv_id AND c.turn = g.turn),
+    cuts AS (SELECT r.query_id, i.i AS drop_n FROM room r, (SELECT unnest(range(0, 100, 2)) AS i) i WHERE i.i <= r.pos AND (r.pos - i.i <= 2
+      OR coalesce((SELECT sum(x.cost) FROM c x WHERE x.conv_id = r.conv_id AND x.pos < r.pos AND x.pos >= i.i), 0) <= r.left_over)),
+    first_kept AS (SELECT query_id, min(drop_n) AS drop_n FROM cuts GROUP BY query_id)
+    SELECT r.query_id, history_summary, context, entity_notes, repetition_note, r.pos - drop_n AS n_kept,
+      coalesce((SELECT string_agg(x.line, chr(10) ORDER BY x.pos) FROM c x WHERE x.conv_id = r.conv_id AND x.pos < r.pos AND x.pos >= drop_n), '') AS history
+    FROM room r JOIN first_kept USING (query_id)""",
 )
 def q5(spark: SparkSession, d: str) -> DataFrame:
-    talk = table(spark, d, "conversations")
+    """Hits of every question re-ranked, and its history cut to what the context leaves of the budget."""
     vectors = table(spark, d, "embeddings")
     id_of = F.concat(F.lit("k"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string"))
-    summary = conversation.history_summary(talk).select("conv_id", "turn", "history_summary")
-    turns = conversation.repeat_counts(talk).select("conv_id", "turn", "repeats").join(summary, ["conv_id", "turn"])
-    turns = turns.withColumn("query_id", id_of)
+    talk = table(spark, d, "conversations").withColumn("query_id", id_of)
     place = (F.col("conv_id") * 7 + F.col("turn")) % vectors.agg(F.count("*")).scalar()
-    asked = talk.where(F.col("role") == "user").select(id_of.alias("query_id"), place.alias("vec_id")).join(vectors, "vec_id")
+    asked = talk.where(F.col("role") == "user").select("query_id", place.alias("vec_id")).join(vectors, "vec_id")
+    mood = F.get(F.array(*[F.lit(x) for x in ("positive", "neutral", "negative", "mixed")]), (F.col("vec_id") % 4).cast("int"))
     corpus = vectors.select(
         F.col("vec_id").alias("passage_id"),
         F.col("vec_id").alias("entity_id"),
         F.concat(F.lit("passage "), F.col("vec_id").cast("string")).alias("content"),
+        mood.alias("sentiment"),
         F.concat(F.lit("entity "), F.col("vec_id").cast("string")).alias("name"),
         F.col("label").cast("string").alias("code"),
         F.lit("none").alias("description"),
         "embedding",
     )
-    found = search.top_inner_product(asked, corpus, 5, carry=("passage_id", "content"))
+    found = search.top_inner_product(asked, corpus, 10, carry=("passage_id", "content", "sentiment", "embedding"))
     entities = retrieval.match_entities(asked, corpus, 4, 0.35, carry=("name", "code", "description"))
-    return retrieval.assemble_context(turns, found, entities)
+    return flows.question_context(talk, found, entities, limit=0.3, budget=CONTEXT_BUDGET)
 
 
 @query(
@@ -373,6 +391,25 @@ def e1(spark: SparkSession, d: str) -> DataFrame:
     return evaluation.ndcg_at_k(listed, ["query_id"], "doc_id", "score").withColumn("ndcg", F.round("ndcg", 6))
 
 
+SAID_SQL = """said AS (SELECT conv_id, turn, role, embedding::DOUBLE[] AS e,
+    max(CASE WHEN role = 'user' THEN turn END) OVER (PARTITION BY conv_id ORDER BY turn) AS asked
+  FROM conversations JOIN embeddings ON vec_id = (conv_id * 7 + turn) % (SELECT count(*) FROM embeddings)),
+relevant AS (SELECT a.conv_id, a.turn, list_cosine_similarity(q.e, a.e) AS relevance
+  FROM said a JOIN said q ON q.conv_id = a.conv_id AND q.turn = a.asked AND q.role = 'user' WHERE a.role = 'assistant')"""
+
+
+def said(spark: SparkSession, d: str) -> DataFrame:
+    """Messages with vectors of the fixture in place of a model's."""
+    vectors = table(spark, d, "embeddings").select("vec_id", "embedding")
+    place = (F.col("conv_id") * 7 + F.col("turn")) % vectors.agg(F.count("*")).scalar()
+    return table(spark, d, "conversations").withColumn("vec_id", place).join(vectors, "vec_id").drop("vec_id")
+
+
+@query("e2_answer_relevance", f"WITH {SAID_SQL} SELECT conv_id, turn, round(relevance, 6) AS relevance FROM relevant")
+def e2_answers(spark: SparkSession, d: str) -> DataFrame:
+    return evaluation.answer_relevance(said(spark, d)).withColumn("relevance", F.round("relevance", 6))
+
+
 @query(
     "e2_semantic_relevance",
     f"""WITH {TOP_SQL} SELECT t.query_id, round(avg(list_cosine_similarity(q.embedding::DOUBLE[], p.embedding::DOUBLE[])), 6) AS relevance

@@ -9,6 +9,7 @@ from forumlens.functions import text as tx
 from forumlens.operators import conversation, counts, evaluation
 from forumlens.operators.rows import exploded
 from forumlens.plans.registry import documents, query, table
+from forumlens.plans.retrieving import SAID_SQL, said
 from forumlens.plans.texts import sql_list, sql_tokens, sql_words
 
 
@@ -203,16 +204,8 @@ def e8(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumn("similarity", F.round("similarity", 6))
 
 
-@query(
-    "e9_scorecard",
-    f"""WITH {FLESCH_SQL}, {SENTIMENT_SQL}, {PERPLEXITY_SQL},
-    judged AS (SELECT conv_id, turn, coalesce(try_cast(nullif(regexp_extract('rated ' || CAST(turn + 0.5 AS VARCHAR), '([0-9]+(?:\\.[0-9]+)?)', 1), '') AS DOUBLE), 5.0) AS helpfulness
-      FROM conversations WHERE role = 'assistant')
-    SELECT round(avg(readability), 6) AS avg_readability, round(avg(empathy), 6) AS avg_empathy, round(avg(perplexity), 6) AS avg_perplexity,
-      round(avg(helpfulness), 6) AS avg_helpfulness
-    FROM ease JOIN moods USING (conv_id, turn) JOIN perp USING (conv_id, turn) JOIN judged USING (conv_id, turn)""",
-)
-def e9(spark: SparkSession, d: str) -> DataFrame:
+def answer_scores(spark: SparkSession, d: str) -> list[DataFrame]:
+    """Readability, mood, judge score, variety of words, fluency and relevance of every answer."""
     answers = answers_of(spark, d)
     reply = F.concat(F.lit("rated "), (F.col("turn") + F.lit(0.5)).cast("string"))
     own = answers.select(
@@ -222,10 +215,38 @@ def e9(spark: SparkSession, d: str) -> DataFrame:
         tx.first_number(reply).alias("helpfulness"),
     )
     fluency = evaluation.bigram_perplexity(talk(spark, d), answers, ["conv_id", "turn"], "text")
-    card = evaluation.scorecard(own, fluency, on=["conv_id", "turn"])
+    return [own, evaluation.distinct_n(answers, ["conv_id", "turn"], "text"), fluency, evaluation.answer_relevance(said(spark, d))]
+
+
+@query(
+    "e9_scorecard",
+    f"""WITH {FLESCH_SQL}, {SENTIMENT_SQL}, {PERPLEXITY_SQL}, {SAID_SQL},
+    judged AS (SELECT conv_id, turn, coalesce(try_cast(nullif(regexp_extract('rated ' || CAST(turn + 0.5 AS VARCHAR), '([0-9]+(?:\\.[0-9]+)?)', 1), '') AS DOUBLE), 5.0) AS helpfulness
+      FROM conversations WHERE role = 'assistant'),
+    split AS (SELECT conv_id, turn, {sql_words('text')} AS w FROM conversations WHERE role = 'assistant'),
+    varied AS (SELECT conv_id, turn, CASE WHEN len(w) < 2 THEN 0 ELSE
+      len(list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])))::DOUBLE / (len(w) - 1) END AS distinct_2 FROM split)
+    SELECT round(avg(readability), 6) AS avg_readability, round(avg(empathy), 6) AS avg_empathy, round(avg(helpfulness), 6) AS avg_helpfulness,
+      round(avg(distinct_2), 6) AS avg_distinct_2, round(avg(perplexity), 6) AS avg_perplexity, round(avg(relevance), 6) AS avg_relevance
+    FROM ease JOIN moods USING (conv_id, turn) JOIN perp USING (conv_id, turn) JOIN judged USING (conv_id, turn)
+      JOIN varied USING (conv_id, turn) JOIN relevant USING (conv_id, turn)""",
+)
+def e9(spark: SparkSession, d: str) -> DataFrame:
+    card = evaluation.scorecard(*answer_scores(spark, d), on=["conv_id", "turn"])
     return card.select(*[F.round(c, 6).alias(c) for c in card.columns])
 
 
+@query("e9_scorecard_toxicity")
+def e9_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    """The same averages and that of toxicity, by a model fitted on the labelled documents."""
+    tokens = tx.tokenize(F.lower("text"), 2).alias("tokens")
+    labels = table(spark, d, "labels").select("doc_id", F.col("toxic").cast("double").alias("label"))
+    model = evaluation.toxicity_model(documents(spark, d).select("doc_id", tokens).join(labels, "doc_id"), "tokens", "label", 1 << 14)
+    toxic = evaluation.toxicity(answers_of(spark, d).select("conv_id", "turn", tokens), model).select("conv_id", "turn", "toxicity")
+    card = evaluation.scorecard(*answer_scores(spark, d), toxic, on=["conv_id", "turn"])
+    return card.select(*[F.round(c, 4).alias(c) for c in card.columns])
+
+
 @query(
     "a10_averages",
     """SELECT round(avg(l_quantity), 6) AS avg_l_quantity, round(avg(l_discount), 6) AS avg_l_discount, round(avg(l_tax), 6) AS avg_l_tax FROM lineitem""",

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from forumlens.operators import conversation as cv
-from forumlens.operators import ordered
+from forumlens.operators import evaluation, ordered
 
 SCHEMA = "conv_id int, turn bigint, role string, text string"
 
@@ -72,8 +72,9 @@ def test_repeats_of_the_fixture_case(spark):
 @pytest.mark.parametrize(("budget", "width"), [(500.0, 8), (900.0, 12), (8192.0, 16)])
 def test_kept_history(talks, budget, width):
     rows, df = talks
-    out = cv.kept_history(df, F.lit(150.0), budget=budget, width=width).collect()
+    out = cv.kept_history(df, F.lit(150.0), budget=budget, width=width, texts=True).collect()
     got = {(r["conv_id"], r["turn"]): (r["n_before"], r["n_kept"], r["first_kept"]) for r in out}
+    said = {(r["conv_id"], r["turn"]): r["history"] for r in out}
     for conv, turns in by_conv(rows).items():
         for i, (_, turn, role, _) in enumerate(turns):
             if role != "user":
@@ -82,6 +83,22 @@ def test_kept_history(talks, budget, width):
             while sum(len(t[3].split()) * 1.3 + 100 for t in history) + 150 > budget and len(history) > 2:
                 history = history[2:]
             assert got[conv, turn] == (i, len(history), i - len(history))
+            assert said[conv, turn] == "\n".join(f"{t[2]}: {t[3]}" for t in history)
+
+
+def test_answers_are_compared_with_the_latest_question(spark):
+    rows = [
+        (1, 0, "assistant", [1.0, 0.0]),  # answers nothing
+        (1, 3, "user", [1.0, 0.0]),
+        (1, 4, "user", [0.0, 2.0]),
+        (1, 9, "assistant", [0.0, 5.0]),
+        (1, 10, "assistant", [3.0, 0.0]),
+        (2, 1, "user", [1.0, 1.0]),
+        (2, 2, "assistant", [0.0, 0.0]),  # a zero vector is like nothing
+    ]
+    df = spark.createDataFrame(rows, "conv_id int, turn int, role string, embedding array<double>")
+    got = {(r["conv_id"], r["turn"]): r["relevance"] for r in evaluation.answer_relevance(df).collect()}
+    assert got == {(1, 9): 1.0, (1, 10): 0.0, (2, 2): 0.0}
 
 
 def test_running_sum_and_previous_value(spark):
