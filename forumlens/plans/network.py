@@ -121,7 +121,7 @@ def a9(spark: SparkSession, d: str) -> DataFrame:
 )
 def g1(spark: SparkSession, d: str) -> DataFrame:
     docs = embedding.tfidf_vectors(topic_docs(spark, d), "text", 64)
-    terms = topics.top_terms(topics.class_tfidf(topics.ngram_counts(docs, ["category", "topic"], "text", SHORT_STOP)))
+    terms = topics.top_terms(topics.document_tfidf(docs, "text", SHORT_STOP))
     names = docs.where(F.col("topic") == 4).select("category", "topic", F.lit("Work Stress").alias("name")).distinct()
     out = graph.build_nodes(docs, terms, names)
     return out.select("id", "label", "name", "keywords", F.round("size", 6).alias("size"), "doc_count")

@@ -174,3 +174,28 @@ def test_sweep_scores_every_configuration(spark):
     # Three groups of 25 per category: found with clusters of 10, lost with clusters of 40.
     assert by["a", 0]["silhouette"] > 0.8 and by["a", 1]["silhouette"] == 0.0
     assert all(r["combined_score"] == pytest.approx((r["coherence"] + r["diversity"] + r["silhouette"]) / 3) for r in scores)
+
+
+@pytest.mark.parametrize("n_max", [1, 2, 3, 4])
+def test_ngram_counts_equal_a_plain_count(spark, n_max):
+    rnd = random.Random(n_max)
+    texts = [" ".join(rnd.choice(["aa", "ab", "abc", "b_1", "éé"]) for _ in range(rnd.choice([0, 1, 2, 3, 4, 9, 40]))) for _ in range(30)]
+    rows = [(i % 2, i % 3 or None, t) for i, t in enumerate(texts)] + [(0, 1, None)]
+    docs = spark.createDataFrame(rows, "category int, topic int, text string")
+    tf, df = Counter(), Counter()
+    for c, t, text in rows:
+        w = (text or "").split()
+        grams = [" ".join(w[i : i + n]) for n in range(1, n_max + 1) for i in range(len(w) - n + 1)]
+        tf.update((c, t, g) for g in grams)
+        df.update((c, t, g) for g in set(grams))
+    got = topics.ngram_counts(docs, ["category", "topic"], "text", n_max=n_max).collect()
+    assert {(r["category"], r["topic"], r["term"]): (r["tf"], r["df"]) for r in got} == {k: (n, df[k]) for k, n in tf.items()}
+    assert len(got) == len(tf)
+    # The weights without written counts are the weights of the counts.
+    plain = topics.class_tfidf(spark.createDataFrame(got)).collect()
+    weights = topics.document_tfidf(docs, "text", n_max=n_max)
+    key = lambda r: (r["category"], r["topic"], r["term"], r["tf"])
+    assert {key(r): r["weight"] for r in weights.collect()} == pytest.approx({key(r): r["weight"] for r in plain})
+    plan = weights._jdf.queryExecution().toString().split("== Initial Plan ==")[0]
+    # Documents travel as runs of words once; no second shuffle for the totals.
+    assert plan.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_COL" in plan
