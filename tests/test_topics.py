@@ -199,3 +199,26 @@ def test_ngram_counts_equal_a_plain_count(spark, n_max):
     plan = weights._jdf.queryExecution().toString().split("== Initial Plan ==")[0]
     # Documents travel as runs of words once; no second shuffle for the totals.
     assert plan.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_COL" in plan
+
+
+def test_windows_of_a_long_text_are_counted_in_parts(spark, monkeypatch):
+    rnd = random.Random(3)
+    tokens = [rnd.choice("abcdefgh") for _ in range(700)]
+    at = [(i, "abc".index(w)) for i, w in enumerate(tokens) if w in "abc"]
+    pos, word = (np.array(c) for c in zip(*at))
+    for cells in (1, 7, 1 << 20):
+        monkeypatch.setattr(coherence, "CELLS", cells)
+        got = coherence._joint_windows(pos, word, 3, len(tokens), 5)
+        sets = [set(tokens[i : i + 5]) for i in range(len(tokens) - 4)]
+        assert got.tolist() == [[sum(a in s and b in s for s in sets) for b in "abc"] for a in "abc"]
+
+
+def test_a_pair_of_words_is_counted_once_for_all_topics(spark):
+    docs = spark.createDataFrame([(1, "k", "a b c a"), (2, "k", "b d"), (3, None, "a b")], "doc_id int, category string, text string")
+    lists = spark.createDataFrame([("k", t, ["a", "b"] if t < 50 else ["c", "d"]) for t in range(52)], "category string, topic int, words array<string>")
+    counted = coherence.window_counts(docs, lists, "doc_id", "text")
+    plan = counted._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert "MapInArrow" in plan and "Generate explode_outer" not in plan
+    got = {(r["topic"], r["w1"], r["w2"]): r["n"] for r in counted.collect()}
+    assert got[0, "a", "a"] == 1 and got[49, "a", "b"] == 1 and got[7, "b", "b"] == 2 and got[51, "c", "c"] == 1
+    assert (51, "c", "d") not in got and len(got) == 50 * 3 + 2 * 2
