@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -218,6 +220,8 @@ def chunk_words(df: DataFrame, key: str, text: str, size: int = 200, overlap: in
     return pos_exploded(cut, [c for c in df.columns if c != text], chunks, "chunk_no", "content")
 
 
+# Text cut up at a time.
+BYTES_AT_ONCE = 1 << 20
 SEPARATORS = ("\n\n", "\n", ". ", " ", "")
 
 
@@ -254,18 +258,24 @@ def chunk_chars(df: DataFrame, key: str, text: str, size: int = 1000, overlap: i
     """Overlapping character chunks that prefer paragraph, line and sentence borders.
 
     Recursion per text is not expressible as a column, so this is one Arrow-batched map; it is
-    narrow, and chunk ids are (document, chunk number) rather than a global counter.
+    narrow, and chunk ids are (document, chunk number) rather than a global counter. A batch is
+    cut up, and its chunks handed on, some ``BYTES_AT_ONCE`` at a time.
     """
     kept = [f for f in df.schema.fields if f.name != text]
     names = [f.name for f in kept]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", chunk_no int, content string"
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = [char_chunks(t, size, overlap) if t else [] for t in batch[text]]
-            out = batch[names].assign(content=lists, chunk_no=[list(range(len(c))) for c in lists])
-            yield out.explode(["chunk_no", "content"]).dropna(subset=["content"]).astype({"chunk_no": "int32"})[
-                [*names, "chunk_no", "content"]
-            ]
-
-    return df.select(*names, text).mapInPandas(cut, schema)
+            texts = batch.column(len(names))
+            filled = pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64).cumsum()
+            borders = [0, *(np.flatnonzero(np.diff(filled // BYTES_AT_ONCE)) + 1).tolist(), batch.num_rows]
+            for low, high in zip(borders[:-1], borders[1:]):
+                lists = [char_chunks(t, size, overlap) if t else [] for t in texts.slice(low, high - low).to_pylist()]
+                owner = pa.array(np.repeat(np.arange(low, high), [len(c) for c in lists]))
+                number = pa.array([i for c in lists for i in range(len(c))], pa.int32())
+                content = pa.array([c for chunks in lists for c in chunks], pa.string())
+                columns = [*[batch.column(i).take(owner) for i in range(len(names))], number, content]
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, "chunk_no", "content"])
+
+    return df.select(*names, text).mapInArrow(cut, schema)

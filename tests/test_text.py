@@ -232,3 +232,22 @@ def test_pairs_come_in_the_order_of_the_file(spark, tmp_path):
     assert got.split() == want.split()
     with pytest.raises(ValueError, match="more than 5"):
         read_pairs(spark, str(tmp_path / "d.json"), bound=5)
+
+
+def test_character_chunks_leave_in_bounded_batches(spark, monkeypatch):
+    import pyarrow as pa
+
+    rows = [(i, None if i % 7 == 0 else ("word %d. " % i) * (i * 3)) for i in range(60)] + [(None, "ends\n\nhere")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = sorted((k or -1, n, c) for k, t in rows for n, c in enumerate(dm.char_chunks(t, 100, 20) if t else []))
+    got = dm.chunk_chars(df, "doc_id", "text", 100, 20)
+    assert sorted((r["doc_id"] or -1, r["chunk_no"], r["content"]) for r in got.collect()) == want
+    # One large batch comes out as many small ones.
+    taken = {}
+    monkeypatch.setattr(dm, "BYTES_AT_ONCE", 4096)
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, f, schema: taken.update(f=f))
+    dm.chunk_chars(df, "doc_id", "text", 100, 20)
+    whole = pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in ((0, pa.int64()), (1, pa.string()))], names=["doc_id", "text"])
+    out = list(taken["f"](iter([whole])))
+    assert len(out) > 5 and max(b.nbytes for b in out) < 4 * 4096
+    assert sorted((r["doc_id"] or -1, r["chunk_no"], r["content"]) for b in out for r in b.to_pylist()) == want
