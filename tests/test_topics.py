@@ -214,7 +214,7 @@ def test_windows_of_a_long_text_are_counted_in_parts(spark, monkeypatch):
 
 
 def test_a_pair_of_words_is_counted_once_for_all_topics(spark):
-    docs = spark.createDataFrame([(1, "k", "a b c a"), (2, "k", "b d"), (3, None, "a b")], "doc_id int, category string, text string")
+    docs = spark.createDataFrame([(1, "k", "a b c a"), (1, "k", "a b c a"), (2, "k", "b d"), (3, None, "a b")], "doc_id int, category string, text string")
     lists = spark.createDataFrame([("k", t, ["a", "b"] if t < 50 else ["c", "d"]) for t in range(52)], "category string, topic int, words array<string>")
     counted = coherence.window_counts(docs, lists, "doc_id", "text")
     plan = counted._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
