@@ -6,6 +6,8 @@ core distances. The minimum spanning tree of that distance is found exactly: in
 component takes its shortest edge to another one, found by products of blocks that keep one edge per
 node. The tree's edges are then joined in order of length, a bounded range at a time. What joins at one length
 joins at once, so ties and the choice among equal trees change nothing (Campello, Moulavi and Sander 2013).
+Rounds are written and read back: a checkpoint keeps the size estimate of its plan, and a table joined with itself
+in every round squares it until the estimate alone fills the driver.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from forumlens.session import cut, staged
+from forumlens.session import staged
 
 # Nodes of a block and of the slice it meets; a meeting holds block x slice distances, 32 MB.
 BLOCK_ROWS = 512
@@ -140,7 +142,7 @@ def _tree_of_blocks(nodes: DataFrame) -> DataFrame:
     while True:
         met = _meetings(nodes.join(labels, "node"), ["node", "core", "component"])
         edges = met.mapInArrow(_shortest_edges, "component bigint, d double, src bigint, dst bigint, other bigint")
-        best = cut(edges.groupBy("component").agg(F.min(F.struct("d", "src", "dst", "other")).alias("e")).select("component", "e.*"))
+        best = staged(edges.groupBy("component").agg(F.min(F.struct("d", "src", "dst", "other")).alias("e")).select("component", "e.*"))
         if best.isEmpty():
             break
         chosen = best.select("src", "dst", "d").distinct()
@@ -148,14 +150,14 @@ def _tree_of_blocks(nodes: DataFrame) -> DataFrame:
         # Two components that chose each other are a root; all others lead to one.
         back = best.select(F.col("component").alias("other"), F.col("other").alias("back"))
         mutual = (F.col("back") == F.col("component")) & (F.col("component") < F.col("other"))
-        to = cut(best.join(back, "other").select("component", F.when(mutual, F.col("component")).otherwise(F.col("other")).alias("to")))
+        to = staged(best.join(back, "other").select("component", F.when(mutual, F.col("component")).otherwise(F.col("other")).alias("to")))
         while True:
             further = to.select(F.col("component").alias("to"), F.col("to").alias("next"))
-            new = cut(to.join(further, "to").select("component", F.col("next").alias("to"), (F.col("next") != F.col("to")).alias("moved")))
+            new = staged(to.join(further, "to").select("component", F.col("next").alias("to"), (F.col("next") != F.col("to")).alias("moved")))
             to = new.drop("moved")
             if new.where("moved").isEmpty():
                 break
-        labels = cut(labels.join(to, "component").select("node", F.col("to").alias("component")))
+        labels = staged(labels.join(to, "component").select("node", F.col("to").alias("component")))
     return tree.join(nodes.select("g", F.col("node").alias("src")), "src").select("g", "src", "dst", "d")
 
 
@@ -278,14 +280,14 @@ def condensed(nodes: DataFrame, tree: DataFrame, min_cluster_size: int, merge_ed
         given = of("given").select("comp", F.col("cluster").alias("_c"), F.col("near").alias("_near"))
         met = members.join(moves, "comp", "left").join(given, "comp", "left")
         # A node is given to a cluster once, while no cluster holds its component.
-        members = cut(met.select("g", "node", F.coalesce("_to", "comp").alias("comp"), F.coalesce("cluster", "_c").alias("cluster"), F.coalesce("near", "_near").alias("near")))
+        members = staged(met.select("g", "node", F.coalesce("_to", "comp").alias("comp"), F.coalesce("cluster", "_c").alias("cluster"), F.coalesce("near", "_near").alias("near")))
         kept = states.join(touched, ["g", "comp"], "left_anti")
-        states = cut(kept.unionByName(of("state").select(*kept.columns)))
+        states = staged(kept.unionByName(of("state").select(*kept.columns)))
         part = of("ended").select("g", "cluster", "parent", "chosen", "death")
-        ended = part if ended is None else cut(ended.unionByName(part))
+        ended = part if ended is None else staged(ended.unionByName(part))
     roots = states.where("cluster is not null").select("g", "cluster", F.lit(None).cast("string").alias("parent"), F.lit(False).alias("chosen"), "death")
     clusters = roots if ended is None else ended.unionByName(roots)
-    return members.where("cluster is not null").select("node", "cluster", "near"), cut(clusters)
+    return members.where("cluster is not null").select("node", "cluster", "near"), staged(clusters)
 
 
 def chosen_ancestors(clusters: DataFrame) -> DataFrame:
@@ -294,7 +296,7 @@ def chosen_ancestors(clusters: DataFrame) -> DataFrame:
     while True:
         # The way doubles in every round.
         ahead = state.select(F.col("cluster").alias("up"), F.col("up").alias("_up"), F.col("top").alias("_top"))
-        state = cut(state.join(ahead, "up", "left").select("cluster", F.col("_up").alias("up"), F.coalesce("_top", "top").alias("top")))
+        state = staged(state.join(ahead, "up", "left").select("cluster", F.col("_up").alias("up"), F.coalesce("_top", "top").alias("top")))
         if state.where("up is not null").isEmpty():
             return state.where("top is not null").select("cluster", "top")
 

@@ -156,3 +156,12 @@ def test_spanning_tree_has_the_least_length(spark, monkeypatch, whole):
 def test_nothing(spark):
     none = spark.createDataFrame([], "doc_id long, category string, reduced array<double>")
     assert density.density_hierarchy(none, 3, 5).count() == 0
+
+
+def test_rounds_do_not_square_the_size_estimate(spark):
+    """A chain of 600 clusters takes ten rounds of joining the table with itself."""
+    rows = [("", f"c{i}", f"c{i + 1}" if i < 599 else None, i == 598, 1.0) for i in range(600)]
+    clusters = spark.createDataFrame(rows, "g string, cluster string, parent string, chosen boolean, death double")
+    tops = density.chosen_ancestors(clusters)
+    assert {r["top"] for r in tops.collect()} == {"c598"} and tops.count() == 599
+    assert tops._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bitLength() < 64
