@@ -164,4 +164,4 @@ def test_rounds_do_not_square_the_size_estimate(spark):
     clusters = spark.createDataFrame(rows, "g string, cluster string, parent string, chosen boolean, death double")
     tops = density.chosen_ancestors(clusters)
     assert {r["top"] for r in tops.collect()} == {"c598"} and tops.count() == 599
-    assert tops._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bitLength() < 64
+    assert tops._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 1 << 64
