@@ -1,9 +1,10 @@
 """Exact and approximate vector search for batches of queries.
 
-Queries are packed into blocks and the corpus into slices, both of bounded size, and blocks travel
-to slices. A meeting of the two is a product of matrices that keeps k rows per query, so no
-(query, row) pair is emitted besides the kept ones, and a category or cell that holds a third of the
-corpus is just more slices.
+Queries are packed into blocks and the corpus into slices of bounded size, and slices travel to the
+blocks of their route, of which there are a fixed number while blocks stay below their bound. A block meets its
+slices one after the other in one task, which carries k rows per query, so no (query, row) pair is emitted
+besides the kept ones. Products in single precision only rule rows out, by a bound of their error; what is left is scored
+in double precision, coordinate by coordinate, so that a score does not depend on how rows are dealt.
 """
 
 from __future__ import annotations
@@ -15,17 +16,21 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from forumlens.operators.counts import top_k
 
-# Rows of a block and of a slice: with 768 dimensions of 4 bytes about 3 MB and 12 MB.
-QUERY_BLOCK = 1024
+# Blocks of a route while they hold at most QUERY_BLOCK queries, and rows of a slice: with 768 dimensions of 4 bytes 48 MB and 12 MB.
+QUERY_BLOCKS = 48
+QUERY_BLOCK = 16_384
 SLICE_ROWS = 4096
-# Scores held at a time, 32 MB.
-SCORES_AT_ONCE = 1 << 22
+# Queries whose best rows a task carries at a time, when several blocks fall to it.
+CARRIED = 65_536
+# Scores held at a time, 4 MB, and numbers of vectors scored exactly at a time, 16 MB.
+SCORES_AT_ONCE = 1 << 20
+NUMBERS_AT_ONCE = 1 << 21
 # Queries on which the number of probed cells is measured.
 PROBE_SAMPLE = 256
 # Scores are compared on this many digits, so equal vectors tie and the id decides.
@@ -36,9 +41,9 @@ def _matrix(column: pa.ListArray) -> np.ndarray:
     return np.asarray(column.flatten(), dtype=np.float64).reshape(len(column), -1)
 
 
-def _packed(side: DataFrame, sizes: DataFrame, keys: Sequence[str], rows: int, group: str, packed: str) -> DataFrame:
-    """(route, group number, list of rows) with at most about ``rows`` rows per list, dealt by a hash of the keys."""
-    number = F.pmod(F.xxhash64(*keys), F.ceil(F.col("n") / rows)).cast("int").alias(group)
+def _packed(side: DataFrame, sizes: DataFrame, keys: Sequence[str], groups: Column, group: str, packed: str) -> DataFrame:
+    """(route, group number, list of rows), dealt to ``groups`` lists by a hash of the keys."""
+    number = F.pmod(F.xxhash64(*keys), groups).cast("int").alias(group)
     item = F.struct(*keys, "vector").alias("item")
     dealt = side.join(sizes, "route").select("route", number, item)
     return dealt.groupBy("route", group).agg(F.collect_list("item").alias(packed))
@@ -52,28 +57,111 @@ def _best(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return at[np.lexsort((ids[at], -score[at]))][:k]
 
 
-def _meet(k: int, n_keys: int, names: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Score a list of queries against a list of corpus rows and keep the k best of each query."""
+def _first_of_equals(stored: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Positions of the rows that can be among the k best: of equal vectors only those of the k smallest ids."""
+    # Equal vectors have equal sums; a look at these mostly shows that there are few.
+    sums = np.sort((stored * np.arange(1.0, stored.shape[1] + 1)).sum(axis=1))
+    if len(sums) <= k or not (sums[k:] == sums[:-k]).any():
+        return np.arange(len(stored))
+    rows = np.ascontiguousarray(stored).view(np.dtype((np.void, stored.shape[1] * stored.itemsize))).ravel()
+    _, same, n = np.unique(rows, return_inverse=True, return_counts=True)
+    if n.max(initial=0) <= k:
+        return np.arange(len(rows))
+    order = np.lexsort((_comparable(ids), same))
+    return np.sort(order[np.arange(len(order)) - np.repeat(np.cumsum(n) - n, n) < k])
+
+
+def _comparable(ids: np.ndarray) -> np.ndarray:
+    return ids if ids.dtype.kind in "iuf" else pd.factorize(ids, sort=True)[0]
+
+
+class _Kept:
+    """The k best rows so far of every query of a block: highest score, then smallest id."""
+
+    def __init__(self, keys: list[pa.Array], asked: np.ndarray, k: int) -> None:
+        self.keys, self.q, self.k = keys, asked, k
+        self.length = np.sqrt((asked**2).sum(axis=1))
+        self.least = np.full(len(asked), -np.inf)
+        self.who, self.score, self.ids = np.zeros(0, np.int64), np.zeros(0), None
+
+    def meet(self, stored: np.ndarray, ids: np.ndarray) -> None:
+        first = _first_of_equals(stored, ids, self.k)
+        stored, ids = stored[first], ids[first]
+        # Single precision only where its range holds the products.
+        largest = max(np.abs(self.q).max(initial=0), np.abs(stored).max(initial=0))
+        kind = np.float32 if largest < 1e15 else np.float64
+        q, c = self.q.astype(kind), stored.astype(kind).T
+        far = (stored.shape[1] + 8) * np.finfo(kind).eps * np.sqrt((stored**2).sum(axis=1)).max(initial=0)
+        step = max(1, SCORES_AT_ONCE // max(1, len(ids)))
+        for start in range(0, len(q), step):
+            near = q[start : start + step] @ c
+            error = far * self.length[start : start + step]
+            least = self.least[start : start + step] - error
+            if len(ids) > self.k and np.isinf(least).any():
+                # k rows of this slice are at least this near.
+                least = np.maximum(least, np.partition(near, len(ids) - self.k, axis=1)[:, len(ids) - self.k] - 2 * error)
+            border = np.nextafter((least - 10.0**-DIGITS).astype(kind), kind(-np.inf))
+            row, what = np.divmod(np.flatnonzero(near >= border[:, None]), len(ids))
+            self._add(row + start, what, stored, ids)
+
+    def _add(self, row: np.ndarray, what: np.ndarray, stored: np.ndarray, ids: np.ndarray) -> None:
+        step = max(1, NUMBERS_AT_ONCE // stored.shape[1])
+        for i in range(0, len(row), step):
+            who, at = row[i : i + step], what[i : i + step]
+            score = np.zeros(len(who))
+            for j in range(stored.shape[1]):
+                score += self.q[who, j] * stored[at, j]
+            score = np.round(score, DIGITS)
+            fits = score >= self.least[who]
+            if fits.any():
+                self._merge(who[fits], score[fits], ids[at[fits]])
+
+    def _merge(self, who: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
+        touched = np.zeros(len(self.q), bool)
+        touched[who] = True
+        old = touched[self.who]
+        held = ids[:0] if self.ids is None else self.ids
+        who, score, ids = np.r_[self.who[old], who], np.r_[self.score[old], score], np.concatenate([held[old], ids])
+        order = np.lexsort((_comparable(ids), -score, who))
+        who, score, ids = who[order], score[order], ids[order]
+        n = np.bincount(who, minlength=len(self.q))
+        place = np.arange(len(who)) - np.repeat(np.cumsum(n) - n, n)
+        last = place == self.k - 1
+        self.least[who[last]] = score[last]
+        best = place < self.k
+        self.who, self.score = np.r_[self.who[~old], who[best]], np.r_[self.score[~old], score[best]]
+        self.ids = np.concatenate([held[~old], ids[best]])
+
+    def rows(self, names: list[str], kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(self.who), 1 << 16):
+            at = slice(i, i + (1 << 16))
+            who, ids = pa.array(self.who[at]), pa.array(self.ids[at].tolist(), kind)
+            yield pa.RecordBatch.from_arrays([*[key.take(who) for key in self.keys], ids, pa.array(self.score[at])], names=names)
+
+
+def _meet(k: int, names: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Score lists of queries against lists of corpus rows and keep the k best of each query."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # What is kept of a block leaves once; should it leave in parts, the final choice is the same.
+        blocks: dict[tuple, _Kept] = {}
+        kind = pa.null()
         for batch in batches:
             for i in range(batch.num_rows):
-                *keys, asked = batch.column(0).slice(i, 1).flatten().flatten()
-                ids, stored = batch.column(1).slice(i, 1).flatten().flatten()
-                q, c = _matrix(asked), _matrix(stored)
-                order = np.array(ids.to_pylist())
-                step = max(1, SCORES_AT_ONCE // max(1, len(c)))
-                who, what, how = [], [], []
-                for start in range(0, len(q), step):
-                    scores = np.round(q[start : start + step] @ c.T, DIGITS)
-                    for row, score in enumerate(scores):
-                        best = _best(score, order, k)
-                        who.append(np.full(len(best), start + row))
-                        what.append(best)
-                        how.append(score[best])
-                who, what = pa.array(np.concatenate(who)), pa.array(np.concatenate(what))
-                columns = [*[key.take(who) for key in keys], ids.take(what), pa.array(np.concatenate(how))]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+                block = (batch.column(0)[i].as_py(), batch.column(1)[i].as_py())
+                if block not in blocks:
+                    *keys, asked = batch.column(2).slice(i, 1).flatten().flatten()
+                    if sum(len(b.q) for b in blocks.values()) + len(asked) > CARRIED:
+                        for b in blocks.values():
+                            yield from b.rows(names, kind)
+                        blocks = {}
+                    # Copied: a view would hold the whole batch.
+                    blocks[block] = _Kept([pa.concat_arrays([key.take(pa.array(np.arange(len(key))))]) for key in keys], _matrix(asked).copy(), k)
+                ids, stored = batch.column(3).slice(i, 1).flatten().flatten()
+                kind = ids.type
+                blocks[block].meet(_matrix(stored), np.array(ids.to_pylist()) if pa.types.is_integer(kind) else np.array(ids.to_pylist(), object))
+        for b in blocks.values():
+            yield from b.rows(names, kind)
 
     return run
 
@@ -96,8 +184,8 @@ def top_inner_product(
     ``carry`` lists corpus columns to return, the unique id first. With ``route`` (corpus column)
     and ``routes`` (array column of the queries) a query meets only rows of its routes. Rows with a
     null vector, on either side, take no part. Neither side is gathered: queries are packed into
-    blocks and the corpus into slices, every block is sent to the slices of its route, and each
-    meeting keeps k rows per query, as ids; other columns are joined to the final k.
+    blocks and the corpus into slices, every slice is sent to the blocks of its route, and a
+    block keeps k rows per query, as ids; other columns are joined to the final k.
     """
     ident = carry[0]
     # Without routes all rows share one, made from a column: a constant would turn joins on it into pairings.
@@ -111,18 +199,20 @@ def top_inner_product(
     asked = queries.where(F.col(vector).isNotNull()).select(
         wanted.alias("route"), *[F.col(c).alias(n) for c, n in zip(query_keys, names)], F.col(vector).alias("vector")
     )
-    count = lambda df: df.groupBy("route").agg(F.count("*").alias("n"))
-    held = count(stored)
-    slices = _packed(stored, held, ["ident"], slice_rows, "slice", "rows")
-    blocks = _packed(asked, count(asked), names, block, "block", "queries").join(held, "route")
-    everywhere = F.sequence(F.lit(0), F.ceil(F.col("n") / slice_rows).cast("int") - 1)
-    sent = blocks.select("route", "queries", F.explode(everywhere).alias("slice"))
-    met = sent.join(slices, ["route", "slice"]).select("queries", "rows")
+    count = lambda df, n: df.groupBy("route").agg(F.count("*").alias(n))
+    held, wait = count(stored, "n"), count(asked, "n")
+    slices = _packed(stored, held, ["ident"], F.ceil(F.col("n") / slice_rows), "slice", "rows")
+    n_blocks = F.greatest(F.least("n", F.lit(QUERY_BLOCKS)), F.ceil(F.col("n") / block)).cast("int")
+    blocks = _packed(asked, wait, names, n_blocks, "block", "queries")
+    everywhere = F.explode(F.sequence(F.lit(0), n_blocks - 1))
+    sent = slices.join(wait, "route").select("route", everywhere.alias("block"), "rows")
+    # Hashed, not sorted: slices stream past the blocks of their task.
+    met = sent.join(blocks.hint("shuffle_hash"), ["route", "block"]).select("route", "block", "queries", "rows")
     out_schema = StructType(
         [StructField(n, queries.schema[c].dataType) for c, n in zip(query_keys, names)]
         + [StructField("ident", corpus.schema[ident].dataType), StructField("score", DoubleType())]
     )
-    found = met.mapInArrow(_meet(k, len(names), out_schema.names), out_schema)
+    found = met.mapInArrow(_meet(k, out_schema.names), out_schema)
     best = top_k(found, names, [F.desc("score"), F.asc("ident")], k)
     # Joined under names of their own, since a query key may be called like a corpus column.
     shown = corpus.select(F.col(ident).alias("_ident"), F.struct(*[F.col(c) for c in carry]).alias("_row"))
@@ -202,7 +292,7 @@ def approximate_top(
 ) -> DataFrame:
     """As ``top_inner_product`` but a query only meets the rows of its ``probes`` nearest cells.
 
-    Every row keeps its exact score. A query block is sent to the slices of its cells only.
+    Every row keeps its exact score. Slices are sent to the query blocks of their cell only.
     """
     located = _located(corpus, model, vector)
     centres = np.array(model.clusterCenters())

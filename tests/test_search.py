@@ -126,3 +126,22 @@ def test_many_blocks_give_one_plan_and_null_vectors_take_no_part(data):
     rows = {tuple(r) for r in many.select("query_id", "doc_id", "rank").collect()}
     assert rows == {tuple(r) for r in few.select("query_id", "doc_id", "rank").collect()}
     assert len({q for q, _, _ in rows}) == 299 and 5 not in {q for q, _, _ in rows} and 7 not in {d for _, d, _ in rows}
+
+
+def test_a_block_carries_its_best_rows_past_all_slices():
+    """Twelve slices against one block: k rows a query leave, equal vectors keep the smallest ids, scores are exact."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    q, c = (np.float32(rng.normal(size=(n, 8))).astype(float) for n in (30, 600))
+    c[::3] = c[0]
+    item = lambda name, x, at: {name: int(at), "vector": x[at].tolist()}
+    asked = [item("key0", q, i) for i in range(30)]
+    pairs = [{"route": "", "block": 0, "queries": asked, "rows": [item("ident", c, i) for i in range(s, 600, 12)]} for s in range(12)]
+    side = lambda name: pa.list_(pa.struct([(name, pa.int64()), ("vector", pa.list_(pa.float64()))]))
+    schema = pa.schema([("route", pa.string()), ("block", pa.int32()), ("queries", side("key0")), ("rows", side("ident"))])
+    batches = [pa.RecordBatch.from_pylist(pairs[i : i + 4], schema) for i in (0, 4, 8)]
+    found = [r for b in search._meet(5, ["key0", "ident", "score"])(iter(batches)) for r in b.to_pylist()]
+    score = np.round(sum(q[:, None, j] * c[None, :, j] for j in range(8)), search.DIGITS)
+    want = {(i, int(j), score[i, j]) for i in range(30) for j in np.lexsort((np.arange(600), -score[i]))[:5]}
+    assert len(found) == 150 and {(r["key0"], r["ident"], r["score"]) for r in found} == want
