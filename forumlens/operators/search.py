@@ -22,8 +22,9 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from forumlens.operators.counts import top_k
 
-# Blocks of a route while they hold at most QUERY_BLOCK queries, and rows of a slice: with 768 dimensions of 4 bytes 48 MB and 12 MB.
+# Blocks of a route while they hold LEAST_BLOCK to QUERY_BLOCK queries, and rows of a slice: with 768 dimensions of 4 bytes 48 MB and 12 MB.
 QUERY_BLOCKS = 48
+LEAST_BLOCK = 64
 QUERY_BLOCK = 16_384
 SLICE_ROWS = 4096
 # Queries whose best rows a task carries at a time, when several blocks fall to it.
@@ -202,7 +203,7 @@ def top_inner_product(
     count = lambda df, n: df.groupBy("route").agg(F.count("*").alias(n))
     held, wait = count(stored, "n"), count(asked, "n")
     slices = _packed(stored, held, ["ident"], F.ceil(F.col("n") / slice_rows), "slice", "rows")
-    n_blocks = F.greatest(F.least("n", F.lit(QUERY_BLOCKS)), F.ceil(F.col("n") / block)).cast("int")
+    n_blocks = F.greatest(F.least(F.ceil(F.col("n") / LEAST_BLOCK), F.lit(QUERY_BLOCKS)), F.ceil(F.col("n") / block)).cast("int")
     blocks = _packed(asked, wait, names, n_blocks, "block", "queries")
     everywhere = F.explode(F.sequence(F.lit(0), n_blocks - 1))
     sent = slices.join(wait, "route").select("route", everywhere.alias("block"), "rows")
