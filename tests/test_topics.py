@@ -5,12 +5,13 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from forumlens.operators import clusters, coherence, sweep, topics
+from forumlens.operators import clusters, coherence, ngrams, sweep, topics
 
 
 def test_ngrams_and_document_frequency(spark):
@@ -210,6 +211,50 @@ def test_ngram_counts_equal_a_plain_count(spark, n_max):
     assert plan.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_COL" in plan
 
 
+@pytest.mark.parametrize("n_max", [1, 3, 5])
+def test_parcels_of_many_chunks_give_a_plain_count(monkeypatch, n_max):
+    """Several chunks, keys in any order and repeated, lists and nulls in keys, and codes too large to be sorted with their places."""
+    monkeypatch.setattr(ngrams, "CHUNK_BYTES", 900)
+    rnd = random.Random(n_max)
+    rows = [({"a": rnd.choice(["x", "y", None]), "b": [rnd.randrange(2)]}, " ".join(f"w{int(rnd.expovariate(0.2))}" for _ in range(rnd.choice([0, 1, 2, 30])))) for _ in range(90)]
+    kind = pa.struct([("a", pa.string()), ("b", pa.list_(pa.int64()))])
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], kind), pa.array([r[1] for r in rows]), pa.array([3] * len(rows), pa.int32())], names=["key", "words", "buckets"])
+    parcels = pa.Table.from_batches(list(ngrams._packed(n_max, [0])(iter([batch.slice(0, 40), batch.slice(40)]))))
+    tf, df, total, sizes = Counter(), Counter(), Counter(), Counter()
+    for key, text in rows:
+        w, k = text.split(), ngrams._frozen(key)
+        grams = [" ".join(w[i : i + n]) for n in range(1, n_max + 1) for i in range(len(w) - n + 1)]
+        tf.update((k, g) for g in grams)
+        df.update((k, g) for g in set(grams))
+        total.update((k[0], g) for g in grams)
+        sizes[k] += len(grams)
+    stated, got = Counter(), {}
+    for keys, grams in zip(parcels["keys"].to_pylist(), parcels["grams"].to_pylist()):
+        for k, n in zip(keys, grams):
+            stated[ngrams._frozen(k)] += n
+    for bucket in set(parcels["bucket"].to_pylist()):
+        own = parcels.filter(pa.array([b == bucket for b in parcels["bucket"].to_pylist()]))
+        for r in ngrams._counted(n_max, [0], ["a", "b", "term", "tf", "df", "total"])(own).to_pylist():
+            k = ((r["a"], tuple(r["b"])), r["term"])
+            assert k not in got
+            got[k] = (r["tf"], r["df"], r["total"])
+    assert len(parcels) > 6 and +stated == +sizes
+    assert got == {k: (n, df[k], total[k[0][0], k[1]]) for k, n in tf.items()}
+    wide = np.array([5, 2**40, 5, 7, 2**40])
+    assert ngrams._sorted(wide, 2**62).tolist() == ngrams._sorted(wide, 2**41).tolist() == [0, 2, 3, 1, 4]
+    code, most = ngrams._codes([wide, wide[::-1], wide], 2**41)
+    assert ngrams._sorted(code, most).tolist() == [2, 0, 3, 4, 1] and most < 2**63
+
+
+def test_top_terms_keep_few_rows_before_they_sort(spark):
+    rows = [("a", t, f"{i:03d}", round(1.0 - (i // 7) / 50, 3) + i % 2 * 1e-14, i) for t in (None, 1) for i in range(200)]
+    weights = spark.createDataFrame(rows, "category string, topic int, term string, weight double, tf int").repartition(7)
+    out = topics.top_terms(weights, k=10)
+    assert {(r["topic"], r["term"], r["tf"], r["rank"]) for r in out.collect()} == {(t, f"{i:03d}", i, i + 1) for t in (None, 1) for i in range(10)}
+    assert out.columns == [*weights.columns, "rank"]
+    assert "partial_collect_top_k" in out._jdf.queryExecution().toString()
+
+
 def test_windows_of_a_long_text_are_counted_in_parts(spark, monkeypatch):
     rnd = random.Random(3)
     tokens = [rnd.choice("abcdefgh") for _ in range(700)]
