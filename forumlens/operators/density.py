@@ -3,8 +3,9 @@
 Points of one vector are one node with a count. The core distance of a node is the distance to its
 ``min_samples``-th nearest other point, and two nodes are as far apart as the largest of their distance and both
 core distances. The minimum spanning tree of that distance is found exactly: in every round each
-component takes its shortest edge to another one, found by products of blocks that keep one edge per
-node. The tree's edges are then joined in order of length, a bounded range at a time. What joins at one length
+component takes its shortest edge to another one. Nodes lie in blocks of neighbours. A block is searched by itself first,
+which bounds what is looked for, and then meets only the blocks whose box lies within that bound.
+The tree's edges are then joined in order of length, a bounded range at a time. What joins at one length
 joins at once, so ties and the choice among equal trees change nothing (Campello, Moulavi and Sander 2013).
 Rounds are written and read back: a checkpoint keeps the size estimate of its plan, and a table joined with itself
 in every round squares it until the estimate alone fills the driver.
@@ -17,14 +18,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forumlens.session import staged
 
-# Nodes of a block and of the slice it meets; a meeting holds block x slice distances, 32 MB.
-BLOCK_ROWS = 512
-SLICE_ROWS = 8192
+# Nodes of a block, a meeting holds the distances of two, 8 MB; and nodes that one task lays out in blocks.
+BLOCK_ROWS = 1024
+SLICE_ROWS = 65_536
 # Nodes of a group that one task joins by itself.
 WHOLE_ROWS = 4096
 # Edges joined by one task; a length shared by more edges is still joined at once.
@@ -32,6 +33,8 @@ MERGE_EDGES = 500_000
 # Distances are compared on this many decimals; shorter ones than this count as this.
 DIGITS = 9
 LEAST = 10.0**-DIGITS
+# Bounds are widened by this, absolute and relative, since distances are rounded.
+SLACK = 1e-8
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -48,16 +51,92 @@ def _rows(flat: pa.StructArray, fields: list[str]) -> dict[str, np.ndarray]:
     return out
 
 
-def _meetings(nodes: DataFrame, fields: list[str]) -> DataFrame:
-    """Every block of nodes with every slice of the same group, as two lists of rows."""
-    sizes = nodes.groupBy("g").agg(F.count("*").alias("all"))
-    item = F.struct(*fields, "vector")
-    deal = lambda rows: F.pmod(F.xxhash64("node"), F.ceil(F.col("all") / rows)).cast("int")
-    sized = nodes.join(sizes, "g")
-    blocks = sized.withColumn("b", deal(BLOCK_ROWS)).groupBy("g", "b", "all").agg(F.collect_list(item).alias("left"))
-    slices = sized.withColumn("s", deal(SLICE_ROWS)).groupBy("g", "s").agg(F.collect_list(item).alias("right"))
-    everywhere = F.sequence(F.lit(0), F.ceil(F.col("all") / SLICE_ROWS).cast("int") - 1)
-    return blocks.select("g", "left", F.explode(everywhere).alias("s")).join(slices, ["g", "s"]).select("left", "right")
+def _laid(nodes: DataFrame) -> DataFrame:
+    """Adds ``b`` to nodes (g, node, vector, ..): the number of its block among those of the group.
+
+    Nodes are ordered along a curve through their first eight coordinates at most, cut into ranges, and ranges into
+    blocks. The order decides only how much is searched.
+    """
+    dims = min(8, nodes.agg(F.min(F.size("vector"))).first()[0] or 0)
+    x = F.slice("vector", 1, dims) if dims else F.array().cast("array<double>")
+    bounds = nodes.select(F.posexplode(x).alias("i", "x")).groupBy("i").agg(F.min("x").alias("low"), F.max("x").alias("high"))
+    bounds = sorted((r["i"], r["low"], r["high"]) for r in bounds.collect())
+    bits = 62 // max(dims, 1)
+
+    @F.pandas_udf("long")
+    def curve(vectors: pd.Series) -> pd.Series:
+        place = np.zeros(len(vectors), np.int64)
+        if dims:
+            table = np.stack(vectors.to_list())
+            for i, low, high in bounds:
+                cell = np.nan_to_num((table[:, i] - low) / ((high - low) or 1.0)).clip(0, 1) * (2.0**bits - 1)
+                for bit in range(bits):
+                    place |= ((cell.astype(np.int64) >> bit) & 1) << (bit * dims + i)
+        return pd.Series(place)
+
+    parts = max(1, -(-nodes.count() // SLICE_ROWS))
+    ranged = nodes.withColumn("_z", curve(x)).repartitionByRange(parts, "g", "_z", "node").withColumn("_p", F.spark_partition_id())
+    number = F.row_number().over(Window.partitionBy("g", "_p").orderBy("_z", "node")) - 1
+    block = F.col("_p").cast("bigint") * (1 << 32) + F.floor(number / BLOCK_ROWS)
+    return staged(staged(ranged, "ranges").withColumn("b", block).drop("_z", "_p"), "laid")
+
+
+def _boxes(nodes: DataFrame) -> DataFrame:
+    """(g, b, box): least and largest value of every coordinate of a block."""
+    sides = nodes.select("g", "b", F.posexplode("vector").alias("i", "x")).groupBy("g", "b", "i")
+    sides = sides.agg(F.min("x").alias("low"), F.max("x").alias("high"))
+    return sides.groupBy("g", "b").agg(F.sort_array(F.collect_list(F.struct("i", "low", "high"))).alias("box"))
+
+
+def _packed(nodes: DataFrame, fields: list[str]) -> DataFrame:
+    return nodes.groupBy("g", "b").agg(F.collect_list(F.struct(*fields, "vector")).alias("rows"))
+
+
+def _alone(nodes: DataFrame, fields: list[str]) -> DataFrame:
+    """Every block with itself, as two lists of rows."""
+    own = _packed(nodes.withColumn("reach", F.lit(float("inf"))), [*fields, "reach"])
+    return own.select(F.col("rows").alias("left"), F.col("rows").alias("right"))
+
+
+def near_blocks(boxes: DataFrame) -> DataFrame:
+    """(g, b, other): other blocks of the group within ``reach`` of a block (g, b, box, reach, one); blocks of ``one`` same value do not meet.
+
+    One row per block meets another, so this grows with the square of the number of blocks, not of nodes.
+    """
+    other = boxes.select("g", F.col("b").alias("other"), F.col("box").alias("_box"), F.col("one").alias("_one"))
+    apart = F.zip_with("box", "_box", lambda a, b: F.greatest(b["low"] - a["high"], a["low"] - b["high"], F.lit(0.0)))
+    gap = F.sqrt(F.aggregate(apart, F.lit(0.0), lambda s, x: s + x * x))
+    met = boxes.join(other, "g").where((F.col("b") != F.col("other")) & F.coalesce(F.col("one") != F.col("_one"), F.lit(True)))
+    return met.where(gap * (1 - SLACK) - SLACK <= F.col("reach")).select("g", "b", "other")
+
+
+def _meetings(nodes: DataFrame, boxes: DataFrame, fields: list[str], one: Column) -> DataFrame:
+    """Blocks of nodes (g, b, ``fields``, reach, vector) and the blocks within the largest reach of theirs, as two lists of rows."""
+    wide = nodes.groupBy("g", "b").agg(F.max("reach").alias("reach"), one.alias("one"))
+    pairs = near_blocks(staged(boxes.join(wide, ["g", "b"]), "wide"))
+    blocks = staged(_packed(nodes, [*fields, "reach"]), "blocks")
+    right = blocks.select("g", F.col("b").alias("other"), F.col("rows").alias("right"))
+    return pairs.join(blocks, ["g", "b"]).join(right, ["g", "other"]).select(F.col("rows").alias("left"), "right")
+
+
+def _within(a: dict[str, np.ndarray], b: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
+    """The rows of ``a`` that may find one of ``b`` within their reach, and the rows of ``b`` that any of them may find."""
+
+    def near(x: np.ndarray, box: np.ndarray, reach: np.ndarray) -> np.ndarray:
+        gap = np.sqrt((np.maximum(np.maximum(box.min(axis=0) - x, x - box.max(axis=0)), 0) ** 2).sum(axis=1))
+        return gap * (1 - SLACK) - SLACK <= reach
+
+    own = near(a["vector"], b["vector"], a["reach"])
+    if "core" in a:
+        own &= a["core"] <= a["reach"]
+    a = {k: v[own] for k, v in a.items()}
+    if own.any():
+        reach = a["reach"].max()
+        there = near(b["vector"], a["vector"], reach)
+        if "core" in b:
+            there &= b["core"] <= reach
+        b = {k: v[there] for k, v in b.items()}
+    return a, b
 
 
 def core_distances(nodes: DataFrame, min_samples: int) -> DataFrame:
@@ -66,7 +145,9 @@ def core_distances(nodes: DataFrame, min_samples: int) -> DataFrame:
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                a, b = (_rows(batch.column(c).slice(i, 1).flatten(), ["node", "n"]) for c in (0, 1))
+                a, b = _within(*(_rows(batch.column(c).slice(i, 1).flatten(), ["node", "n", "reach"]) for c in (0, 1)))
+                if not len(a["node"]) or not len(b["node"]):
+                    continue
                 d = distances(a["vector"], b["vector"])
                 # At most so many distinct neighbours hold the wanted one; a node itself is one of them.
                 k = min(min_samples + 1, d.shape[1])
@@ -74,15 +155,24 @@ def core_distances(nodes: DataFrame, min_samples: int) -> DataFrame:
                 who = np.repeat(np.arange(len(d)), k)
                 near = at.ravel()
                 others = b["n"][near] - (b["node"][near] == a["node"][who])
+                kept = d[who, near] <= a["reach"][who]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(a["node"][who]), pa.array(d[who, near]), pa.array(others.astype(np.int64))], names=["node", "d", "others"]
+                    [pa.array(a["node"][who[kept]]), pa.array(d[who, near][kept]), pa.array(others[kept].astype(np.int64))], names=["node", "d", "others"]
                 )
 
-    found = _meetings(nodes, ["node", "n"]).mapInArrow(nearest, "node bigint, d double, others bigint")
-    # A few rows per node and slice.
-    summed = F.sum("others").over(Window.partitionBy("node").orderBy("d").rangeBetween(Window.unboundedPreceding, 0))
-    reached = found.withColumn("sum", summed).groupBy("node").agg(F.min(F.when(F.col("sum") >= min_samples, F.col("d"))).alias("core"), F.max("d").alias("far"))
-    return nodes.join(reached.select("node", F.coalesce("core", "far").alias("core")), "node")
+    def reached(found: DataFrame) -> DataFrame:
+        # A few rows per node and block.
+        summed = F.sum("others").over(Window.partitionBy("node").orderBy("d").rangeBetween(Window.unboundedPreceding, 0))
+        return found.withColumn("sum", summed).groupBy("node").agg(F.min(F.when(F.col("sum") >= min_samples, F.col("d"))).alias("core"), F.max("d").alias("far"))
+
+    schema = "node bigint, d double, others bigint"
+    laid = _laid(nodes)
+    own = staged(_alone(laid, ["node", "n"]).mapInArrow(nearest, schema), "own")
+    # No core distance is larger than within the block.
+    bound = reached(own).select("node", F.coalesce("core", F.lit(float("inf"))).alias("reach"))
+    met = _meetings(staged(laid.join(bound, "node"), "bounded"), _boxes(laid), ["node", "n"], F.lit(None).cast("bigint"))
+    found = reached(own.unionByName(met.mapInArrow(nearest, schema)))
+    return nodes.join(found.select("node", F.coalesce("core", "far").alias("core")), "node")
 
 
 def _whole_tree(rows: pd.DataFrame) -> pd.DataFrame:
@@ -116,10 +206,12 @@ def spanning_tree(nodes: DataFrame) -> DataFrame:
 
 
 def _shortest_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per node of a block its shortest edge to another component of the slice."""
+    """Per component of a block its shortest edge to another component of the block it meets."""
     for batch in batches:
         for i in range(batch.num_rows):
-            a, b = (_rows(batch.column(c).slice(i, 1).flatten(), ["node", "core", "component"]) for c in (0, 1))
+            a, b = _within(*(_rows(batch.column(c).slice(i, 1).flatten(), ["node", "core", "component", "reach"]) for c in (0, 1)))
+            if not len(a["node"]) or not len(b["node"]):
+                continue
             d = np.maximum(np.maximum(distances(a["vector"], b["vector"]), a["core"][:, None]), b["core"][None, :])
             d[a["component"][:, None] == b["component"][None, :]] = np.inf
             best = d.min(axis=1)
@@ -130,18 +222,31 @@ def _shortest_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             src = np.where(tied, low, none).min(axis=1)
             last = np.where(tied & (low == src[:, None]), high, none)
             to = last.argmin(axis=1)
-            there = np.isfinite(best)
             columns = [a["component"], best, src, last[np.arange(len(to)), to], b["component"][to]]
-            yield pa.RecordBatch.from_arrays([pa.array(c[there]) for c in columns], names=["component", "d", "src", "dst", "other"])
+            order = np.lexsort((columns[3], src, best, a["component"]))
+            order = order[np.isfinite(best[order])]
+            owner = a["component"][order]
+            first = order[np.r_[True, owner[1:] != owner[:-1]]] if len(order) else order
+            yield pa.RecordBatch.from_arrays([pa.array(c[first]) for c in columns], names=["component", "d", "src", "dst", "other"])
 
 
 def _tree_of_blocks(nodes: DataFrame) -> DataFrame:
     """In every round each component takes its shortest edge out; so a few rounds suffice."""
+    nodes = _laid(nodes)
+    boxes = staged(_boxes(nodes), "boxes")
     labels = nodes.select("node", F.col("node").alias("component"))
     tree = None
+    fields, schema = ["node", "core", "component"], "component bigint, d double, src bigint, dst bigint, other bigint"
+    # Blocks of one and the same component have no edge for each other.
+    one = F.when(F.min("component") == F.max("component"), F.min("component"))
     while True:
-        met = _meetings(nodes.join(labels, "node"), ["node", "core", "component"])
-        edges = met.mapInArrow(_shortest_edges, "component bigint, d double, src bigint, dst bigint, other bigint")
+        held = staged(nodes.join(labels, "node"), "held")
+        own = staged(_alone(held, fields).mapInArrow(_shortest_edges, schema), "own")
+        # No shortest edge is longer than one inside a block.
+        bound = own.groupBy("component").agg(F.min("d").alias("reach"))
+        bounded = held.join(bound, "component", "left").withColumn("reach", F.coalesce("reach", F.lit(float("inf"))))
+        met = _meetings(staged(bounded, "bounded"), boxes, fields, one)
+        edges = own.unionByName(met.mapInArrow(_shortest_edges, schema))
         best = staged(edges.groupBy("component").agg(F.min(F.struct("d", "src", "dst", "other")).alias("e")).select("component", "e.*"))
         if best.isEmpty():
             break

@@ -165,3 +165,19 @@ def test_rounds_do_not_square_the_size_estimate(spark):
     tops = density.chosen_ancestors(clusters)
     assert {r["top"] for r in tops.collect()} == {"c598"} and tops.count() == 599
     assert tops._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 1 << 64
+
+
+def test_only_near_blocks_meet(spark, monkeypatch):
+    """A grid of 900 nodes in blocks of 25: what is within 1 of a block lies in a few blocks around it."""
+    monkeypatch.setattr(density, "BLOCK_ROWS", 25)
+    monkeypatch.setattr(density, "SLICE_ROWS", 300)
+    rows = [("+", 30 * i + j, [float(i), float(j)]) for i in range(30) for j in range(30)]
+    nodes = density._laid(spark.createDataFrame(rows, "g string, node long, vector array<double>"))
+    sizes = {r["b"]: r["count"] for r in nodes.groupBy("b").count().collect()}
+    assert max(sizes.values()) <= 25 and sum(sizes.values()) == 900 and len(sizes) < 60
+    boxes = density._boxes(nodes).selectExpr("g", "b", "box", "1.0D AS reach", "CAST(NULL AS bigint) AS one")
+    met = {(r["b"], r["other"]) for r in density.near_blocks(boxes).collect()}
+    at = {r["node"]: r["b"] for r in nodes.collect()}
+    needed = {(at[30 * i + j], at[30 * k + m]) for i in range(30) for j in range(30) for k, m in ((i + 1, j), (i, j + 1)) if k < 30 and m < 30}
+    assert {p for p in needed if p[0] != p[1]} <= met
+    assert len(met) < len(sizes) * (len(sizes) - 1) / 3
