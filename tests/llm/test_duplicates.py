@@ -298,3 +298,30 @@ def test_digest_of_kept_bytes_may_cut_characters(spark):
     assert {r["doc_id"]: hashlib.sha256(bytes(r["kept"])).hexdigest() for r in got} == {
         1: hashlib.sha256(b"").hexdigest(), 2: hashlib.sha256(b"x").hexdigest()
     }
+
+
+def test_only_windows_around_passed_minimisers_are_counted_again(spark):
+    """The parts of texts that a later round of counting reads are the windows that hold what is passed over, no other."""
+    rnd = np.random.default_rng(3)
+    common = b"0123456789abcdef"
+    texts = [rnd.integers(97, 123, n).astype(np.uint8).tobytes() for n in (150, 200, 230, 900, 5_000)]
+    for i, places in ((1, [0]), (2, [214]), (3, [10, 300, 310, 890]), (4, [2_000, 4_984])):
+        for p in places:
+            texts[i] = texts[i][:p] + common + texts[i][p + 16 :]
+            texts[i] = texts[i][: [150, 200, 230, 900, 5_000][i]]
+    whole = np.frombuffer(common, np.uint8)
+    passed = suffixes._gram_hashes(*suffixes._rolling(whole), 16) >> np.uint64(1)
+    keys, parts = suffixes.windows_around(np.arange(5), texts, passed, 200, 16)
+    windows = lambda t: [t[i : i + 200] for i in range(len(t) - 199)]
+    want = sorted((k, w) for k, t in enumerate(texts) for w in windows(t) if common in w)
+    assert sorted((k, w) for k, t in zip(keys.tolist(), parts) for w in windows(t)) == want and want
+    assert [len(t) for t in suffixes.windows_around(np.arange(5), texts, np.array([1], np.uint64), 200, 16)] == [0, 0]
+
+    # The later rounds come to the same sums, so to the same choice.
+    docs = [" ".join(rnd.choice(["the end of it", "and so", f"{rnd.integers(9_999)} of", "once more"], 12)) * 3 for _ in range(400)]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(docs)], "k long, t string").repartition(3)
+    total = sum(map(len, docs))
+    pack = lambda keys, texts, splits: suffixes.pack_chunk(None, keys, texts, 4, 200, 16, splits)
+    around = lambda keys, texts, passed: suffixes.windows_around(keys, texts, passed, 200, 16)
+    plain, part = (passages.crowded(frame, pack, 9_000, total, 1 << 20, a) for a in (None, around))
+    assert len(plain[0]) and np.array_equal(plain[0], part[0]) and np.array_equal(plain[1], part[1])
