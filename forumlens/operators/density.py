@@ -59,7 +59,7 @@ def _laid(nodes: DataFrame) -> DataFrame:
     """
     dims = min(8, nodes.agg(F.min(F.size("vector"))).first()[0] or 0)
     x = F.slice("vector", 1, dims) if dims else F.array().cast("array<double>")
-    bounds = nodes.select(F.posexplode(x).alias("i", "x")).groupBy("i").agg(F.min("x").alias("low"), F.max("x").alias("high"))
+    bounds = nodes.select(F.posexplode(x).alias("i", "x")).where("x is not null").groupBy("i").agg(F.min("x").alias("low"), F.max("x").alias("high"))
     bounds = sorted((r["i"], r["low"], r["high"]) for r in bounds.collect())
     bits = 62 // max(dims, 1)
 
@@ -120,21 +120,24 @@ def _meetings(nodes: DataFrame, boxes: DataFrame, fields: list[str], one: Column
 
 
 def _within(a: dict[str, np.ndarray], b: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
-    """The rows of ``a`` that may find one of ``b`` within their reach, and the rows of ``b`` that any of them may find."""
+    """The rows of ``a`` that may find one of ``b`` within their reach, and the rows of ``b`` that any of them may find.
+
+    What cannot be compared, as vectors with missing numbers, stays.
+    """
 
     def near(x: np.ndarray, box: np.ndarray, reach: np.ndarray) -> np.ndarray:
         gap = np.sqrt((np.maximum(np.maximum(box.min(axis=0) - x, x - box.max(axis=0)), 0) ** 2).sum(axis=1))
-        return gap * (1 - SLACK) - SLACK <= reach
+        return ~(gap * (1 - SLACK) - SLACK > reach)
 
     own = near(a["vector"], b["vector"], a["reach"])
     if "core" in a:
-        own &= a["core"] <= a["reach"]
+        own &= ~(a["core"] > a["reach"])
     a = {k: v[own] for k, v in a.items()}
     if own.any():
         reach = a["reach"].max()
         there = near(b["vector"], a["vector"], reach)
         if "core" in b:
-            there &= b["core"] <= reach
+            there &= ~(b["core"] > reach)
         b = {k: v[there] for k, v in b.items()}
     return a, b
 
@@ -155,7 +158,7 @@ def core_distances(nodes: DataFrame, min_samples: int) -> DataFrame:
                 who = np.repeat(np.arange(len(d)), k)
                 near = at.ravel()
                 others = b["n"][near] - (b["node"][near] == a["node"][who])
-                kept = d[who, near] <= a["reach"][who]
+                kept = ~(d[who, near] > a["reach"][who])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(a["node"][who[kept]]), pa.array(d[who, near][kept]), pa.array(others[kept].astype(np.int64))], names=["node", "d", "others"]
                 )
@@ -213,7 +216,7 @@ def _shortest_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             if not len(a["node"]) or not len(b["node"]):
                 continue
             d = np.maximum(np.maximum(distances(a["vector"], b["vector"]), a["core"][:, None]), b["core"][None, :])
-            d[a["component"][:, None] == b["component"][None, :]] = np.inf
+            d[(a["component"][:, None] == b["component"][None, :]) | np.isnan(d)] = np.inf
             best = d.min(axis=1)
             # Of equal edges the one of the smaller ends, so that no circle arises.
             tied = d == best[:, None]

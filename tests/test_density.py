@@ -181,3 +181,17 @@ def test_only_near_blocks_meet(spark, monkeypatch):
     needed = {(at[30 * i + j], at[30 * k + m]) for i in range(30) for j in range(30) for k, m in ((i + 1, j), (i, j + 1)) if k < 30 and m < 30}
     assert {p for p in needed if p[0] != p[1]} <= met
     assert len(met) < len(sizes) * (len(sizes) - 1) / 3
+
+
+def test_missing_numbers_leave_other_core_distances_alone(spark, monkeypatch):
+    monkeypatch.setattr(density, "BLOCK_ROWS", 16)
+    x = np.unique(clumps(11, 60), axis=0)
+    rows = [("+", i, 1, v.tolist()) for i, v in enumerate(x)] + [("+", 99, 3, [None, None])]
+    nodes = spark.createDataFrame(rows, "g string, node long, n long, vector array<double>")
+    got = {r["node"]: r["core"] for r in density.core_distances(nodes, 4).collect()}
+    d = density.distances(x, x)
+    assert {i: got[i] for i in range(len(x))} == {i: np.sort(d[i])[4] for i in range(len(x))}
+    assert np.isnan(got[99]) and len(got) == len(x) + 1
+    monkeypatch.setattr(density, "WHOLE_ROWS", 10)
+    tree = density.spanning_tree(density.core_distances(nodes, 4)).collect()
+    assert len(tree) == len(x) - 1 and 99 not in {r[c] for r in tree for c in ("src", "dst")}
